@@ -1,0 +1,91 @@
+"""Helpers that several operators of this subpackage share."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One of the given tables; the path may be in any store that Spark reads."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    sc = spark.sparkContext
+    at = sc._jsc.sc().getCheckpointDir()
+    if at.isDefined():
+        return at.get()
+    given = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="rillgrid-ckpt-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder, so that later jobs neither repeat it nor need its executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As cut(), as compressed Parquet: for wide rows, which checkpoint() would keep uncompressed."""
+    spark = df.sparkSession
+    at = f"{shared_dir(spark)}/rillgrid-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def integral(df: DataFrame, *names: str) -> DataFrame:
+    """df with the named columns as long: ids keep their value."""
+    return df.select(*[F.col(f"`{c}`").cast("long").alias(c) for c in names])
+
+
+def slots(spark: SparkSession) -> int:
+    """How many partitions a shuffle gets."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def empty_if_null(c: Column | str) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file is; RILLGRID_TOKENIZERS can name another folder."""
+    folder = os.environ.get("RILLGRID_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+SLICE_BYTES = 6_000_000  # text that a task holds as words at once
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """A batch's texts in runs of about SLICE_BYTES, one text at least: (first row, texts)."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+        yield at, texts.slice(at, upto - at)
+        at = upto
+
+
+def coded(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Lists of words as (distinct words, code of each word, where each list's words begin and end)."""
+    offsets = np.asarray(lists.offsets).astype(np.int64)
+    flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    return flat.dictionary.to_pylist(), np.asarray(flat.indices), offsets - offsets[0]
