@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rillgrid.llm.common import read
+from rillgrid.llm.embeddings import near_vectors
+from rillgrid.llm.minhash import near_duplicates
 from rillgrid.llm.packing import pack
+from rillgrid.llm.quality import score_quality
 from rillgrid.llm.token_counts import count_tokens
+from rillgrid.llm.toxicity import score_toxicity
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +23,22 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_best_fit_packing)}
+def op5_minhash_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+def op6_embedding_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op9_toxicity, op10_quality)}
 
 ORACLE: dict[str, str] = {}
