@@ -89,3 +89,8 @@ def coded(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarray]:
     offsets = np.asarray(lists.offsets).astype(np.int64)
     flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     return flat.dictionary.to_pylist(), np.asarray(flat.indices), offsets - offsets[0]
+
+
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is computed once a row: an explode of one element, into which no later use is inlined."""
+    return df.select("*", F.explode(F.array(value)).alias(name))

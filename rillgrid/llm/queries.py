@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rillgrid.llm.common import read
+from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.embeddings import near_vectors
 from rillgrid.llm.minhash import near_duplicates
 from rillgrid.llm.packing import pack
 from rillgrid.llm.quality import score_quality
 from rillgrid.llm.token_counts import count_tokens
 from rillgrid.llm.toxicity import score_toxicity
+from rillgrid.llm.url_filter import judge
+
+
+def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +37,10 @@ def op6_embedding_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -39,6 +49,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op9_toxicity, op10_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op8_url_filter, op9_toxicity, op10_quality)}
 
 ORACLE: dict[str, str] = {}

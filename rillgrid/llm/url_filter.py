@@ -1,0 +1,88 @@
+"""URL filters: rules first, then logistic regression on hashed character n-grams of host and path.
+
+Everything is DataFrame functions and Spark's own ML transformers: the n-grams are array functions, ``HashingTF`` hashes them
+and ``LogisticRegression`` is fitted on a small labelled table of URLs (``labelled``; ``seed_urls`` is the default).
+
+Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased. Path: from there up to ``?``, ``#`` or the
+end. A null URL, or one without ``://``, has neither, is under no rule and is judged by the model on no n-grams. A rule fits its
+host and all its subdomains if the path starts with the rule's; the longest rule wins (of equal ones, the first given).
+Repeated rows give repeated results; other columns are ignored; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillgrid.llm.common import held
+
+#: (host/path, verdict) as the contract has them.
+RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
+BUCKETS = 4096
+GRAMS = (3, 4, 5)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Words of the labelled hosts and paths; the table is all of them, each on a few hosts.
+BLOCK_WORDS = ("casino-win", "free-bets", "poker-bonus", "cheap-pills", "pharma-deal", "spam-farm", "link-farm", "adult-x", "xxx-cams", "ads-track", "click-track", "win-prize", "loan-fast", "replica-shop", "crack-keygen", "phish-login")
+ALLOW_WORDS = ("news", "library", "museum", "garden", "recipes", "weather", "history", "science", "forum", "docs", "travel", "music", "school", "city", "books", "sports")
+
+
+def seed_urls(spark: SparkSession) -> DataFrame:
+    """A small labelled table (url, label; 1 is block): each word as a host and as a path, on three top-level domains."""
+    shapes = ("https://www.{w}.example.{t}/en/1", "http://{w}.example.{t}/fr/2.html", "https://blog.site.example.{t}/{w}/3/", "http://m.{w}.{t}/")
+    rows = [(s.format(w=w, t=t), y) for y, words in ((1, BLOCK_WORDS), (0, ALLOW_WORDS)) for w in words for t in ("com", "net", "org") for s in shapes]
+    return spark.createDataFrame(rows, "url string, label int")
+
+
+def host_and_path(url: Column) -> tuple[Column, Column]:
+    at = F.locate("://", url)
+    after = F.when(at > 0, F.substring(url, at + 3, F.length(url)))
+    host = F.coalesce(F.regexp_extract(after, "^[^/?#]*", 0), F.lit(""))
+    rest = F.coalesce(F.substring(after, F.length(host) + 1, F.length(url)), F.lit(""))
+    return F.translate(host, UPPER, LOWER), F.regexp_extract(rest, "^[^?#]*", 0)
+
+
+def by_rules(host: Column, path: Column, rules: tuple[tuple[str, str], ...]) -> tuple[Column, Column]:
+    """The longest fitting rule, and its verdict; null where none fits."""
+    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, said in sorted(reversed(rules), key=lambda r: len(r[0])):  # a later one takes precedence
+        of_host, slash, of_path = name.partition("/")
+        fits = ((host == of_host) | host.endswith("." + of_host)) & path.startswith(slash + of_path)
+        rule, verdict = F.when(fits, F.lit(name)).otherwise(rule), F.when(fits, F.lit(said)).otherwise(verdict)
+    return rule, verdict
+
+
+def grams(host: Column, path: Column) -> Column:
+    """Character n-grams of host and path, told apart by a prefix, with marks at the host's and path's ends."""
+
+    def one(prefix: str, text: Column, n: int) -> Column:
+        places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.concat(F.lit(prefix), F.substring(text, i, F.lit(n))))
+
+    return F.concat(*[one(prefix, text, n) for prefix, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", F.concat(path, F.lit("$")))) for n in GRAMS])
+
+
+def fit(labelled: DataFrame) -> PipelineModel:
+    """labelled: (url, label), label 1 for block."""
+    host, path = host_and_path(F.col("url"))
+    rows = labelled.where("url is not null and label in (0, 1)").select(F.col("label").cast("double").alias("label"), grams(host, path).alias("grams"))
+    steps = [HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="hashed"), LogisticRegression(featuresCol="hashed", labelCol="label", regParam=0.02, maxIter=40, standardization=False)]
+    return Pipeline(stages=steps).fit(rows.coalesce(1))
+
+
+def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tuple[str, str], ...] = RULES, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
+    """id, host, path, rule, verdict, score (the model's chance of block)."""
+    model = fit(labelled if labelled is not None else seed_urls(pages.sparkSession))
+    url = F.col("url")
+    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"))
+    host, path = host_and_path(url)
+    rows = held(held(rows, "host", host), "path", path).select("page_id", "host", "path")
+    rows = rows.withColumn("grams", grams(F.col("host"), F.col("path")))
+    scored = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
+    rule, verdict = by_rules(F.col("host"), F.col("path"), rules)
+    said = F.when(F.col("score") >= threshold, F.lit("block")).otherwise(F.lit("allow"))
+    return scored.select(F.col("page_id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(verdict, said).alias("verdict"), "score")
