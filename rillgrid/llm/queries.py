@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rillgrid.llm.common import read
 from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.embeddings import near_vectors
+from rillgrid.llm.line_dedup import dedup_lines
 from rillgrid.llm.minhash import near_duplicates
 from rillgrid.llm.packing import pack
 from rillgrid.llm.quality import score_quality
@@ -21,6 +23,11 @@ def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"))
 
@@ -49,6 +56,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op8_url_filter, op9_toxicity, op10_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op8_url_filter, op9_toxicity, op10_quality)}
 
 ORACLE: dict[str, str] = {}
