@@ -12,8 +12,8 @@ works on one document of each class.
 
 Only the components of the links are asked for, so no bucket is expanded into pairs. First every document of a bucket is
 held against the bucket's first (a star). Documents that this links are one component; only those that are in different
-components are held against each other, by blocks of at most ``BLOCK`` x ``BLOCK`` documents, each a task's row of its own,
-and only pairs that the sketches leave are written.
+components are held against each other, by blocks of about ``BLOCK`` x ``BLOCK`` documents, each a row of its own: first each
+document's nearest by sketch, then all pairs that the sketches leave and that no component holds yet.
 
 Null texts count as empty. Texts without words have an empty set, are linked with nothing and stay. Repeated rows of one
 id count as one document of that id (by the largest set); other columns are ignored; an empty table gives no rows.
@@ -35,8 +35,9 @@ from rillgrid.llm.common import coded, cut, empty_if_null, slices, stored
 from rillgrid.llm.components import components
 
 BITS = 1024  # bits of an odd sketch
-SIGMAS = 6.0  # a link is lost to the sketch with a chance below 1e-8
+SIGMAS = 4.5  # a link at the threshold is lost to the sketch with a chance of about 3e-6, as to the bands
 BLOCK = 2048  # documents of a bucket, about, that are held against as many others at once
+ROUNDS = 2
 FEW_IDS = 2_000_000  # ids that may be broadcast: 16 MB
 SEED = 0x9E3779B97F4A7C15
 MEMO_WORDS = 200_000
@@ -101,13 +102,12 @@ def odd_sketch(samples: np.ndarray) -> bytes:
 
 
 def sketch_limit(perms: int, threshold: float) -> int:
-    """The most bits in which two sketches of a true link differ: the samples that differ at the threshold, each up to two
-    bits, with SIGMAS deviations."""
-    differ = perms * (1 - threshold)
-    differ = min(perms, differ + SIGMAS * math.sqrt(perms * threshold * (1 - threshold)))
-    balls = 2 * differ
+    """The most bits in which two sketches of a true link differ. At the threshold a binomial number of samples differs, each
+    flips two bits, and flips that meet cancel; the limit is the mean and SIGMAS deviations of both effects together."""
+    balls = 2 * perms * (1 - threshold)
     expected = BITS / 2 * (1 - (1 - 2 / BITS) ** balls)
-    return math.ceil(expected + SIGMAS * math.sqrt(expected / 2))
+    spread = 4 * perms * threshold * (1 - threshold) + expected * (balls / BITS)
+    return math.ceil(expected + SIGMAS * math.sqrt(spread))
 
 
 def _class_of(h: np.ndarray) -> int:
@@ -181,8 +181,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, p
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def _across(buckets: DataFrame, limit: int, percent: int) -> DataFrame:
-    """Pairs of one bucket but different components that sizes and sketches leave. buckets: key, rep, comp, n, sketch."""
+def _across(buckets: DataFrame, limit: int, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of one bucket but different components that sizes and sketches leave: all of them, or for each document and
+    block only the one with the nearest sketch. buckets: key, rep, comp, n, sketch."""
     # blocks by size, so that a block meets those of its own size and the next only; large ones are dealt out by hash
     sized = buckets.withColumn("size", F.floor(F.log("n") / math.log(100 / percent)).cast("int"))
     parts = sized.groupBy("key", "size").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
@@ -203,13 +204,27 @@ def _across(buckets: DataFrame, limit: int, percent: int) -> DataFrame:
                     bits = np.frombuffer(b"".join(docs.field("sketch").to_pylist()), np.uint64).reshape(len(docs), BITS // 64)
                     sides.append([np.asarray(docs.field(f)) for f in ("rep", "comp", "n")] + [bits])
                 (rep, comp, n, bits), (rep2, comp2, n2, bits2) = sides
+                same = batch.column(2)[k].as_py()
                 found_a, found_b = [], []
+                least, which = np.full(len(rep2), BITS + 1), np.zeros(len(rep2), np.int64)
                 for i in range(len(rep)):
-                    later = np.arange(len(rep2)) > i if batch.column(2)[k].as_py() else np.ones(len(rep2), bool)
-                    ok = np.flatnonzero(later & (comp2 != comp[i]) & (100 * np.minimum(n2, n[i]) >= percent * np.maximum(n2, n[i])))
-                    ok = ok[np.bitwise_count(bits2[ok] ^ bits[i]).sum(axis=1, dtype=np.int64) <= limit]
+                    # of one block, each pair is met once, or twice where the nearest is asked for
+                    ok = comp2 != comp[i]
+                    if same and not nearest:
+                        ok[: i + 1] = False
+                    ok = np.flatnonzero(ok & (100 * np.minimum(n2, n[i]) >= percent * np.maximum(n2, n[i])))
+                    apart = np.bitwise_count(bits2[ok] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    ok, apart = ok[apart <= limit], apart[apart <= limit]
+                    if nearest and len(ok):
+                        closer = apart < least[ok]
+                        least[ok[closer]], which[ok[closer]] = apart[closer], rep[i]
+                        ok = ok[[apart.argmin()]]
                     found_a.append(np.full(len(ok), rep[i]))
                     found_b.append(rep2[ok])
+                if nearest and not same:
+                    met = least <= limit
+                    found_a.append(which[met])
+                    found_b.append(rep2[met])
                 a, b = np.concatenate([*found_a, np.zeros(0, np.int64)]), np.concatenate([*found_b, np.zeros(0, np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
@@ -237,13 +252,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     stars = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     links = cut(_confirmed(cut(_sketched(stars, slim, limit, percent)), texts, reps, words, percent))
     grouped = components(links)
-    known = members.join(grouped.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    # buckets whose documents are not all in one component yet
-    mixed = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    open_ = known.join(mixed, "key", "left_semi").select("key", "rep", "comp").join(slim, "rep")
-    more = cut(_across(open_, limit, percent))
-    if not more.isEmpty():
-        grouped = components(links.union(_confirmed(more, texts, reps, words, percent)))
+    # Then links between components, in ROUNDS rounds the likeliest alone: copies of one text are mostly nearest to it, and
+    # what they join need not be held against each other. Last come all pairs that are left.
+    for rest in range(ROUNDS, -1, -1):
+        known = members.join(grouped.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+        # buckets whose documents are not all in one component yet
+        mixed = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        open_ = known.join(mixed, "key", "left_semi").select("key", "rep", "comp").join(slim, "rep")
+        more = cut(_across(open_, limit, percent, nearest=rest > 0))
+        if more.isEmpty():
+            break
+        links = links.union(_confirmed(more, texts, reps, words, percent))
+        grouped = components(links)
+        links = grouped.select(F.col("component").alias("a"), F.col("id").alias("b")).where("a <> b")
     # the classes' other documents follow their first
     final = classes.join(grouped.withColumnRenamed("id", "rep"), "rep", "left").select("class", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     out = each.join(final, ["class", "n_shingles"], "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
