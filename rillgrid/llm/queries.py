@@ -13,6 +13,7 @@ from rillgrid.llm.embeddings import near_vectors
 from rillgrid.llm.line_dedup import dedup_lines
 from rillgrid.llm.minhash import near_duplicates
 from rillgrid.llm.packing import pack
+from rillgrid.llm.pii import find_pii
 from rillgrid.llm.quality import score_quality
 from rillgrid.llm.token_counts import count_tokens
 from rillgrid.llm.toxicity import score_toxicity
@@ -44,6 +45,11 @@ def op6_embedding_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op7_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -56,6 +62,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op8_url_filter, op9_toxicity, op10_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op7_pii_boosting, op8_url_filter, op9_toxicity, op10_quality)}
 
 ORACLE: dict[str, str] = {}

@@ -157,3 +157,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
     out = rows.mapInArrow(run, f"`{id_col}` long, score double")
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """docs, with all their columns, less the rows that score the threshold or more."""
+    model = docs.sparkSession.sparkContext.broadcast(train(teaching_rows(docs, labels, label_col, sample, id_col, text_col)))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, bias = model.value
+        scores = WordScores(values)
+        for batch in batches:
+            out = [logits(texts, scores, bias) for _, texts in slices(pc.fill_null(batch.column(at), ""))]
+            score = 1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *out]), -500, 500)))
+            yield batch.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
