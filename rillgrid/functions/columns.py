@@ -49,7 +49,7 @@ def length_in_disc(px: Column, py: Column, r: Column | float, x1: Column, y1: Co
 def edges(path: Column) -> Column:
     """array<struct<x1, y1, x2, y2>> of a path's segments."""
     n = F.size(path)
-    pairs = F.zip_with(F.slice(path, 1, F.greatest(n - 1, F.lit(0))), F.slice(path, 2, F.greatest(n - 1, F.lit(0))), lambda p, q: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")))
+    pairs = F.zip_with(F.slice(path, 1, F.greatest(n - 1, F.lit(0))), F.slice(path, 2, F.greatest(n - 1, F.lit(0))), lambda p, q: F.named_struct(F.lit("x1"), p["x"], F.lit("y1"), p["y"], F.lit("x2"), q["x"], F.lit("y2"), q["y"]))
     return F.when(n > 1, pairs).otherwise(F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>"))
 
 
@@ -60,12 +60,12 @@ def path_length(path: Column) -> Column:
 def ring_moments(ring: Column) -> Column:
     """struct<a, mx, my>: twice the signed area and six times its first moments, about the ring's first vertex."""
     ox, oy = F.coalesce(F.get(ring, F.lit(0))["x"], F.lit(0.0)), F.coalesce(F.get(ring, F.lit(0))["y"], F.lit(0.0))
-    start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+    start = F.named_struct(F.lit("a"), F.lit(0.0), F.lit("mx"), F.lit(0.0), F.lit("my"), F.lit(0.0))
 
     def add(s: Column, e: Column) -> Column:
         x1, y1, x2, y2 = e["x1"] - ox, e["y1"] - oy, e["x2"] - ox, e["y2"] - oy
         c = x1 * y2 - x2 * y1
-        return F.struct((s["a"] + c).alias("a"), (s["mx"] + c * (x1 + x2)).alias("mx"), (s["my"] + c * (y1 + y2)).alias("my"))
+        return F.named_struct(F.lit("a"), s["a"] + c, F.lit("mx"), s["mx"] + c * (x1 + x2), F.lit("my"), s["my"] + c * (y1 + y2))
 
     return F.aggregate(edges(ring), start, add)
 

@@ -8,11 +8,12 @@ Distances beyond that are looked for again with cells four times as wide, only f
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.functions.columns import edges, inside, length_in_disc, point_segment, segment_segment
+from rillgrid.functions.columns import edges, inside, length_in_disc, point_segment
 from rillgrid.plans.cache import cut
 
 CELL = 1000.0
@@ -59,11 +60,11 @@ def _with_city(df: DataFrame) -> DataFrame:
     return df if "city" in df.columns else df.withColumn("city", F.lit(""))
 
 
-def nearest_by_rings(targets: DataFrame, segments: DataFrame, key: list[str], distance: Column, sources: list[str] | None = None, cell: float = CELL, growth: float = GROWTH, first: DataFrame | None = None, first_columns: tuple[str, ...] = ()) -> DataFrame:
+def nearest_by_rings(targets: DataFrame, segments: DataFrame, key: list[str], distance: Callable[[DataFrame], DataFrame], sources: list[str] | None = None, cell: float = CELL, growth: float = GROWTH) -> DataFrame:
     """key, and a column d (or d_<source> for each water_source) with the least distance in the same city; null if it has none.
 
-    targets: city, key, px, py, reach (how far the target goes beyond its point) and what ``distance`` needs. ``first`` can give the
-    first round's minima, made for the same cell.
+    targets: city, key, px, py, reach (how far the target goes beyond its point) and what ``distance`` needs, which adds _d to rows
+    of a target and a segment.
     """
     names = ["d"] if sources is None else [f"d_{s}" for s in sources]
     least = [F.min("_d").alias("d")] if sources is None else [F.min(F.when(F.col("water_source") == s, F.col("_d"))).alias(f"d_{s}") for s in sources]
@@ -71,19 +72,19 @@ def nearest_by_rings(targets: DataFrame, segments: DataFrame, key: list[str], di
     todo, done, size = targets, None, cell
     while True:
         last = size >= extent
-        got = first if first is not None and size == cell else _met(todo, segments, size).withColumn("_d", distance).groupBy("city", *key).agg(*least)
+        got = distance(_met(todo, segments, size)).groupBy("city", *key).agg(*least)
         # a least distance is sure up to the cell's width, less the target's own reach
         sure = F.lit(True)
         for n in names:
             sure = sure & F.coalesce(F.col(n) <= size - F.col("reach"), F.lit(False))
         round_ = todo.join(got, ["city", *key], "left").withColumn("_sure", F.lit(True) if last else sure)
         if last:
-            out = round_.select("city", *key, *names, *first_columns) if done is None else round_.select("city", *key, *names)
+            out = round_.select("city", *key, *names)
             return out if done is None else done.unionByName(out)
         round_ = cut(round_)
         ready = round_.where("_sure").select("city", *key, *names)
         done = ready if done is None else done.unionByName(ready)
-        todo = round_.where("not _sure").drop("_sure", *names, *first_columns)
+        todo = round_.where("not _sure").drop("_sure", *names)
         if todo.isEmpty():
             return done
         size *= growth
@@ -93,7 +94,7 @@ def nearest_from_points(points: DataFrame, segments: DataFrame, key: str = "bldg
     """key, dist_to_water_m: least distance of each point (px, py) to the segments (x1, y1, x2, y2) of its city."""
     t, s = _with_city(points), _with_city(segments)
     d = point_segment(*map(F.col, ("px", "py", "x1", "y1", "x2", "y2")))
-    out = nearest_by_rings(t.select("city", key, "px", "py", F.lit(0.0).alias("reach")), s.select("city", "x1", "y1", "x2", "y2"), [key], d, cell=cell)
+    out = nearest_by_rings(t.select("city", key, "px", "py", F.lit(0.0).alias("reach")), s.select("city", "x1", "y1", "x2", "y2"), [key], lambda met: met.withColumn("_d", d), cell=cell)
     return out.withColumnRenamed("d", "dist_to_water_m") if "city" in points.columns else out.drop("city").withColumnRenamed("d", "dist_to_water_m")
 
 
@@ -127,12 +128,30 @@ def exposure(points: DataFrame, segments: DataFrame, radii: tuple[float, ...] =
     if far.isEmpty():
         out = near
     else:
-        found = nearest_by_rings(rest, s, [key], d, cell=size * GROWTH)
+        found = nearest_by_rings(rest, s, [key], lambda met: met.withColumn("_d", d), cell=size * GROWTH)
         out = near.unionByName(far.join(found, ["city", key], "left").select(*near.columns))
     out = out.select("city", key, F.col("d").alias("dist_to_water_m"), *names)
     return out if "city" in points.columns else out.drop("city")
 
 
+def _side_distance(rows: DataFrame) -> DataFrame:
+    """rows with _d, the distance of segment x1..y2 and side sx1..sy2, in steps, as each intermediate value is used several times."""
+    c = F.col
+    rows = rows.withColumns({"_dx": c("x2") - c("x1"), "_dy": c("y2") - c("y1"), "_ex": c("sx2") - c("sx1"), "_ey": c("sy2") - c("sy1")})
+    ends = {"a": ("sx1", "sy1", "x1", "y1", "_dx", "_dy"), "b": ("sx2", "sy2", "x1", "y1", "_dx", "_dy"), "c": ("x1", "y1", "sx1", "sy1", "_ex", "_ey"), "d": ("x2", "y2", "sx1", "sy1", "_ex", "_ey")}
+    rows = rows.withColumns({"_aa": c("_dx") * c("_dx") + c("_dy") * c("_dy"), "_bb": c("_ex") * c("_ex") + c("_ey") * c("_ey")})
+    size = lambda k: c("_aa") if k in "ab" else c("_bb")
+    # where along the segment the end's foot lies, and on which side of it the end is
+    dot = lambda p, q, x, y, dx, dy: (c(p) - c(x)) * c(dx) + (c(q) - c(y)) * c(dy)
+    turn = lambda p, q, x, y, dx, dy: c(dx) * (c(q) - c(y)) - c(dy) * (c(p) - c(x))
+    foot = {f"_t{k}": F.when(size(k) > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(*v) / F.when(size(k) > 0, size(k))))).otherwise(0.0) for k, v in ends.items()}
+    rows = rows.withColumns(foot | {f"_s{k}": turn(*v) for k, v in ends.items()})
+    square = lambda v: v * v
+    apart = [square(c(p) - c(x) - c(f"_t{k}") * c(dx)) + square(c(q) - c(y) - c(f"_t{k}") * c(dy)) for k, (p, q, x, y, dx, dy) in ends.items()]
+    cross = (c("_sa") * c("_sb") < 0) & (c("_sc") * c("_sd") < 0)
+    return rows.withColumn("_d", F.when(cross, 0.0).otherwise(F.sqrt(F.least(*apart))))
+
+
 def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources: list[str], key: str = "bldg_id", areas: bool = False, cell: float = CELL) -> DataFrame:
     """key, dist_to_<source>_m for each water_source, dist_to_water_m: from the whole footprint, 0 on contact or inside.
 
@@ -143,17 +162,22 @@ def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources:
 
     b = _with_city(buildings).withColumn("_b", bounds(F.col("geom")))
     b = b.withColumns({"px": (F.col("_b.xmin") + F.col("_b.xmax")) / 2, "py": (F.col("_b.ymin") + F.col("_b.ymax")) / 2, "reach": F.hypot(F.col("_b.xmax") - F.col("_b.xmin"), F.col("_b.ymax") - F.col("_b.ymin")) / 2})
-    b = b.withColumn("sides", F.flatten(F.transform(F.flatten("geom"), edges))).select("city", key, "geom", "sides", "px", "py", "reach")
+    b = b.withColumn("sides", F.flatten(F.transform(F.flatten("geom"), edges))).select("city", key, "geom", "sides", "px", "py", "reach", "_b.*")
+    columns = ["city", "water_source", "x1", "y1", "x2", "y2", *(["of"] if areas else [])]
     ends = tuple(map(F.col, ("x1", "y1", "x2", "y2")))
-    apart = F.array_min(F.transform("sides", lambda e: segment_segment((e["x1"], e["y1"], e["x2"], e["y2"]), ends)))
-    touching = inside(ends[0], ends[1], F.col("geom"))
-    columns = ["city", "water_source", "x1", "y1", "x2", "y2"]
-    if areas:
-        corner = F.get(F.col("sides"), F.lit(0))
-        touching = touching | F.coalesce(inside(corner["x1"], corner["y1"], F.col("of")), F.lit(False))
-        columns.append("of")
-    d = F.when(touching, 0.0).otherwise(apart)
-    out = nearest_by_rings(b, _with_city(segments).select(*columns), [key], d, sources, cell)
+
+    def apart(met: DataFrame) -> DataFrame:
+        # a segment that no side meets is inside if its start is; most are not even in the building's box
+        boxed = ends[0].between(F.col("xmin"), F.col("xmax")) & ends[1].between(F.col("ymin"), F.col("ymax"))
+        within = F.when(boxed, inside(ends[0], ends[1], F.col("geom"))).otherwise(F.lit(False))
+        if areas:
+            corner = F.get(F.col("sides"), F.lit(0))
+            within = within | F.when(F.col("of").isNotNull(), inside(corner["x1"], corner["y1"], F.col("of"))).otherwise(F.lit(False))
+        by_side = met.select("city", key, "water_source", *ends, within.alias("_in"), F.explode("sides").alias("_e"))
+        by_side = by_side.select("city", key, "water_source", *ends, "_in", *[F.col(f"_e.{c}").alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")])
+        return _side_distance(by_side).withColumn("_d", F.when(F.col("_in"), 0.0).otherwise(F.col("_d")))
+
+    out = nearest_by_rings(b, _with_city(segments).select(*columns), [key], apart, sources, cell)
     named = {f"d_{s}": f"dist_to_{s}_m" for s in sources}
     out = out.withColumnsRenamed(named).withColumn("dist_to_water_m", least_of_all(*[F.col(n) for n in named.values()]))
     return out if "city" in buildings.columns else out.drop("city")
