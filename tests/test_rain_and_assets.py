@@ -1,0 +1,107 @@
+import math
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from rillgrid.config import CITIES
+from rillgrid.operators import assets, normalize, quality, rain
+
+
+def grid(spark, cells):
+    return spark.createDataFrame([("A", float(y), float(x), v) for (y, x), v in cells.items()], "city string, latitude double, longitude double, H_pluvial_v1_mm double")
+
+
+def test_continuity_needs_every_hour(spark):
+    start = datetime(2019, 1, 1)
+    hours = [("A", start + timedelta(hours=k), 1.0) for k in range(8760)]
+    df = spark.createDataFrame(hours, "city string, time timestamp, tp double")
+    assert rain.continuity(df).first().complete
+    rain.check_continuity(df)
+    with pytest.raises(ValueError, match="8759"):
+        rain.check_continuity(df.where("time <> timestamp'2019-06-01 00:00:00'"))
+    late = df.withColumn("time", F.when(F.col("time") == "2019-06-01 00:00:00", F.col("time") + F.expr("interval 30 minutes")).otherwise(F.col("time")))
+    with pytest.raises(ValueError, match="5400"):
+        rain.check_continuity(late)
+
+
+def test_climatology_needs_every_year(spark):
+    m = spark.createDataFrame([("A", y, 0.0, 0.0, float(y)) for y in (2000, 2001)], "city string, year int, latitude double, longitude double, tp_amax_mm double")
+    assert rain.climatology(m, (2000, 2001)).first().H_pluvial_v1_mm == 2000.5
+    with pytest.raises(ValueError, match="2002"):
+        rain.climatology(m, (2000, 2001, 2002))
+
+
+def test_fill_takes_the_nearest_then_the_lower(spark):
+    g = grid(spark, {(0, 0): 1.0, (0, 1): None, (0, 2): 3.0, (1, 0): None})
+    got = {(r.latitude, r.longitude): r.H_pluvial_v1_mm for r in rain.filled(g).collect()}
+    assert got == {(0, 0): 1, (0, 1): 1, (0, 2): 3, (1, 0): 1}
+    with pytest.raises(ValueError):
+        rain.check_filled(rain.filled(grid(spark, {(0, 0): None})))
+
+
+def test_interpolation_at_nodes_edges_and_gaps(spark):
+    g = grid(spark, {(0, 0): 1.0, (0, 1): 2.0, (1, 0): 3.0, (1, 1): 4.0})
+    p = spark.createDataFrame([(k, "A", float(x), float(y)) for k, (x, y) in enumerate([(0, 0), (1, 1), (0.5, 0.5), (9, 9), (-3, 0.5), (1, 0)])], "id int, city string, lon double, lat double")
+    got = [r.H_pluvial_v1_mm for r in rain.interpolated(p, g).orderBy("id").collect()]
+    assert got == [1, 4, 2.5, 4, 2, 2]
+    holed = grid(spark, {(0, 0): 1.0, (0, 1): 2.0, (1, 0): None, (1, 1): 4.0})
+    near = [r.H_pluvial_v1_mm for r in rain.interpolated(p, holed).orderBy("id").collect()]
+    assert near[0] == 1 and near[1] == 4 and near[2] == 1
+    one = [r.H_pluvial_v1_mm for r in rain.interpolated(p, grid(spark, {(0, 0): 7.0})).collect()]
+    assert set(one) == {7.0}
+
+
+def test_deaccumulated(spark):
+    t = datetime(2020, 1, 1)
+    df = spark.createDataFrame([("A", 0.0, 0.0, t + timedelta(hours=k), v) for k, v in enumerate([1.0, 3.0, 2.0])], "city string, latitude double, longitude double, time timestamp, tp double")
+    assert [r.tp for r in rain.deaccumulated(df).orderBy("time").collect()] == [1, 2, 0]
+
+
+def tables(spark, ids=(1, 2, 3)):
+    d = spark.createDataFrame([(k, 0.1 * k, 0.2, 0.3) for k in ids], ["bldg_id", *assets.DENSITIES])
+    return d, spark.createDataFrame([(k, 4000.0 * k) for k in ids], ["bldg_id", "dist_to_water_m"]), spark.createDataFrame([(k, 25.0) for k in ids], ["bldg_id", "H_pluvial_mm"])
+
+
+def test_assets_caps_and_checks(spark):
+    d, w, h = tables(spark)
+    got = {r.bldg_id: r.dist_to_water_m for r in assets.build_assets(d, w, h).collect()}
+    assert got == {1: 4000, 2: 5000, 3: 5000}
+    assert {r.dist_to_water_m for r in assets.build_assets(d, w, h, None).collect()} == {4000, 8000, 12000}
+    with pytest.raises(ValueError, match="repeated"):
+        assets.build_assets(d.union(d), w, h)
+    with pytest.raises(ValueError, match="missing"):
+        assets.build_assets(d, w.withColumn("dist_to_water_m", F.when(F.col("bldg_id") > 1, 1.0)), h)
+    with pytest.raises(ValueError, match="lacks"):
+        assets.build_assets(d.drop(assets.DENSITIES[0]), w, h)
+    with pytest.raises(ValueError, match="hazard"):
+        assets.build_assets(d, w, h.withColumnRenamed("H_pluvial_mm", "x"))
+
+
+def test_score_without_spread_is_zero(spark):
+    d, w, h = tables(spark)
+    rows = assets.exposure_score(assets.build_assets(d, w, h)).collect()
+    assert all(r.z_500 == 0 for r in rows) and math.isclose(sum(r.E_hat for r in rows), 0, abs_tol=1e-9)
+
+
+def test_boundary_messages(spark):
+    df = spark.createDataFrame([(" Rotterdam ",), ("Delft",)], ["statnaam"])
+    assert normalize.boundary_of(df, CITIES["RTM"]).count() == 1
+    with pytest.raises(ValueError, match="Delft"):
+        normalize.boundary_of(df.where("statnaam = 'Delft'"), CITIES["RTM"])
+    with pytest.raises(ValueError, match="one feature"):
+        normalize.boundary_of(df, CITIES["HAM"])
+
+
+def test_ids_do_not_depend_on_partitions(spark):
+    box = lambda x, y: [[[{"x": x, "y": y}, {"x": x + 1.0, "y": y}, {"x": x + 1.0, "y": y + 1.0}, {"x": x, "y": y}]]]
+    rows = [(k, box(float(k * 37 % 2000), float(k % 7))) for k in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "osm_id long, geom array<array<array<struct<x:double,y:double>>>>")
+    one = {r.osm_id: r.bldg_id for r in normalize.building_ids(df.coalesce(1), "osm_id").collect()}
+    many = {r.osm_id: r.bldg_id for r in normalize.building_ids(df.repartition(7), "osm_id").collect()}
+    assert one == many and sorted(one.values()) == list(range(1, 62)) and one[99] == 61
+
+
+def test_category_counts_hold_the_missing(spark):
+    df = spark.createDataFrame([("a",), ("a",), (None,)], "c string")
+    assert [tuple(r) for r in quality.category_counts(df, "c").collect()] == [("a", 2), (None, 1)]
