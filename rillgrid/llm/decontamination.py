@@ -57,7 +57,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, literals: int =
     """A row for each (document, item) found: id, item, n_windows (distinct ones that match), n_item_windows, slot_agreement."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     windows = _windows(items, "item", width).withColumn("slots", _slots(F.col("toks"), F.col("i"), width))
-    windows = cut(windows.where(width - F.size("slots") >= literals).groupBy("item", "key").agg(F.first("slots").alias("slots")))
+    windows = cut(windows.where(width - F.size("slots") >= literals).groupBy("item", "key").agg(F.min("slots").alias("slots")))
     sizes = windows.groupBy("item").agg(F.count("*").alias("n_item_windows"))
     small = windows.count() <= FEW_WINDOWS
     hint = F.broadcast if small else (lambda df: df)

@@ -12,6 +12,7 @@ from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.embeddings import near_vectors
 from rillgrid.llm.line_dedup import dedup_lines
 from rillgrid.llm.minhash import near_duplicates
+from rillgrid.llm.oracle import OP1, OP2
 from rillgrid.llm.packing import pack
 from rillgrid.llm.pii import find_pii
 from rillgrid.llm.quality import score_quality
@@ -64,4 +65,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op7_pii_boosting, op8_url_filter, op9_toxicity, op10_quality)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_benchmark_templates": OP1, "op2_line_dedup": OP2}
