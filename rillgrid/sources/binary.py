@@ -6,10 +6,10 @@ import sqlite3
 import tempfile
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from rillgrid.functions import wkb
 
@@ -64,11 +64,15 @@ def read_shapefile(spark: SparkSession, path: str, crs: int = 4326) -> DataFrame
 
 def with_wkb(df: DataFrame, geom: str = "geom", kind: str = "geom_type", name: str = "wkb") -> DataFrame:
     """df with the geometry as WKB."""
-    @F.pandas_udf("binary")
-    def encoded(kinds: pd.Series, geoms: pd.Series) -> pd.Series:
-        return pd.Series([wkb.encode(k, g) for k, g in zip(kinds, geoms, strict=True)])
+    names, kept = list(df.columns), df.schema
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds, geoms = (batch.column(names.index(c)).to_pylist() for c in (kind, geom))
+            made = pa.array([wkb.encode(k, g) for k, g in zip(kinds, geoms, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*names, name])
 
-    return df.withColumn(name, encoded(F.col(kind), F.col(geom)))
+    return df.mapInArrow(encoded, StructType([*kept.fields, StructField(name, BinaryType())]))
 
 
 def from_wkb(df: DataFrame, name: str = "wkb") -> DataFrame:
@@ -80,7 +84,5 @@ def from_wkb(df: DataFrame, name: str = "wkb") -> DataFrame:
             shapes = [wkb.decode(v.as_py()) for v in batch.column(names.index(name))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s[0] for s in shapes], pa.string()), pa.array([s[1] for s in shapes], _ARROW)], names=[*names, "geom_type", "geom"])
 
-    from pyspark.sql.types import StructType
-
     schema = StructType([*kept.fields, *StructType.fromDDL(f"geom_type string, geom {GEOM}").fields])
     return df.mapInArrow(decoded, schema)
