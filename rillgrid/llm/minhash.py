@@ -13,7 +13,7 @@ works on one document of each class.
 Only the components of the links are asked for, so no bucket is expanded into pairs. First every document of a bucket is
 held against the bucket's first (a star). Documents that this links are one component; only those that are in different
 components are held against each other, by blocks of about ``BLOCK`` x ``BLOCK`` documents, each a row of its own: first each
-document's nearest by sketch, then all pairs that the sketches leave and that no component holds yet.
+component's nearest by sketch, then all pairs that the sketches leave and that no component holds yet.
 
 Null texts count as empty. Texts without words have an empty set, are linked with nothing and stay. Repeated rows of one
 id count as one document of that id (by the largest set); other columns are ignored; an empty table gives no rows.
@@ -182,8 +182,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, p
 
 
 def _across(buckets: DataFrame, limit: int, percent: int, nearest: bool) -> DataFrame:
-    """Pairs of one bucket but different components that sizes and sketches leave: all of them, or for each document and
-    block only the one with the nearest sketch. buckets: key, rep, comp, n, sketch."""
+    """Pairs of one bucket but different components that sizes and sketches leave: all of them, or for each component and
+    block only the one with the nearest sketches. buckets: key, rep, comp, n, sketch."""
     # blocks by size, so that a block meets those of its own size and the next only; large ones are dealt out by hash
     sized = buckets.withColumn("size", F.floor(F.log("n") / math.log(100 / percent)).cast("int"))
     parts = sized.groupBy("key", "size").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
@@ -206,25 +206,30 @@ def _across(buckets: DataFrame, limit: int, percent: int, nearest: bool) -> Data
                 (rep, comp, n, bits), (rep2, comp2, n2, bits2) = sides
                 same = batch.column(2)[k].as_py()
                 found_a, found_b = [], []
-                least, which = np.full(len(rep2), BITS + 1), np.zeros(len(rep2), np.int64)
+                # the nearest document of another component, of each on the left and on the right
+                least, which = [np.full(len(rep), BITS + 1), np.full(len(rep2), BITS + 1)], [np.zeros(len(rep), np.int64), np.zeros(len(rep2), np.int64)]
                 for i in range(len(rep)):
-                    # of one block, each pair is met once, or twice where the nearest is asked for
                     ok = comp2 != comp[i]
-                    if same and not nearest:
+                    if same:
                         ok[: i + 1] = False
                     ok = np.flatnonzero(ok & (100 * np.minimum(n2, n[i]) >= percent * np.maximum(n2, n[i])))
                     apart = np.bitwise_count(bits2[ok] ^ bits[i]).sum(axis=1, dtype=np.int64)
                     ok, apart = ok[apart <= limit], apart[apart <= limit]
                     if nearest and len(ok):
-                        closer = apart < least[ok]
-                        least[ok[closer]], which[ok[closer]] = apart[closer], rep[i]
-                        ok = ok[[apart.argmin()]]
-                    found_a.append(np.full(len(ok), rep[i]))
-                    found_b.append(rep2[ok])
-                if nearest and not same:
-                    met = least <= limit
-                    found_a.append(which[met])
-                    found_b.append(rep2[met])
+                        closer = apart < least[1][ok]
+                        least[1][ok[closer]], which[1][ok[closer]] = apart[closer], rep[i]
+                        least[0][i], which[0][i] = apart.min(), rep2[ok[apart.argmin()]]
+                    elif not nearest:
+                        found_a.append(np.full(len(ok), rep[i]))
+                        found_b.append(rep2[ok])
+                if nearest:  # one pair for each component of the block
+                    of = np.concatenate([comp, comp2])
+                    far, own, mate = np.concatenate(least), np.concatenate([rep, rep2]), np.concatenate(which)
+                    order = np.lexsort((own, far, of))
+                    best = order[np.concatenate([[True], of[order][1:] != of[order][:-1]])] if len(order) else order
+                    best = best[far[best] <= limit]
+                    found_a.append(own[best])
+                    found_b.append(mate[best])
                 a, b = np.concatenate([*found_a, np.zeros(0, np.int64)]), np.concatenate([*found_b, np.zeros(0, np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
@@ -250,7 +255,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     members = cut(banded.join(hubs.select("key", "hub"), "key"))
     slim = reps.select("rep", F.col("n_shingles").alias("n"), "sketch")
     stars = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = cut(_confirmed(cut(_sketched(stars, slim, limit, percent)), texts, reps, words, percent))
+    # of a document's hubs only the one with the nearest sketch
+    hubs_of = _sketched(stars, slim, limit, percent).groupBy("b").agg(F.min(F.struct("apart", "a")).alias("near")).select("near.a", "b")
+    links = cut(_confirmed(cut(hubs_of), texts, reps, words, percent))
     grouped = components(links)
     # Then links between components, in ROUNDS rounds the likeliest alone: copies of one text are mostly nearest to it, and
     # what they join need not be held against each other. Last come all pairs that are left.
@@ -272,7 +279,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
 
 def _sketched(pairs: DataFrame, slim: DataFrame, limit: int, percent: int) -> DataFrame:
-    """The pairs that sizes and sketches leave."""
+    """The pairs that sizes and sketches leave, and in how many bits their sketches differ."""
     left, right = (slim.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
     both = pairs.join(left, "a").join(right, "b").where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)).select("a", "b", "sketch_a", "sketch_b")
 
@@ -280,7 +287,7 @@ def _sketched(pairs: DataFrame, slim: DataFrame, limit: int, percent: int) -> Da
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in (2, 3))
-                keep = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= limit
-                yield batch.select([0, 1]).filter(pa.array(keep))
+                apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart)], names=["a", "b", "apart"]).filter(pa.array(apart <= limit))
 
-    return both.mapInArrow(close, "a long, b long")
+    return both.mapInArrow(close, "a long, b long, apart long")
