@@ -41,10 +41,10 @@ def in_cells(segments: DataFrame, size: float) -> DataFrame:
     return segments.withColumn("cx", F.explode(across)).withColumn("cy", F.explode(up))
 
 
-def _met(targets: DataFrame, segments: DataFrame, size: float) -> DataFrame:
-    """Targets (city, px, py, ...) with the segments of their cell."""
+def _met(targets: DataFrame, segments: DataFrame, size: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """Targets (city, px, py, ...) with the segments of their cell that also agree in ``on``."""
     placed = targets.withColumns({"cx": _cell(F.col("px"), size), "cy": _cell(F.col("py"), size)})
-    return placed.join(in_cells(split_long(segments, size), size), ["city", "cx", "cy"])
+    return placed.join(in_cells(split_long(segments, size), size), ["city", *on, "cx", "cy"])
 
 
 def _extent(targets: DataFrame, segments: DataFrame) -> float:
@@ -60,31 +60,27 @@ def _with_city(df: DataFrame) -> DataFrame:
     return df if "city" in df.columns else df.withColumn("city", F.lit(""))
 
 
-def nearest_by_rings(targets: DataFrame, segments: DataFrame, key: list[str], distance: Callable[[DataFrame], DataFrame], sources: list[str] | None = None, cell: float = CELL, growth: float = GROWTH) -> DataFrame:
-    """key, and a column d (or d_<source> for each water_source) with the least distance in the same city; null if it has none.
+def nearest_by_rings(targets: DataFrame, segments: DataFrame, key: list[str], distance: Callable[[DataFrame], DataFrame], on: tuple[str, ...] = (), cell: float = CELL, growth: float = GROWTH) -> DataFrame:
+    """city, key, d: the least distance to the segments of the same city (and of the same ``on``, part of the key); null if there
+    are none.
 
     targets: city, key, px, py, reach (how far the target goes beyond its point) and what ``distance`` needs, which adds _d to rows
     of a target and a segment.
     """
-    names = ["d"] if sources is None else [f"d_{s}" for s in sources]
-    least = [F.min("_d").alias("d")] if sources is None else [F.min(F.when(F.col("water_source") == s, F.col("_d"))).alias(f"d_{s}") for s in sources]
     extent = _extent(targets, segments)
     todo, done, size = targets, None, cell
     while True:
         last = size >= extent
-        got = distance(_met(todo, segments, size)).groupBy("city", *key).agg(*least)
-        # a least distance is sure up to the cell's width, less the target's own reach
-        sure = F.lit(True)
-        for n in names:
-            sure = sure & F.coalesce(F.col(n) <= size - F.col("reach"), F.lit(False))
-        round_ = todo.join(got, ["city", *key], "left").withColumn("_sure", F.lit(True) if last else sure)
+        got = distance(_met(todo, segments, size, on)).groupBy("city", *key).agg(F.min("_d").alias("d"))
+        round_ = todo.join(got, ["city", *key], "left")
         if last:
-            out = round_.select("city", *key, *names)
+            out = round_.select("city", *key, "d")
             return out if done is None else done.unionByName(out)
-        round_ = cut(round_)
-        ready = round_.where("_sure").select("city", *key, *names)
+        # a least distance is sure up to the cell's width, less the target's own reach
+        round_ = cut(round_.withColumn("_sure", F.coalesce(F.col("d") <= size - F.col("reach"), F.lit(False))))
+        ready = round_.where("_sure").select("city", *key, "d")
         done = ready if done is None else done.unionByName(ready)
-        todo = round_.where("not _sure").drop("_sure", *names)
+        todo = round_.where("not _sure").drop("_sure", "d")
         if todo.isEmpty():
             return done
         size *= growth
@@ -177,9 +173,12 @@ def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources:
         by_side = by_side.select("city", key, "water_source", *ends, "_in", *[F.col(f"_e.{c}").alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")])
         return _side_distance(by_side).withColumn("_d", F.when(F.col("_in"), 0.0).otherwise(F.col("_d")))
 
-    out = nearest_by_rings(b, _with_city(segments).select(*columns), [key], apart, sources, cell)
-    named = {f"d_{s}": f"dist_to_{s}_m" for s in sources}
-    out = out.withColumnsRenamed(named).withColumn("dist_to_water_m", least_of_all(*[F.col(n) for n in named.values()]))
+    # each source is looked for on its own, so that one that is far does not send the others on another round
+    targets = b.withColumn("water_source", F.explode(F.array(*map(F.lit, sources))))
+    found = nearest_by_rings(targets, _with_city(segments).select(*columns), [key, "water_source"], apart, ("water_source",), cell)
+    names = {name: f"dist_to_{name}_m" for name in sources}
+    out = found.groupBy("city", key).agg(*[F.max(F.when(F.col("water_source") == name, F.col("d"))).alias(n) for name, n in names.items()])
+    out = out.withColumn("dist_to_water_m", least_of_all(*[F.col(n) for n in names.values()]))
     return out if "city" in buildings.columns else out.drop("city")
 
 
