@@ -44,16 +44,6 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
-def integral(df: DataFrame, *names: str) -> DataFrame:
-    """df with the named columns as long: ids keep their value."""
-    return df.select(*[F.col(f"`{c}`").cast("long").alias(c) for c in names])
-
-
-def slots(spark: SparkSession) -> int:
-    """How many partitions a shuffle gets."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def empty_if_null(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.coalesce(c.cast("string"), F.lit(""))
