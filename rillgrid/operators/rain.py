@@ -93,9 +93,8 @@ def interpolated(points: DataFrame, grid: DataFrame, value: str = "H_pluvial_v1_
     p = p.join(F.broadcast(cells), "city", "left")
     at = lambda di, dj: F.try_element_at("_cells", F.struct((F.col("_i") + di).alias("i"), (F.col("_j") + dj).alias("j")))
     near = at(F.when(F.col("_ty") > 0.5, 1).otherwise(0), F.when(F.col("_tx") > 0.5, 1).otherwise(0))
-    top, right = F.when(F.col("_ty") == 0, at(0, 0)).otherwise(at(1, 0)), None
-    del right
-    c00, c10 = at(0, 0), top
+    # a corner without weight may be missing
+    c00, c10 = at(0, 0), F.when(F.col("_ty") == 0, at(0, 0)).otherwise(at(1, 0))
     c01 = F.when(F.col("_tx") == 0, at(0, 0)).otherwise(at(0, 1))
     c11 = F.when((F.col("_tx") == 0) & (F.col("_ty") == 0), at(0, 0)).when(F.col("_tx") == 0, at(1, 0)).when(F.col("_ty") == 0, at(0, 1)).otherwise(at(1, 1))
     tx, ty = F.col("_tx"), F.col("_ty")
