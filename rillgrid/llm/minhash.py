@@ -181,14 +181,14 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, p
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def _across(buckets: DataFrame, limit: int, percent: int, nearest: bool) -> DataFrame:
+def _across(buckets: DataFrame, sketches: DataFrame, limit: int, percent: int, nearest: bool) -> DataFrame:
     """Pairs of one bucket but different components that sizes and sketches leave: all of them, or for each component and
-    block only the one with the nearest sketches. buckets: key, rep, comp, n, sketch."""
+    block only the one with the nearest sketches. buckets: key, rep, comp, n; sketches: rep, sketch."""
     # blocks by size, so that a block meets those of its own size and the next only; large ones are dealt out by hash
     sized = buckets.withColumn("size", F.floor(F.log("n") / math.log(100 / percent)).cast("int"))
     parts = sized.groupBy("key", "size").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     dealt = sized.join(parts, ["key", "size"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    blocks = dealt.groupBy("key", "size", "part").agg(F.collect_list(F.struct("rep", "comp", "n", "sketch")).alias("docs"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    blocks = dealt.join(sketches, "rep").groupBy("key", "size", "part").agg(F.collect_list(F.struct("rep", "comp", "n", "sketch")).alias("docs"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     blocks = stored(blocks)
     other = blocks.select("key", *[F.col(c).alias(f"{c}2") for c in ("size", "part", "docs", "low", "high")])
     near = (F.col("size2") == F.col("size") + 1) | ((F.col("size2") == F.col("size")) & (F.col("part2") >= F.col("part")))
@@ -249,7 +249,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     classes = cut(each.where("n_shingles > 0").groupBy("class", "n_shingles").agg(F.min("doc_id").alias("rep")))
     reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "class"), ["doc_id", "class"], "left_semi").dropDuplicates(["doc_id"])
     reps = stored(reps.select(F.col("doc_id").alias("rep"), "class", "n_shingles", "sketch", "keys"))
-    banded = reps.select("rep", F.explode("keys").alias("key"))
+    banded = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     # buckets of two at least; the first of a bucket is its hub
     hubs = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
     members = cut(banded.join(hubs.select("key", "hub"), "key"))
@@ -265,8 +265,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         known = members.join(grouped.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
         # buckets whose documents are not all in one component yet
         mixed = known.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-        open_ = known.join(mixed, "key", "left_semi").select("key", "rep", "comp").join(slim, "rep")
-        more = cut(_across(open_, limit, percent, nearest=rest > 0))
+        open_ = cut(known.join(mixed, "key", "left_semi").select("key", "rep", "comp", "n"))
+        more = cut(_across(open_, slim.select("rep", "sketch"), limit, percent, nearest=rest > 0))
         if more.isEmpty():
             break
         links = links.union(_confirmed(more, texts, reps, words, percent))
