@@ -7,6 +7,12 @@ the slots' types only, and the documents' windows meet the benchmark's in a hash
 value in the document (the most frequent one, over all matched windows, in ``agreement`` of them). So a question with other
 numbers or names is found, and text that only shares its frame is not.
 
+A document may hold an item several times with different values. A pair whose windows are there but do not agree over the
+whole document is therefore looked at occurrence by occurrence: on each diagonal (document place less item place) by itself,
+and with each item window taken from the match nearest to that diagonal, at most an item's length off, so that words put in
+or left out do not part an occurrence. The item is found if one occurrence has ``share`` of the windows and agrees; n_windows
+and slot_agreement are then that occurrence's (the best agreement, then the most windows).
+
 Everything is DataFrame functions. Null and empty texts have no tokens and are never found; items with fewer than ``width``
 tokens have no windows and are found nowhere. Repeated documents' rows of one id count as one document; repeated items as
 one. Other columns are ignored; an empty table gives no rows.
@@ -14,6 +20,8 @@ one. Other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,11 +61,36 @@ def _slots(toks: Column, i: Column, width: int) -> Column:
     return F.filter(F.slice(toks, i + 1, F.lit(width)), lambda t: F.substring(t, 1, 1).isin("#", "&", "@"))
 
 
+def _agreements(pairs: DataFrame, *of: str) -> DataFrame:
+    """slot_agreement of each group ``of``: how often its values (was) stand for their most frequent value (now). pairs: (*of, was, now, n)."""
+    values = pairs.groupBy(*of, "was", "now").agg(F.sum("n").alias("n"))
+    return values.groupBy(*of, "was").agg(F.max("n").alias("most"), F.sum("n").alias("all")).groupBy(*of).agg((F.sum("most") / F.sum("all")).alias("slot_agreement"))
+
+
+def _by_occurrence(hits: DataFrame, windows: DataFrame, sizes: DataFrame, hint: Callable[[DataFrame], DataFrame], width: int, share: float, agreement: float) -> DataFrame:
+    """(doc, item, n_windows, n_item_windows, slot_agreement) of the best occurrence that is whole and consistent, of these hits."""
+    places = windows.select("item", "key", F.explode("places").alias("of")).select("item", "key", F.col("of.i").alias("q"), F.col("of.slots").alias("was"))
+    reach = places.groupBy("item").agg((F.max("q") + width).alias("reach"))
+    matches = hits.select("doc", "item", "key", F.col("here").alias("now"), F.explode("at").alias("p")).join(hint(places.join(reach, "item")), ["item", "key"])
+    matches = cut(matches.withColumn("d", F.col("p") - F.col("q")).drop("p"))
+    anchors = matches.select("doc", "item", F.col("d").alias("a"), F.floor(F.col("d") / F.col("reach")).alias("block")).distinct()
+    near = matches.withColumn("block", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.floor(F.col("d") / F.col("reach")) + k)))
+    near = near.join(anchors, ["doc", "item", "block"]).withColumn("off", F.abs(F.col("d") - F.col("a"))).where("off <= reach")
+    near = near.withColumn("wide", F.explode(F.when(F.col("off") == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(True)))))
+    one = ["doc", "item", "a", "wide"]
+    chosen = near.groupBy(*one, "q").agg(F.min(F.struct("off", "d", "key", "was", "now")).alias("m")).select(*one, "m.*")
+    whole = chosen.groupBy(*one).agg(F.count_distinct("key").alias("n_windows")).join(hint(sizes), "item").where(F.col("n_windows") >= share * F.col("n_item_windows"))
+    pairs = chosen.select(*one, F.explode(F.arrays_zip("was", "now")).alias("s")).select(*one, "s.was", "s.now", F.lit(1).alias("n"))
+    sure = whole.join(_agreements(pairs, *one), one).where(F.col("slot_agreement") >= agreement)
+    best = sure.groupBy("doc", "item", "n_item_windows").agg(F.max(F.struct("slot_agreement", "n_windows")).alias("b"))
+    return best.select("doc", "item", "b.n_windows", "n_item_windows", "b.slot_agreement")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, literals: int = 3, share: float = 0.8, agreement: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each (document, item) found: id, item, n_windows (distinct ones that match), n_item_windows, slot_agreement."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
     windows = _windows(items, "item", width).withColumn("slots", _slots(F.col("toks"), F.col("i"), width))
-    windows = cut(windows.where(width - F.size("slots") >= literals).groupBy("item", "key").agg(F.min("slots").alias("slots")))
+    windows = cut(windows.where(width - F.size("slots") >= literals).groupBy("item", "key").agg(F.min("slots").alias("slots"), F.collect_list(F.struct("i", "slots")).alias("places")))
     sizes = windows.groupBy("item").agg(F.count("*").alias("n_item_windows"))
     small = windows.count() <= FEW_WINDOWS
     hint = F.broadcast if small else (lambda df: df)
@@ -66,13 +99,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, literals: int =
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found = _windows(texts, "doc", width)
     if by_key is not None:
-        met = found.join(hint(by_key), "key").select("doc", "key", _slots(F.col("toks"), F.col("i"), width).alias("here"), F.explode("items").alias("of")).select("doc", "key", "here", "of.item", "of.slots")
+        met = found.join(hint(by_key), "key").select("doc", "key", "i", _slots(F.col("toks"), F.col("i"), width).alias("here"), F.explode("items").alias("of")).select("doc", "key", "i", "here", "of.item", "of.slots")
     else:
-        met = found.join(windows, "key").select("doc", "key", _slots(F.col("toks"), F.col("i"), width).alias("here"), "item", "slots")
-    hits = cut(met.groupBy("doc", "item", "key", "here", "slots").agg(F.count("*").alias("times")))
+        met = found.join(windows, "key").select("doc", "key", "i", _slots(F.col("toks"), F.col("i"), width).alias("here"), "item", "slots")
+    hits = cut(met.groupBy("doc", "item", "key", "here", "slots").agg(F.collect_list("i").alias("at")))
     counted = hits.groupBy("doc", "item").agg(F.count_distinct("key").alias("n_windows")).join(hint(sizes), "item").where(F.col("n_windows") >= share * F.col("n_item_windows"))
-    pairs = hits.where(F.size("slots") > 0).select("doc", "item", "times", F.explode(F.arrays_zip("slots", "here")).alias("s"))
-    values = pairs.groupBy("doc", "item", F.col("s.slots").alias("was"), F.col("s.here").alias("now")).agg(F.sum("times").alias("n"))
-    agreed = values.groupBy("doc", "item", "was").agg(F.max("n").alias("most"), F.sum("n").alias("all")).groupBy("doc", "item").agg((F.sum("most") / F.sum("all")).alias("slot_agreement"))
-    out = counted.join(agreed, ["doc", "item"], "left").withColumn("slot_agreement", F.coalesce("slot_agreement", F.lit(1.0))).where(F.col("slot_agreement") >= agreement)
+    pairs = hits.where(F.size("slots") > 0).select("doc", "item", F.size("at").alias("n"), F.explode(F.arrays_zip("slots", "here")).alias("s")).select("doc", "item", F.col("s.slots").alias("was"), F.col("s.here").alias("now"), "n")
+    judged = cut(counted.join(_agreements(pairs, "doc", "item"), ["doc", "item"], "left").select("doc", "item", "n_windows", "n_item_windows", F.coalesce("slot_agreement", F.lit(1.0)).alias("slot_agreement")))
+    out = judged.where(F.col("slot_agreement") >= agreement)
+    torn = judged.where(F.col("slot_agreement") < agreement).select("doc", "item")
+    if not torn.isEmpty():
+        out = out.union(_by_occurrence(hits.join(torn, ["doc", "item"], "left_semi"), windows, sizes, hint, width, share, agreement))
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_windows", "n_item_windows", "slot_agreement")

@@ -188,6 +188,22 @@ def test_leaks_find_new_numbers_but_not_the_frame(spark):
     assert leaks(table(spark, []), bench).collect() == []
 
 
+def test_leaks_judge_each_occurrence_by_itself(spark):
+    item = "A train leaves at 9 and travels 120 km in 2 hours before Anna meets Ben at the old station gate"
+    again = "The red box holds 3 pens and the red box holds 8 pens and the red box holds 5 pens in all"
+    bench = spark.createDataFrame([(1, item), (2, again)], "item_id long, text string")
+    twin = "A train leaves at 7 and travels 340 km in 5 hours before Eva meets Tom at the old station gate"
+    other = "A train leaves at 4 and travels 77 km in 8 hours before Ida meets Max at the old station gate"
+    longer = other.replace("before", "and many slow minutes before")
+    mixed = twin.replace("before Eva", "before Ida").replace("in 5 hours", "in 6 hours")
+    frames = " and then ".join(f"A train leaves at {n} and travels far before {a} meets nobody at the old station gate" for n, a in enumerate(["Eva", "Tom", "Ida", "Max"]))
+    rows = [(1, item), (2, twin), (3, f"{item} . {twin}"), (4, f"{twin} . {other}"), (5, f"{other} some words here {twin} and {item}"), (6, f"{twin} . {longer}"), (7, again), (8, " and ".join([other] + [f"{p} {item}" for p in "xy"])), (9, frames), (10, f"{other} filler text {' filler' * 300} {mixed}")]
+    got = {(r.doc_id, r.item_id): r for r in leaks(table(spark, rows), bench).collect()}
+    assert set(got) == {(k, 1) for k in (1, 2, 3, 4, 5, 6, 8, 10)} | {(7, 2)}
+    assert all(r.slot_agreement == 1.0 for r in got.values())
+    assert all(r.n_windows == r.n_item_windows for r in got.values())
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
