@@ -2,7 +2,8 @@
 
 Features are indicators of hashed n-grams (1 to 3) over the text's tokens. A token is a word's shape (letters of either
 case, digits and signs, runs shortened), marked when the word repeats the one before it; words themselves, in lower case,
-are features of their own. Each indicator is scaled by its log-count ratio between the two classes (naive Bayes), and a
+are features of their own. A word of more than PIECE characters (text without white space) is dealt into pieces of PIECE,
+which are tokens and words like others; the whole word stays a feature too. Each indicator is scaled by its log-count ratio between the two classes (naive Bayes), and a
 linear hinge-loss model is fitted to the scaled indicators by dual coordinate descent. A logistic curve fitted to margins
 of rows that a first fit did not see turns margins into scores.
 
@@ -31,6 +32,7 @@ ALPHA = 1.0  # added to each count
 PENALTY = 0.01  # C of the hinge loss
 PASSES = 12  # of dual coordinate descent
 MEMO_WORDS = 200_000
+PIECE = 64  # characters of a token at most; words up to it are remembered
 
 _RUNS = re.compile(r"([^\W\d_]+)|(\d+)|(.)\3*", re.DOTALL)
 
@@ -42,7 +44,7 @@ def _shape(word: str) -> str:
             return ("a" if w.islower() else "A" if len(w) > 1 and w.isupper() else "Aa" if w[1:].islower() or len(w) == 1 else "aA")
         return "0" if m[2] else m[3] + ("+" if len(m[0]) > 1 else "")
 
-    return _RUNS.sub(one, word[:64])
+    return _RUNS.sub(one, word)
 
 
 class Shapes(dict):
@@ -52,7 +54,7 @@ class Shapes(dict):
         import zlib
 
         got = zlib.crc32(_shape(word).encode("utf-8", "surrogatepass"))
-        if len(self) < MEMO_WORDS and len(word) <= 64:
+        if len(self) < MEMO_WORDS and len(word) <= PIECE:
             self[word] = got
         return got
 
@@ -62,19 +64,42 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _pieces(words: list[str], codes: np.ndarray, ends: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """coded()'s lists with each word of more than PIECE characters dealt into pieces."""
+    number: dict[str, int] = {}
+    parts = [[number.setdefault(w[k : k + PIECE], len(number)) for k in range(0, max(len(w), 1), PIECE)] for w in words]
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat = np.fromiter((c for p in parts for c in p), np.int64, size.sum())
+    many = size[codes]
+    at = np.concatenate([[0], np.cumsum(many)])
+    start = (np.cumsum(size) - size)[codes]
+    return list(number), flat[np.repeat(start - at[:-1], many) + np.arange(at[-1])], at[ends]
+
+
 def features(texts: pa.Array, shapes: Shapes) -> tuple[np.ndarray, np.ndarray]:
     """(text number, bucket) of each text's distinct features, in order."""
     words, codes, ends = coded(pc.utf8_split_whitespace(texts))
-    doc = np.repeat(np.arange(len(texts)), np.diff(ends)).astype(np.uint64)
-    shape = np.fromiter(map(shapes.__getitem__, words), np.uint64, len(words))
     import xxhash
 
-    lower = np.fromiter((xxhash.xxh3_64_intdigest(w.lower().encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+    def lowered(words: list[str]) -> np.ndarray:
+        return np.fromiter((xxhash.xxh3_64_intdigest(w.lower().encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+
+    found, rows = [], []
+    is_long = np.fromiter((len(w) > PIECE for w in words), bool, len(words))
+    if is_long.any():
+        own = is_long[codes]
+        found.append(lowered(words)[codes[own]] ^ np.uint64(0x5BD1E995))
+        rows.append(np.repeat(np.arange(len(texts)), np.diff(ends)).astype(np.uint64)[own])
+        words, codes, ends = _pieces(words, codes, ends)
+    doc = np.repeat(np.arange(len(texts)), np.diff(ends)).astype(np.uint64)
+    shape = np.fromiter(map(shapes.__getitem__, words), np.uint64, len(words))
+    lower = lowered(words)
     with np.errstate(over="ignore"):
         token = shape[codes] * np.uint64(2)
         if len(codes) > 1:
             token[1:] += ((codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])).astype(np.uint64)
-        found, rows = [lower[codes] ^ np.uint64(0x5BD1E995)], [doc]
+        found.append(lower[codes] ^ np.uint64(0x5BD1E995))
+        rows.append(doc)
         h = token + np.uint64(1)
         for n in (1, 2, 3):
             if n > 1:

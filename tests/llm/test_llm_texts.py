@@ -5,10 +5,11 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rillgrid.llm import packing, token_counts
+from rillgrid.llm import packing, quality, token_counts
 from rillgrid.llm.common import tokenizer_path
 from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.line_dedup import dedup_lines, near_words
@@ -271,6 +272,20 @@ def test_classifiers_are_right_on_held_out_rows(spark, score, place, threshold):
     assert {r.predicted for r in score(docs, none, threshold=threshold).collect()} <= {0, 1}
 
 
+def test_quality_sees_the_whole_of_a_long_word():
+    rnd = random.Random(6)
+    signs = "ABCDEFGHabcdefgh0123456789+/"
+    junk = lambda n: "".join(rnd.choice(signs) for _ in range(n))
+    clean = lambda n: "".join(rnd.choice(["naturaleza", "lluvia", "puente", "ciudad"]) for _ in range(n))
+    model = quality.train([(junk(rnd.randint(200, 900)) if k % 2 else clean(rnd.randint(20, 90)), 1 - k % 2) for k in range(200)])
+    head = clean(20)[:64]
+    texts = pa.array([head + junk(20000), head + clean(2000), junk(20000)], pa.string())
+    bad, good, worse = quality.scores(texts, quality.Shapes(), model)
+    assert bad < 0.1 and worse < 0.1 and good > 0.9
+    parts, _ = quality.features(pa.array([head + "A1" * 400, None, "x y " + "b" * 200], pa.string()).fill_null(""), quality.Shapes())
+    assert set(parts.tolist()) == {0, 1, 2}
+
+
 def test_drop_toxic_keeps_columns_and_clean_rows(spark):
     docs, labels, truth = labelled(spark)
     kept = drop_toxic(docs, labels)
