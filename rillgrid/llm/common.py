@@ -41,7 +41,17 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/rillgrid-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out.stored_at = at
+    return out
+
+
+def discard(*held: DataFrame) -> None:
+    """Deletes what stored() wrote, once all that is made of it stands in the shared folder itself."""
+    for df in held:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def empty_if_null(c: Column | str) -> Column:

@@ -5,15 +5,16 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rillgrid.llm import packing, quality, token_counts
+from rillgrid.llm import minhash, packing, quality, token_counts
 from rillgrid.llm.common import tokenizer_path
 from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.line_dedup import dedup_lines, near_words
-from rillgrid.llm.minhash import near_duplicates, sketch_limit
+from rillgrid.llm.minhash import near_duplicates
 from rillgrid.llm.pii import find_pii
 from rillgrid.llm.quality import score_quality
 from rillgrid.llm.toxicity import drop_toxic, score_toxicity
@@ -140,8 +141,69 @@ def test_near_duplicates_equal_brute_force(spark, words):
     assert {k: (r.n_shingles, r.component_id, r.kept) for k, r in got.items()} == {k: (len(sets[k]), want[k], want[k] == k) for k in ids}
 
 
-def test_sketch_limit_lets_links_through():
-    assert sketch_limit(160, 0.8) < sketch_limit(160, 0.6) < 512
+@pytest.mark.parametrize("size", [5, 9, 40, 148, 900, 5000, 40000])
+def test_sketch_limit_lets_links_through_and_rules_others_out(size):
+    rng = np.random.default_rng(size)
+    bits = lambda h: np.frombuffer(minhash.odd_sketch(np.sort(h)), np.uint8)
+    for similarity, most in ((0.8, 0), (0.9, 0), (0.6, None)):
+        over = 0
+        rounds = 300 if size < 5000 else 40
+        for _ in range(rounds):
+            h = rng.integers(0, 2**64, size, np.uint64)
+            union, common = size, int(np.ceil(similarity * size))
+            more = (union - common) // 2
+            x, y = h[: common + more], np.concatenate([h[:common], h[common + more :]])
+            n = np.array([len(x) + len(y)])
+            over += int(np.bitwise_count(bits(x) ^ bits(y)).sum() > minhash.sketch_limit(n, 80)[0])
+        if most is None:
+            assert over > 0.9 * rounds or size < 100
+        else:
+            assert over == 0
+
+
+@pytest.mark.parametrize("few", [None, 0])
+def test_a_large_group_of_near_copies_gives_few_links(spark, monkeypatch, few):
+    """Copies of one text that are near to it, but mostly not to each other: what is written grows with them, not with their pairs."""
+    monkeypatch.setattr(minhash, "BLOCK", 700)
+    if few is not None:
+        monkeypatch.setattr(minhash, "FEW_IDS", few)
+        monkeypatch.setattr(minhash, "FEW_BUCKETS", few)
+    rnd = random.Random(8)
+    base = [f"w{rnd.randrange(4000)}" for _ in range(120)]
+    n = 5000 if few is None else 1500
+    texts = []
+    for k in range(n):
+        w = list(base)
+        for _ in range(rnd.choice([5, 6, 7, 8, 9, 10])):
+            w[rnd.randrange(len(w))] = f"v{rnd.randrange(10**6)}"
+        texts.append((k, " ".join(w)))
+    written = []
+    joined = minhash._joined
+
+    def counted(*given):
+        out = minhash.cut(joined(*given))
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "_joined", counted)
+    got = {r.doc_id: r.component_id for r in near_duplicates(table(spark, texts), words=2).collect()}
+    assert sum(written) <= 32 * n
+    sets = [shingles(t, 2) for _, t in texts]
+    index = {}
+    for k, own in enumerate(sets):
+        for x in own:
+            index.setdefault(x, []).append(k)
+    shared = {x: j for j, x in enumerate(x for x, ks in index.items() if len(ks) > 1)}
+    there = np.zeros((n, len(shared)), np.float32)
+    for x, j in shared.items():
+        there[index[x], j] = 1
+    size = np.array([len(x) for x in sets])
+    common = there @ there.T
+    a, b = np.nonzero(100 * common >= 80 * (size[:, None] + size[None, :] - common))
+    want = components_of([(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if x < y and got[x] != got[y]], range(n))
+    assert all(want[k] == k for k in range(n))  # no link between two components
+    pairs = {(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if x < y}
+    assert len({got[k] for k in range(n)}) == len(set(components_of(pairs, range(n)).values()))
 
 
 def test_line_dedup_equals_brute_force(spark):
