@@ -14,7 +14,8 @@ text); of each set of near lines the earliest stays. Nearness is not carried on
 4. The word edit distance of each line and its earlier partner is verified on their words.
 
 Null texts count as empty; texts without a word stay as they are. Repeated rows of one id count by their ids, so their lines
-are equal lines in one place and stay together. An empty table gives no rows; other columns are kept as they are.
+are equal lines in one place and stay together. Rows without an id keep all lines and drop none of others. An empty table
+gives no rows; other columns are kept as they are, but for those named as the two counts, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,27 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded, cut, empty_if_null, slices, stored
+from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, fresh, join_groups, slices, stored, word_hashes
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 FEW_DOCS = 300_000  # documents whose lists of places may be broadcast; lists are of 50 places at most then
-MEMO_WORDS = 200_000
-
-_words: dict[str, int] = {}
-
-
-def _hash(word: str) -> int:
-    got = _words.get(word)
-    if got is None:
-        got = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(_words) < MEMO_WORDS and len(word) <= 64:
-            _words[word] = got
-    return got
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,15 +53,15 @@ class Lines:
         parted = pc.split_pattern(texts, "\n")
         self.of_text = np.asarray(parted.offsets).astype(np.int64) - parted.offsets[0].as_py()
         lines = parted.flatten()
-        words, codes, ends = coded(pc.utf8_split_whitespace(pc.utf8_lower(lines)))
-        filled = np.fromiter((w != "" for w in words), bool, len(words))[codes] if len(codes) else np.zeros(0, bool)
+        words, codes, ends = coded_words(pc.utf8_split_whitespace(pc.utf8_lower(lines)))
+        filled = (np.asarray(pc.binary_length(words)) > 0)[codes]
         before = np.concatenate([[0], np.cumsum(filled)])
         self.starts = before[ends]  # of each line's words
         self.n = np.diff(self.starts)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.of_text))
         self.place = np.arange(len(self.n)) - self.of_text[self.text]
         with np.errstate(over="ignore"):
-            h = np.fromiter(map(_hash, words), np.uint64, len(words))[codes[filled]] if len(codes) else np.zeros(0, np.uint64)
+            h = word_hashes(words)[codes[filled]]
             self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(BASE, len(h)), dtype=np.uint64)])
             self.back = _powers(INVERSE, len(h) + 1)
 
@@ -181,7 +169,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
             keep = [near_words(a.split(), b.split(), min_words) for a, b in zip(*sides, strict=True)]
             yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(check, "h long, n int, partner struct<doc:long,place:int>")
+    out = cut(both.mapInArrow(check, "h long, n int, partner struct<doc:long,place:int>"))
+    discard(lines)
+    return out
 
 
 def dropped_lines(texts: DataFrame, min_words: int = 5) -> DataFrame:
@@ -191,52 +181,37 @@ def dropped_lines(texts: DataFrame, min_words: int = 5) -> DataFrame:
     halved = classes.select("h", "n", "first", F.explode("halves").alias("half"))
     shared = halved.groupBy("half").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.min("n").alias("less"), F.max("n").alias("more")).where("low <> high or less <> more").select("half")
     some = cut(halved.join(shared, "half", "left_semi").select("h", "n", "first").distinct())
-    around = stored(neighbourhoods(texts, some.select("first.doc", "first.place"), min_words))
-    around = around.join(some.select("h", "n", "first.doc", "first.place"), ["doc", "place"]).select("h", "n", F.struct("doc", "place").alias("first"), "key", "gone")
-    around = stored(around)
+    around = neighbourhoods(texts, some.select("first.doc", "first.place"), min_words)
+    around = stored(around.join(some.select("h", "n", "first.doc", "first.place"), ["doc", "place"]).select("h", "n", F.struct("doc", "place").alias("first"), "key", "gone"))
     # a word changed: all that lose a word at one place to the same rest
-    changed = around.groupBy("key", "gone").agg(F.min("first").alias("partner"), F.count("*").alias("size")).where("size > 1").drop("size")
-    changed = around.join(changed, ["key", "gone"]).select("h", "n", "partner")
+    changed = cut(around.groupBy("key", "gone").agg(F.min("first").alias("partner"), F.count("*").alias("size")).where("size > 1"))
+    changed = join_groups(around, changed, ["key", "gone"], "size").select("h", "n", "partner")
     # a word added or left out: the rest is a line itself
     whole = some.select(F.col("h").alias("key"), F.col("n").alias("short"), F.col("first").alias("of_short"))
     fewer = cut(around.join(whole, "key").where("short = n - 1").select("h", "n", "first", "key", "short", "of_short"))
     partners = changed.union(fewer.select("h", "n", "of_short")).union(fewer.groupBy("key", "short").agg(F.min("first")))
-    earliest = partners.groupBy("h", "n").agg(F.min("partner").alias("partner")).join(some, ["h", "n"]).where("partner < first")
-    near = _verified(cut(earliest), texts, min_words)
+    earliest = cut(partners.groupBy("h", "n").agg(F.min("partner").alias("partner")).join(some, ["h", "n"]).where("partner < first"))
+    discard(around)
+    near = _verified(earliest, texts, min_words)
     # of a class with an earlier partner all lines go, of others all but the first
-    marked = classes.join(near, ["h", "n"], "left").where("times > 1 or partner is not null").select("h", "n", F.coalesce("partner", "first").alias("kept"))
-    return lines.join(marked, ["h", "n"]).where(F.struct("doc", "place") > F.col("kept")).select("doc", "place")
+    marked = classes.select("h", "n", "first", "times").join(near, ["h", "n"], "left").where("times > 1 or partner is not null").select("h", "n", F.coalesce("partner", "first").alias("kept"), "times")
+    gone = join_groups(lines.select("doc", "place", "h", "n"), cut(marked), ["h", "n"], "times").where(F.struct("doc", "place") > F.col("kept"))
+    out = cut(gone.select("doc", "place"))
+    discard(lines, classes)
+    return out
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the text less its dropped lines, and n_lines and n_dropped. A text of which nothing goes is as it was."""
+def dedup_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", lines_col: str = "n_lines", dropped_col: str = "n_dropped") -> DataFrame:
+    """docs with the text less its dropped lines, and the numbers of lines and dropped lines. A text of which nothing goes is as it was."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
-    lists = cut(dropped_lines(texts.where("doc is not null"), min_words)).groupBy("doc").agg(F.collect_set("place").alias("_dropped"))
-    n, most = (lists := cut(lists)).agg(F.count("*"), F.max(F.size("_dropped"))).first()
-    lists = lists.select(F.col("doc").alias("_doc"), "_dropped")
-    joined = docs.join(F.broadcast(lists) if n <= FEW_DOCS and (most or 0) <= 50 else lists, F.col(f"`{id_col}`").cast("long") == F.col("_doc"), "left").drop("_doc")
-    names = list(docs.columns)
-    at, last = names.index(text_col), len(names)
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, sizes, gone = [], [], []
-            for text, drop in zip(batch.column(at), batch.column(last), strict=True):
-                parts = (text.as_py() or "").split("\n")
-                sizes.append(len(parts))
-                gone.append(0)
-                if drop.is_valid:
-                    drop = set(drop.as_py())
-                    kept = [line for k, line in enumerate(parts) if k not in drop]
-                    gone[-1] = len(parts) - len(kept)
-                    out.append("\n".join(kept))
-                else:
-                    out.append(text.as_py())
-            columns = batch.columns[:last]
-            columns[at] = pa.array(out, columns[at].type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())], names=[*names, "n_lines", "n_dropped"])
-
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "_dropped").mapInArrow(apply, schema)
+    doc, places = fresh("doc", docs), fresh("places", docs)
+    lists = cut(dropped_lines(texts.where("doc is not null"), min_words).groupBy("doc").agg(F.collect_set("place").alias("places")))
+    n, most = lists.agg(F.count("*"), F.max(F.size("places"))).first()
+    lists = lists.select(F.col("doc").alias(doc), F.col("places").alias(places))
+    joined = docs.join(F.broadcast(lists) if n <= FEW_DOCS and (most or 0) <= 50 else lists, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left")
+    text = F.col(f"`{text_col}`")
+    parts = F.split(empty_if_null(text), "\n", -1)
+    kept = F.filter(parts, lambda _, k: ~F.array_contains(places, k))
+    named = {c: F.col(f"`{c}`") for c in docs.columns if c not in (lines_col, dropped_col)}
+    named[text_col] = F.when(F.col(places).isNull(), text).otherwise(F.array_join(kept, "\n")).alias(text_col)
+    return joined.select(*named.values(), F.size(parts).cast("long").alias(lines_col), F.coalesce(F.size(places), F.lit(0)).cast("long").alias(dropped_col))

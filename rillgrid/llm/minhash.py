@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded, cut, discard, empty_if_null, slices, stored
+from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, join_groups, slices, stored, word_hashes
 from rillgrid.llm.components import components
 
 BINS = 1024  # samples that an odd sketch is folded from, at most
@@ -47,10 +47,6 @@ SMALL = 16  # documents of a meeting whose pairs are looked at together with tho
 FEW_IDS = 2_000_000  # ids that may be broadcast: 16 MB
 FEW_BUCKETS = 200_000  # hot buckets that may be broadcast
 SEED = 0x9E3779B97F4A7C15
-MEMO_WORDS = 200_000
-
-_words: dict[str, int] = {}
-
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit numbers."""
@@ -59,20 +55,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash(word: str) -> int:
-    got = _words.get(word)
-    if got is None:
-        got = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(_words) < MEMO_WORDS and len(word) <= 64:
-            _words[word] = got
-    return got
-
-
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """Each text's sorted distinct shingle hashes; a text of fewer words is one shingle, one without words none."""
-    distinct, codes, ends = coded(pc.ascii_split_whitespace(pc.ascii_lower(texts)))
-    hashes = np.fromiter((_hash(w) if w else 0 for w in distinct), np.uint64, len(distinct))
-    filled = np.fromiter((w != "" for w in distinct), bool, len(distinct))
+    distinct, codes, ends = coded_words(pc.ascii_split_whitespace(pc.ascii_lower(texts)))
+    hashes = word_hashes(distinct)
+    filled = np.asarray(pc.binary_length(distinct)) > 0
     with np.errstate(over="ignore"):
         for k in range(len(texts)):
             own = codes[ends[k] : ends[k + 1]]
@@ -360,8 +347,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     discard(signed)
     banded = reps.select("rep", "n", F.explode("keys").alias("key"))
     # buckets of two at least; the first of a bucket is its hub
-    hubs = banded.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    members = cut(banded.join(hubs.select("key", "hub"), "key"))
+    hubs = cut(banded.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1"))
+    members = cut(join_groups(banded, hubs, ["key"], "size").drop("size"))
     slim = reps.select("rep", "n", "sketch")
     stars = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     # of a document's hubs only the one with the nearest sketch
