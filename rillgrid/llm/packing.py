@@ -17,6 +17,7 @@ their own place; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -27,78 +28,106 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded, cut, empty_if_null, slices, tokenizer_path
+from rillgrid.llm.common import byte_offsets, coded_words, cut, empty_if_null, slices, tokenizer_path
 
-MEMO_WORDS = 300_000  # chunks whose ids one task keeps
+MEMO_WORDS = 200_000  # parts of texts whose ids one task keeps
 END_SIGNS = ".,!?;:&#$%*"  # signs that the tokenizer parts from a word before them
+#: How tokenizers of whole words part a text (a fixed value of their files).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: (n, groups): lengths over capacity / n are large and form so many groups. All are planned; the one with the fewest sequences counts.
 SETTINGS = ((2, 12), (3, 12), (4, 96), (8, 96))
-BUCKETS = 64  # parts in which the pieces of one length are numbered
+BUCKETS, BUCKET_ROWS = 64, 1_000_000  # the pieces of one length are numbered in so many parts at least, or in one for so many pieces of all
 
 
-class ChunkIds(dict):
-    """Ids, as little-endian bytes, of each text between two blanks. No token spans a blank, so they can be joined.
+class ChunkIds:
+    """Ids of texts from the ids of their parts, which are looked up once.
 
-    Nor does one span the end of a word and a sign after it, and case does not matter: a chunk not met yet is looked up
-    as its lower-case word and its end signs first.
+    For a tokenizer of whole lower-case words (``by_words``), no token spans a blank, nor the end of a word and a sign after
+    it, and case does not matter: a text is parted by blanks, and a part that is letters and END_SIGNS into its lower-case
+    word and its signs. Ids of the first MEMO_WORDS parts are kept, among them the frequent ones. With any other tokenizer
+    each text goes to the library as it is.
     """
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(file)
+        self.by_words = self._is_by_words()
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, bool)  # tokens that end a word
         self.ends[[k for w, k in names.items() if w.endswith("</w>")]] = True
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.passing[chunk]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Chunks not kept yet get their ids by the library. The first MEMO_WORDS are kept, among them the frequent ones."""
-        self.passing: dict[str, bytes] = {}
-        parts, new = [], set()
-        for c in chunks:
-            word = c.rstrip(END_SIGNS)
-            if word.isascii() and word.isalpha():
-                word, signs = word.lower(), c[len(word) :]
-            elif word.isalpha() and word[-1] < "\u0250" and word[-1] != "İ":
-                signs = c[len(word) :]
-            else:
-                word, signs = c, ""
-            parts.append((c, word, signs))
-            new |= {w for w in (word, signs) if w not in self}
-        words = [w for w in new if w.isascii() and w.isalpha()]  # each is one piece to the model, so its last token says where it ends
-        if words:
-            ids = np.array([k for e in self.tokenizer.encode_batch_fast([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)], add_special_tokens=False) for k in e.ids], "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            data, at = ids.tobytes(), 0
-            for w, upto in zip(words, ends.tolist(), strict=True):
-                (self if len(self) < MEMO_WORDS and len(w) <= 64 else self.passing)[w] = data[4 * at : 4 * upto]
-                at = upto
-        others = [w for w in new if not (w.isascii() and w.isalpha())]
-        for c, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            (self if len(self) < MEMO_WORDS and len(c) <= 64 else self.passing)[c] = np.array(e.ids, "<u4").tobytes()
-        for c, word, signs in parts:
-            if c != word:
-                (self if len(self) < MEMO_WORDS and len(c) <= 64 else self.passing)[c] = self[word] + self[signs]
-
-    def of_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """Ids of each text."""
-        words, codes, ends = coded(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
-        missed = {w for w in words if w not in self}
-        self.learn(missed)
-        got = list(map(self.__getitem__, words))
-        pool = np.frombuffer(b"".join(got), "<u4")
-        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        self.known, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def _is_by_words(self) -> bool:
+        rules = json.loads(self.tokenizer.to_str())
+        steps = lambda key, of: [x["type"] for x in (rules[key] or {}).get(of, [])]
+        split = [x["pattern"].get("Regex") for x in (rules["pre_tokenizer"] or {}).get("pretokenizers", []) if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]]
+        return rules["model"].get("end_of_word_suffix") == "</w>" and steps("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"] and split == [WORD_PATTERN] and not any(set(t["content"]) & set(END_SIGNS + " ") for t in rules["added_tokens"])
+
+    def encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of some parts, one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.fromiter((k for ids in found for k in ids), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+
+    def of_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each part's begin, how many they are) of distinct parts."""
+        at = pc.index_in(parts, value_set=self.known)
+        missed = parts.filter(pc.is_null(at))
+        at = np.asarray(at.fill_null(-1)).astype(np.int64)
+        letters = np.asarray(pc.and_(pc.string_is_ascii(missed), pc.ascii_is_alpha(missed)))
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        missed = missed.take(pa.array(order))
+        words, others = missed[: letters.sum()].to_pylist(), missed[letters.sum() :].to_pylist()
+        # each word is one piece to the model, so the tokens that end words part them
+        ids, _ = self.encoded([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)])
+        sizes = np.diff(np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1]))
+        if len(sizes) != len(words):
+            ids, sizes = self.encoded(words)
+        other_ids, other_sizes = self.encoded(others)
+        ids, sizes = np.concatenate([self.ids, ids, other_ids]), np.concatenate([self.sizes, sizes, other_sizes])
+        number = np.empty(len(order), np.int64)
+        number[order] = len(self.known) + np.arange(len(order))
+        at[at < 0] = number
         starts = np.cumsum(sizes) - sizes
-        size = sizes[codes]
-        upto = np.cumsum(size)
-        ids = pool[np.repeat(starts[codes] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
-        bounds = np.concatenate([[0], upto])[ends]
-        for k in range(len(texts)):
-            yield ids[bounds[k] : bounds[k + 1]]
+        got = starts[at], sizes[at]
+        if len(self.known) < MEMO_WORDS:
+            keep = np.arange(len(sizes)) < MEMO_WORDS
+            keep[len(self.known) :] &= np.asarray(pc.binary_length(missed)) <= 64
+            self.known = pa.concat_arrays([self.known, missed.filter(pa.array(keep[len(self.known) :]))])
+            self.ids, self.sizes = ids[np.repeat(keep, sizes)], sizes[keep]
+        return ids, *got
+
+    def of_texts(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by end_id, and where each text's begin and end."""
+        if not self.by_words:
+            ids, sizes = self.encoded(texts.to_pylist())
+            bounds = np.concatenate([[0], np.cumsum(sizes)])
+            return np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
+        chunks, codes, bounds = coded_words(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
+        word = pc.ascii_rtrim(chunks, END_SIGNS)
+        plain = pc.and_(pc.string_is_ascii(word), pc.ascii_is_alpha(word))
+        last = pc.utf8_slice_codeunits(word, -1)
+        other = pc.and_(pc.utf8_is_alpha(word), pc.and_(pc.less(last, "\u0250"), pc.not_equal(last, "İ")))
+        word = pc.if_else(plain, pc.ascii_lower(word), pc.if_else(other, word, chunks))
+        # what is left of each chunk: its end signs
+        data, ends = byte_offsets(chunks)
+        length = np.diff(ends) - np.asarray(pc.binary_length(word))
+        upto = np.concatenate([[0], np.cumsum(length)])
+        signs = data[np.repeat(ends[1:] - length - upto[:-1], length) + np.arange(upto[-1])]
+        signs = pa.StringArray.from_buffers(len(chunks), pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(signs))
+        parts = pa.concat_arrays([word, signs]).dictionary_encode()
+        pool, starts, sizes = self.of_parts(parts.dictionary)
+        of_word, of_signs = np.asarray(parts.indices).reshape(2, -1)
+        pairs = np.stack([of_word, of_signs], axis=1).ravel()
+        # the ids of each distinct chunk, and as one more chunk the end; then those of all chunks in their order
+        size = sizes[pairs]
+        to = np.cumsum(size)
+        ids = pool[np.repeat(starts[pairs] - (to - size), size) + np.arange(to[-1] if len(to) else 0)]
+        each = np.concatenate([[0], to[1::2], [len(ids) + 1]]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(each), pa.array(np.append(ids, np.uint32(end_id))))
+        got = lists.take(pa.array(np.insert(codes, bounds[1:], len(chunks))))
+        offsets = np.asarray(got.offsets)
+        return np.asarray(got.values), offsets[bounds + np.arange(len(bounds))]
 
 
 _held: dict[str, ChunkIds] = {}
@@ -113,21 +142,21 @@ def pieces(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = 4
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        ids = _held.get(path)
-        if ids is None:
-            ids = _held[path] = ChunkIds(path)
-        end = np.array([end_id], "<u4")
+        chunk_ids = _held.get(path)
+        if chunk_ids is None:
+            chunk_ids = _held[path] = ChunkIds(path)
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            names = batch.column(0).to_pylist()
             for first, texts in slices(batch.column(1)):
-                for doc, found in zip(names[first:], ids.of_texts(texts), strict=False):
-                    data = np.concatenate([found, end])
-                    for k, at in enumerate(range(0, len(data), capacity)):
-                        part = data[at : at + capacity]
-                        for column, value in zip(out, (doc, k, at, len(part), zlib.crc32(part)), strict=True):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 1 else pa.int64()) for k, c in enumerate(out)], names=[id_col, "piece", "start", "length", "ids_crc32"])
+                ids, bounds = chunk_ids.of_texts(texts, end_id)
+                many = -(-np.diff(bounds) // capacity)
+                doc = np.repeat(np.arange(len(texts)), many)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                start = piece * capacity
+                at = bounds[:-1][doc] + start
+                upto = np.minimum(at + capacity, bounds[1:][doc])
+                crc = np.fromiter((zlib.crc32(ids[a:b]) for a, b in zip(at.tolist(), upto.tolist(), strict=True)), np.int64, len(doc))
+                columns = [batch.column(0).slice(first, len(texts)).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array((upto - at).astype(np.int64)), pa.array(crc)]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "piece", "start", "length", "ids_crc32"])
 
     return rows.mapInArrow(cut_up, f"`{id_col}` long, piece int, start long, length long, ids_crc32 long")
 
@@ -253,7 +282,9 @@ def plan(counts: dict[int, int], capacity: int, large: int, groups: int) -> list
 def pack(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = 4096, end_id: int = 1, settings: tuple[tuple[int, int], ...] = SETTINGS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces with sequence_id and offset; the pieces of a sequence lie side by side from 0 and hold at most capacity tokens."""
     spark = docs.sparkSession
-    cut_up = cut(pieces(docs, tokenizer_file, capacity, end_id, id_col, text_col).withColumn("bucket", F.pmod(F.xxhash64(id_col, "piece"), F.lit(BUCKETS)).cast("int")))
+    cut_up = cut(pieces(docs, tokenizer_file, capacity, end_id, id_col, text_col))
+    buckets = max(BUCKETS, cut_up.count() // BUCKET_ROWS)
+    cut_up = cut_up.withColumn("bucket", F.pmod(F.xxhash64(id_col, "piece"), F.lit(buckets)).cast("int"))
     # number the pieces of each length: inside its buckets, after the buckets before
     sums = cut_up.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     sums = cut(sums.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")))
