@@ -5,7 +5,7 @@ distinct words, a word the mean of its n-grams' embeddings; a linear softmax on
 are trained together in numpy on a bounded, documented sample of labelled rows (``teaching_rows``). A word never met shares
 n-grams with those that were, so misspellings score like the words they come from.
 
-As everything is linear up to the softmax, a document's score needs one number a word, which tasks keep for words met.
+As everything is linear up to the softmax, a document's score needs one number an n-gram.
 
 Null texts count as empty; an empty text has the score of no words at all. Repeated rows give repeated results; ties cannot
 arise; other columns are ignored; an empty table gives no rows. If one class has no labelled row, every score is that
@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded, empty_if_null, slices
+from rillgrid.llm.common import byte_offsets, coded_words, empty_if_null, slices
 from rillgrid.llm.labelled import held_out, teaching_rows
 
 SAMPLE = 6000  # labelled rows, at most, that it is trained on
@@ -30,15 +30,16 @@ BUCKETS = 1 << 15  # of n-gram hashes
 DIM = 2
 BATCH, EPOCHS, RATE, FLOOR, DECAY = 200, 10, 0.2, 0.9998, 1e-4
 BLANK = 30  # words without a meaning that each mean takes in, so that a few words alone decide nothing
-MEMO_WORDS = 200_000
+SLICE_BYTES = 3_000_000  # text that a task holds as words at once
+ROWS = 1000  # documents that are filtered at once
 
 
-def ngrams(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(words: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """(word number, bucket) of every n-gram of every word."""
-    marked = [f"<{w}>" for w in words]
-    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
-    text = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    word = np.repeat(np.arange(len(words)), sizes)
+    sizes = np.asarray(pc.utf8_length(words)).astype(np.int64) + 2
+    data, offsets = byte_offsets(pc.binary_join_element_wise("<", words, ">", ""))
+    text = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     left = np.cumsum(sizes)[word] - np.arange(len(text)) if len(text) else np.zeros(0, np.int64)
     rows, found = [], []
     with np.errstate(over="ignore"):
@@ -50,15 +51,17 @@ def ngrams(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.nda
                 ok = np.flatnonzero(left[: len(h)] >= n)
                 x = h[ok]
                 rows.append(word[ok])
-                found.append(((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) % np.uint64(buckets))
-    return np.concatenate(rows), np.concatenate(found).astype(np.int64)
+                found.append((((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32))
+    return np.concatenate(rows), np.concatenate(found)
 
 
-def bags(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def bags(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Lower-case words parted by white space, each once a text: (distinct words, code of each, bounds of each text)."""
-    words, codes, ends = coded(pc.utf8_split_whitespace(pc.utf8_lower(texts)))
-    each = np.unique(np.repeat(np.arange(len(texts)), np.diff(ends)) * max(1, len(words)) + codes)
-    return words, each % max(1, len(words)), np.searchsorted(each // max(1, len(words)), np.arange(len(texts) + 1))
+    words, codes, ends = coded_words(pc.utf8_split_whitespace(pc.utf8_lower(texts)))
+    each = np.repeat(np.arange(len(texts)), np.diff(ends)) * max(1, len(words)) + codes
+    each.sort()
+    each = each[np.concatenate([[True], each[1:] != each[:-1]])] if len(each) else each
+    return words, each % max(1, len(words)), np.searchsorted(each, np.arange(len(texts) + 1) * max(1, len(words)))
 
 
 def _bag_batches(rows: list[tuple[str, int]], seed: int) -> list[tuple[np.ndarray, ...]]:
@@ -114,30 +117,20 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> tuple[np.ndarray, floa
     return scale * (embed @ (out[:, 1] - out[:, 0])), float(bias[1] - bias[0])
 
 
-class WordScores(dict):
-    """Each word's mean over its n-grams; the first MEMO_WORDS words met are kept."""
-
-    def __init__(self, values: np.ndarray):
-        super().__init__()
-        self.values_of = values
-
-    def of(self, words: list[str]) -> np.ndarray:
-        missed = [w for w in words if w not in self]
-        passing: dict[str, float] = {}
-        if missed:
-            row, gram = ngrams(missed)
-            got = np.bincount(row, self.values_of[gram], len(missed)) / np.maximum(np.bincount(row, minlength=len(missed)), 1)
-            passing = dict(zip(missed, got.tolist(), strict=True))
-            for w in missed[: max(0, MEMO_WORDS - len(self))]:
-                if len(w) <= 64:
-                    self[w] = passing[w]
-        return np.fromiter((passing[w] if w in passing else self[w] for w in words), float, len(words))
+def logits(texts: pa.Array, values: np.ndarray, bias: float) -> np.ndarray:
+    """The logit of each text: the mean of its words, each the mean of its n-grams' values."""
+    out = [np.zeros(0)]
+    for _, part in slices(texts, SLICE_BYTES):
+        words, codes, ends = bags(part)
+        row, gram = ngrams(words)
+        word = np.bincount(row, values[gram], len(words)) / np.maximum(np.bincount(row, minlength=len(words)), 1)
+        scan = np.concatenate([[0.0], np.cumsum(word[codes])])
+        out.append((scan[ends[1:]] - scan[ends[:-1]]) / (np.diff(ends) + BLANK) + bias)
+    return np.concatenate(out)
 
 
-def logits(texts: pa.Array, scores: WordScores, bias: float) -> np.ndarray:
-    words, codes, ends = bags(texts)
-    scan = np.concatenate([[0.0], np.cumsum(scores.of(words)[codes])])
-    return (scan[ends[1:]] - scan[ends[:-1]]) / (np.diff(ends) + BLANK) + bias
+def _score(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -146,13 +139,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
     model = docs.sparkSession.sparkContext.broadcast((values, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, bias = model.value
-        scores = WordScores(values)
         for batch in batches:
-            out = [np.zeros(0)]
-            for _, texts in slices(batch.column(1)):
-                out.append(1 / (1 + np.exp(-np.clip(logits(texts, scores, bias), -500, 500))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out))], names=[id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_score(logits(batch.column(1), *model.value)))], names=[id_col, "score"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
     out = rows.mapInArrow(run, f"`{id_col}` long, score double")
@@ -165,11 +153,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sampl
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, bias = model.value
-        scores = WordScores(values)
         for batch in batches:
-            out = [logits(texts, scores, bias) for _, texts in slices(pc.fill_null(batch.column(at), ""))]
-            score = 1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *out]), -500, 500)))
-            yield batch.filter(pa.array(score < threshold))
+            for k in range(0, batch.num_rows, ROWS):  # a part of a batch at a time, so that no copy of a whole batch is made
+                part = batch.slice(k, ROWS)
+                yield part.filter(pa.array(_score(logits(pc.fill_null(part.column(at), ""), *model.value)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
