@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import read, stored
+from rillgrid.llm.common import discard, fresh, read, stored
 from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.line_dedup import dedup_lines
 from rillgrid.llm.minhash import FEW_IDS, near_duplicates
@@ -26,9 +26,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier in the corpus, or stand there but for one word, go; so do documents of which no word is left."""
-    kept = dedup_lines(docs)
-    kept = kept.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
-    changed = F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    n_lines, n_dropped = fresh("n_lines", docs), fresh("n_dropped", docs)
+    kept = dedup_lines(docs, lines_col=n_lines, dropped_col=n_dropped)
+    kept = kept.where((F.col(n_dropped) == 0) | F.col("text").rlike(r"\S"))
+    changed = F.when(F.col(n_dropped) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", changed).select(*docs.columns)
 
 
@@ -54,9 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs)
+            if before is not None:
+                discard(before)
+            before = docs
     return docs
