@@ -81,7 +81,8 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
 
 
 def line_hashes(texts: DataFrame, min_words: int) -> DataFrame:
-    """(doc, place, n, h, halves) of every line with words: halves are keys of the halves that one edit can leave."""
+    """(doc, place, h, halves) of every line with words: h is a hash of its words and their number, halves are keys of the
+    halves that one edit can leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,10 +96,10 @@ def line_hashes(texts: DataFrame, min_words: int) -> DataFrame:
                     halves += [_key(lines.run(a, a + half), n + longer, 1), _key(lines.run(b - half, b), n + longer, 2)]
                 some = np.stack([n >= min_words, n >= min_words, n >= min_words - 1, n >= min_words - 1], axis=1)
                 ids = batch.column(0).slice(first, len(part)).take(pa.array(lines.text[own]))
-                columns = [ids, pa.array(lines.place[own].astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(_key(lines.run(a, b), n)), _lists(np.stack(halves, axis=1)[some], some.sum(axis=1))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "place", "n", "h", "halves"])
+                columns = [ids, pa.array(lines.place[own].astype(np.int32)), pa.array(_key(lines.run(a, b), n)), _lists(np.stack(halves, axis=1)[some], some.sum(axis=1))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "place", "h", "halves"])
 
-    return texts.mapInArrow(run, "doc long, place int, n int, h long, halves array<long>")
+    return texts.mapInArrow(run, "doc long, place int, h long, halves array<long>")
 
 
 def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -115,7 +116,8 @@ def _chosen(lines: Lines, lists: pa.Array) -> np.ndarray:
 
 
 def neighbourhoods(texts: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
-    """(doc, place, key, gone) for every word that is left out of the lines at these places, of min_words words at least."""
+    """(h, key, gone) for every word that is left out of the lines at these places, of min_words words at least: the line's
+    hash, that of the rest, and the place of the word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,10 +131,10 @@ def neighbourhoods(texts: DataFrame, places: DataFrame, min_words: int) -> DataF
                 start, stop = a[line], (a + n)[line]
                 with np.errstate(over="ignore"):  # what follows the gap moves up by one
                     value = lines.run(start, start + gone) + (lines.sums[stop] - lines.sums[start + gone + 1]) * lines.back[start + 1]
-                ids = batch.column(0).slice(first, len(part)).take(pa.array(lines.text[own][line]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(lines.place[own][line].astype(np.int32)), pa.array(_key(value, (n - 1)[line])), pa.array(gone.astype(np.int32))], names=["doc", "place", "key", "gone"])
+                columns = [_key(lines.run(a, a + n), n)[line], _key(value, (n - 1)[line]), gone.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "key", "gone"])
 
-    return _with_places(texts, places).mapInArrow(run, "doc long, place int, key long, gone int")
+    return _with_places(texts, places).mapInArrow(run, "h long, key long, gone int")
 
 
 def near_words(a: list[str], b: list[str], min_words: int) -> bool:
@@ -146,7 +148,7 @@ def near_words(a: list[str], b: list[str], min_words: int) -> bool:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
-    """pairs (h, n, first, partner) whose lines are near indeed."""
+    """pairs (h, first, partner) whose lines are near indeed: (h, partner)."""
     places = pairs.select("first.doc", "first.place").union(pairs.select("partner.doc", "partner.place")).distinct()
 
     def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,15 +163,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
 
     lines = stored(_with_places(texts, places).mapInArrow(lines_of, "doc long, place int, line string"))
     one, two = (lines.select(F.struct("doc", "place").alias(c), F.col("line").alias(f"line_{c}")) for c in ("first", "partner"))
-    both = pairs.join(one, "first").join(two, "partner").select("h", "n", "partner", "line_first", "line_partner")
+    both = pairs.join(one, "first").join(two, "partner").select("h", "partner", "line_first", "line_partner")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [pc.utf8_lower(batch.column(c)).to_pylist() for c in (3, 4)]
+            sides = [pc.utf8_lower(batch.column(c)).to_pylist() for c in (2, 3)]
             keep = [near_words(a.split(), b.split(), min_words) for a, b in zip(*sides, strict=True)]
-            yield batch.select([0, 1, 2]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    out = cut(both.mapInArrow(check, "h long, n int, partner struct<doc:long,place:int>"))
+    out = cut(both.mapInArrow(check, "h long, partner struct<doc:long,place:int>"))
     discard(lines)
     return out
 
@@ -177,30 +179,42 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
 def dropped_lines(texts: DataFrame, min_words: int = 5) -> DataFrame:
     """(doc, place) of every line that an earlier one is near to. texts: (doc, text)."""
     lines = stored(line_hashes(texts, min_words))
-    classes = stored(lines.groupBy("h", "n").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves")))
-    halved = classes.select("h", "n", "first", F.explode("halves").alias("half"))
-    shared = halved.groupBy("half").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.min("n").alias("less"), F.max("n").alias("more")).where("low <> high or less <> more").select("half")
-    some = cut(halved.join(shared, "half", "left_semi").select("h", "n", "first").distinct())
-    around = neighbourhoods(texts, some.select("first.doc", "first.place"), min_words)
-    around = stored(around.join(some.select("h", "n", "first.doc", "first.place"), ["doc", "place"]).select("h", "n", F.struct("doc", "place").alias("first"), "key", "gone"))
+    classes = stored(lines.groupBy("h").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves")))
+    # classes that share a half with another one
+    halved = classes.select("h", F.explode("halves").alias("half"))
+    shared = stored(_of_several(halved, "half"))
+    sharing = join_groups(halved, shared, ["half"], "size").select("h").distinct()
+    some = stored(classes.select("h", "first").join(sharing, "h"))
+    around = stored(neighbourhoods(texts, some.select("first.doc", "first.place"), min_words))
+    # keys that several classes have; a class's own hash is a key without a gap
+    keys = around.union(some.select("h", F.col("h").alias("key"), F.lit(-1)))
+    live = stored(_of_several(keys, "key"))
+    met = stored(join_groups(keys, live, ["key"], "size").select("key", "gone", "h").join(some, "h"))
+    discard(around, live, shared)
+    gaps = met.where("gone >= 0")
     # a word changed: all that lose a word at one place to the same rest
-    changed = cut(around.groupBy("key", "gone").agg(F.min("first").alias("partner"), F.count("*").alias("size")).where("size > 1"))
-    changed = join_groups(around, changed, ["key", "gone"], "size").select("h", "n", "partner")
+    changed = cut(gaps.groupBy("key", "gone").agg(F.min("first").alias("partner"), F.count("*").alias("size")))
+    changed = join_groups(gaps, changed, ["key", "gone"], "size").select("h", "partner")
     # a word added or left out: the rest is a line itself
-    whole = some.select(F.col("h").alias("key"), F.col("n").alias("short"), F.col("first").alias("of_short"))
-    fewer = cut(around.join(whole, "key").where("short = n - 1").select("h", "n", "first", "key", "short", "of_short"))
-    partners = changed.union(fewer.select("h", "n", "of_short")).union(fewer.groupBy("key", "short").agg(F.min("first")))
-    earliest = cut(partners.groupBy("h", "n").agg(F.min("partner").alias("partner")).join(some, ["h", "n"]).where("partner < first"))
-    discard(around)
-    near = _verified(earliest, texts, min_words)
+    whole = met.where("gone < 0").select("key", F.col("h").alias("short"), F.col("first").alias("of_short"))
+    longer = cut(gaps.groupBy("key").agg(F.min("first").alias("earliest"), F.count("*").alias("size")).join(whole, "key"))
+    added = join_groups(gaps.select("key", "h"), longer, ["key"], "size").select("h", "of_short").union(longer.select("short", "earliest"))
+    partners = changed.union(added).groupBy("h").agg(F.min("partner").alias("partner"))
+    near = _verified(cut(partners.join(some, "h").where("partner < first")), texts, min_words)
     # of a class with an earlier partner all lines go, of others all but the first
-    marked = classes.select("h", "n", "first", "times").join(near, ["h", "n"], "left").where("times > 1 or partner is not null").select("h", "n", F.coalesce("partner", "first").alias("kept"), "times")
-    gone = join_groups(lines.select("doc", "place", "h", "n"), cut(marked), ["h", "n"], "times").where(F.struct("doc", "place") > F.col("kept"))
+    marked = classes.where("times > 1").select("h", "first", "times").join(near, "h", "full_outer")
+    marked = stored(marked.select("h", F.coalesce("partner", "first").alias("kept"), F.coalesce("times", F.lit(1)).alias("times")))
+    gone = join_groups(lines.select("doc", "place", "h"), marked, ["h"], "times").where(F.struct("doc", "place") > F.col("kept"))
     out = cut(gone.select("doc", "place"))
-    discard(lines, classes)
+    discard(lines, classes, some, met, marked)
     return out
 
 
+def _of_several(keys: DataFrame, key: str) -> DataFrame:
+    """(key, size): keys that lines of several classes have, and how many rows have each."""
+    return keys.groupBy(key).agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count("*").alias("size")).where("low <> high").select(key, "size")
+
+
 def dedup_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text", lines_col: str = "n_lines", dropped_col: str = "n_dropped") -> DataFrame:
     """docs with the text less its dropped lines, and the numbers of lines and dropped lines. A text of which nothing goes is as it was."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
