@@ -29,6 +29,7 @@ class CityConfig:
     expected_years: tuple[int, ...] = field(default=tuple(range(1991, 2021)))
 
 
+#: Column names that the cities' layers have.
 _IDS = ("@id", "id", "osm_id", "osmid", "osm_way_id", "way_id")
 _OSM = ("osm_id", "code", "fclass", "name", "type")
 _TAGS = ("building", "building:levels", "building:height", "height", "building:material", "roof:shape", "roof:material", "roof:height", "roof:levels", "name", "addr:postcode")

@@ -57,49 +57,71 @@ def path_length(path: Column) -> Column:
     return F.aggregate(edges(path), F.lit(0.0), lambda s, e: s + F.sqrt((e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"])))
 
 
-def ring_moments(ring: Column) -> Column:
-    """struct<a, mx, my>: twice the signed area and six times its first moments, about the ring's first vertex."""
-    ox, oy = F.coalesce(F.get(ring, F.lit(0))["x"], F.lit(0.0)), F.coalesce(F.get(ring, F.lit(0))["y"], F.lit(0.0))
-    start = F.named_struct(F.lit("a"), F.lit(0.0), F.lit("mx"), F.lit(0.0), F.lit("my"), F.lit(0.0))
+def ring_turn(ring: Column) -> Column:
+    """Twice a ring's signed area, positive for one that turns left."""
+    first = F.get(ring, F.lit(0))
+    about = lambda e: (e["x1"] - first["x"]) * (e["y2"] - first["y"]) - (e["x2"] - first["x"]) * (e["y1"] - first["y"])
+    return F.aggregate(edges(ring), F.lit(0.0), lambda s, e: s + about(e))
 
-    def add(s: Column, e: Column) -> Column:
-        x1, y1, x2, y2 = e["x1"] - ox, e["y1"] - oy, e["x2"] - ox, e["y2"] - oy
-        c = x1 * y2 - x2 * y1
-        return F.named_struct(F.lit("a"), s["a"] + c, F.lit("mx"), s["mx"] + c * (x1 + x2), F.lit("my"), s["my"] + c * (y1 + y2))
 
-    return F.aggregate(edges(ring), start, add)
+def once(value: Column, use) -> Column:
+    """use(v) for a value that is computed once a row, however often v is used: a lambda's variable is not inlined."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _moments(geom: Column) -> Column:
+    """struct<a, mx, my> of a polygon: its area and the first moments of it, holes taken off, whatever the rings' direction.
+
+    One fold over all edges: each ring's sums are taken about its first vertex, then moved to the origin.
+    """
+    zero = F.named_struct(F.lit("a"), F.lit(0.0), F.lit("mx"), F.lit(0.0), F.lit("my"), F.lit(0.0))
+
+    def of_ring(ring: Column, sign: Column) -> Column:
+        first = F.get(ring, F.lit(0))
+
+        def from_first(o: Column) -> Column:
+            def add(s: Column, p: Column) -> Column:
+                # s keeps the point before, about the first vertex
+                x, y = p["x"] - o["x"], p["y"] - o["y"]
+                c = s["x"] * y - x * s["y"]
+                return F.named_struct(F.lit("x"), x, F.lit("y"), y, F.lit("a"), s["a"] + c, F.lit("mx"), s["mx"] + c * (s["x"] + x), F.lit("my"), s["my"] + c * (s["y"] + y))
+
+            start = F.named_struct(F.lit("x"), F.lit(0.0), F.lit("y"), F.lit(0.0), F.lit("a"), F.lit(0.0), F.lit("mx"), F.lit(0.0), F.lit("my"), F.lit(0.0))
+            return F.aggregate(ring, start, add, lambda s: _moved(s, o, sign))
 
+        return once(first, from_first)
 
-def _rings(part: Column, value, hole_sign: float = -1.0) -> Column:
-    """Sum over a part's rings, holes with a sign of their own. value(ring) is a double."""
-    summed = F.aggregate(F.transform(part, lambda ring, i: F.when(i == 0, value(ring)).otherwise(hole_sign * value(ring))), F.lit(0.0), lambda s, v: s + v)
-    return summed
+    def _moved(s: Column, o: Column, sign: Column) -> Column:
+        way = sign * F.signum(s["a"])
+        return F.named_struct(F.lit("a"), sign * F.abs(s["a"]) / 2, F.lit("mx"), way * (s["mx"] / 6 + o["x"] * s["a"] / 2), F.lit("my"), way * (s["my"] / 6 + o["y"] * s["a"] / 2))
+
+    rings = F.flatten(F.transform(geom, lambda part: F.transform(part, lambda ring, i: of_ring(ring, F.when(i == 0, 1.0).otherwise(-1.0)))))
+    some = F.filter(rings, lambda m: m["a"].isNotNull())
+    return F.aggregate(some, zero, lambda s, m: F.named_struct(F.lit("a"), s["a"] + m["a"], F.lit("mx"), s["mx"] + m["mx"], F.lit("my"), s["my"] + m["my"]))
 
 
 def area(geom: Column) -> Column:
     """Polygon area, holes taken off, whatever the rings' direction."""
-    return F.aggregate(F.transform(geom, lambda part: _rings(part, lambda ring: F.abs(ring_moments(ring)["a"]) / 2)), F.lit(0.0), lambda s, v: s + v)
+    return _moments(geom)["a"]
+
+
+def _line_moments(geom: Column) -> Column:
+    """struct<a, mx, my> of a geometry's lengths."""
+    zero = F.named_struct(F.lit("a"), F.lit(0.0), F.lit("mx"), F.lit(0.0), F.lit("my"), F.lit(0.0))
+
+    def add(s: Column, e: Column) -> Column:
+        size = F.hypot(e["x2"] - e["x1"], e["y2"] - e["y1"])
+        return F.named_struct(F.lit("a"), s["a"] + size, F.lit("mx"), s["mx"] + size * (e["x1"] + e["x2"]) / 2, F.lit("my"), s["my"] + size * (e["y1"] + e["y2"]) / 2)
+
+    return F.aggregate(F.flatten(F.transform(F.flatten(geom), edges)), zero, add)
 
 
 def centroid(geom: Column) -> Column:
     """struct<x, y>: the area's centre; of a geometry without area the centre of its lengths; of a point the point."""
-    by_area = lambda key, first: F.aggregate(F.transform(geom, lambda part: _rings(part, lambda ring: _moment(ring, key, first))), F.lit(0.0), lambda s, v: s + v)
-    total = area(geom)
-    paths = F.flatten(geom)
-    every = F.flatten(F.transform(paths, edges))
-    size = lambda e: F.sqrt((e["x2"] - e["x1"]) * (e["x2"] - e["x1"]) + (e["y2"] - e["y1"]) * (e["y2"] - e["y1"]))
-    length = F.aggregate(every, F.lit(0.0), lambda s, e: s + size(e))
-    line = lambda a, b: F.aggregate(every, F.lit(0.0), lambda s, e: s + size(e) * (e[a] + e[b]) / 2)
-    only = F.get(F.flatten(paths), F.lit(0))
-    pick = lambda key, a, b: F.when(total > 0, by_area(key, a[0]) / F.when(total > 0, total)).when(length > 0, line(a, b) / F.when(length > 0, length)).otherwise(only[a[0]])
-    return F.struct(pick("mx", "x1", "x2").alias("x"), pick("my", "y1", "y2").alias("y"))
-
-
-def _moment(ring: Column, key: str, axis: str) -> Column:
-    """First moment of the ring's area, as a positive area."""
-    m = ring_moments(ring)
-    origin = F.coalesce(F.get(ring, F.lit(0))[axis], F.lit(0.0))
-    return F.signum(m["a"]) * (m[key] / 6 + origin * m["a"] / 2)
+    middle = lambda m: F.struct((m["mx"] / m["a"]).alias("x"), (m["my"] / m["a"]).alias("y"))
+    point = F.get(F.flatten(F.flatten(geom)), F.lit(0))
+    by_length = once(_line_moments(geom), lambda m: F.when(m["a"] > 0, middle(m)).otherwise(F.struct(point["x"].alias("x"), point["y"].alias("y"))))
+    return once(_moments(geom), lambda m: F.when(m["a"] > 0, middle(m)).otherwise(by_length))
 
 
 def bounds(geom: Column) -> Column:

@@ -7,7 +7,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.functions.columns import GEOMETRY, edges, ring_moments
+from rillgrid.functions.columns import GEOMETRY, edges, ring_turn
 
 Point = tuple[float, float]
 
@@ -73,7 +73,7 @@ def dissolved(layer: DataFrame, by: str = "city") -> DataFrame:
     """by, geom: the union of each group's polygons. Sides that two parts share in opposite directions cancel out in Spark; only
     the outline of a group, which is small, is chained in one task."""
     rings = layer.select(by, F.explode("geom").alias("_p")).select(by, F.posexplode("_p").alias("_k", "_r"))
-    signed = ring_moments(F.col("_r"))["a"]
+    signed = ring_turn(F.col("_r"))
     # shells anticlockwise, holes clockwise
     turned = F.when((F.col("_k") == 0) == (signed > 0), F.col("_r")).otherwise(F.reverse("_r"))
     sides = rings.select(by, F.explode(edges(turned)).alias("e")).select(by, "e.*").where("x1 <> x2 or y1 <> y2")

@@ -113,6 +113,6 @@ def columns_with_data(hourly: DataFrame, value: str = "tp") -> DataFrame:
     return hourly.groupBy("city", "longitude").agg((F.count(value) > 0).alias("has_data"))
 
 
-def hazard_table(buildings: DataFrame, value: str = "H_pluvial_v1_mm", source: str = "ERA5-Land tp", metric: str = "mean annual maximum 1-hour precipitation", version: str = "v1") -> DataFrame:
+def hazard_table(buildings: DataFrame, value: str = "H_pluvial_v1_mm", source: str = "ERA5-Land", metric: str = "mean_annual_max_1h_1991_2020", version: str = "v1") -> DataFrame:
     """The hazard's columns, value as float, with its three constant labels."""
     return buildings.select("city", "bldg_id", F.col(value).cast("float").alias(value), F.lit(source).alias("hazard_src"), F.lit(metric).alias("hazard_metric"), F.lit(version).alias("hazard_version"))

@@ -148,11 +148,15 @@ def _side_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_d", F.when(cross, 0.0).otherwise(F.sqrt(F.least(*apart))))
 
 
-def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources: list[str], key: str = "bldg_id", areas: bool = False, cell: float = CELL) -> DataFrame:
+def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources: list[str], key: str = "bldg_id", areas: bool = False, cell: float = CELL, union: bool = False) -> DataFrame:
     """key, dist_to_<source>_m for each water_source, dist_to_water_m: from the whole footprint, 0 on contact or inside.
 
     buildings: key, geom; segments: water_source, x1, y1, x2, y2. dist_to_water_m is the least of the sources', null if
-    one is missing. With ``areas``, segments carry ``of``, the polygon they bound (else null), and a building inside it is at 0.
+    one is missing; with ``union`` it is the least of those that are there. With ``areas``, segments carry ``of``, the polygon
+    they bound (else null), and a building inside it is at 0.
+
+    Sides are compared with few segments only: first each footprint's middle gets its least distance u. No point of the
+    footprint is further than ``reach`` from there, so the nearest segment is at most u + 2 * reach from the middle.
     """
     from rillgrid.functions.columns import bounds, least_of_all
 
@@ -161,8 +165,10 @@ def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources:
     b = b.withColumn("sides", F.flatten(F.transform(F.flatten("geom"), edges))).select("city", key, "geom", "sides", "px", "py", "reach", "_b.*")
     columns = ["city", "water_source", "x1", "y1", "x2", "y2", *(["of"] if areas else [])]
     ends = tuple(map(F.col, ("x1", "y1", "x2", "y2")))
+    to_middle = point_segment(F.col("px"), F.col("py"), *ends)
 
     def apart(met: DataFrame) -> DataFrame:
+        met = met.where(to_middle <= F.col("u") + 2 * F.col("reach") + 1e-6) if not areas else met
         # a segment that no side meets is inside if its start is; most are not even in the building's box
         boxed = ends[0].between(F.col("xmin"), F.col("xmax")) & ends[1].between(F.col("ymin"), F.col("ymax"))
         within = F.when(boxed, inside(ends[0], ends[1], F.col("geom"))).otherwise(F.lit(False))
@@ -175,10 +181,17 @@ def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources:
 
     # each source is looked for on its own, so that one that is far does not send the others on another round
     targets = b.withColumn("water_source", F.explode(F.array(*map(F.lit, sources))))
-    found = nearest_by_rings(targets, _with_city(segments).select(*columns), [key, "water_source"], apart, ("water_source",), cell)
+    segments = _with_city(segments).select(*columns)
+    if not areas:
+        middles = targets.select("city", key, "water_source", "px", "py", F.lit(0.0).alias("reach"))
+        u = nearest_by_rings(middles, segments, [key, "water_source"], lambda met: met.withColumn("_d", to_middle), ("water_source",), cell)
+        targets = cut(targets.join(u.where("d is not null").withColumnRenamed("d", "u"), ["city", key, "water_source"]))
+    found = nearest_by_rings(targets, segments, [key, "water_source"], apart, ("water_source",), cell)
     names = {name: f"dist_to_{name}_m" for name in sources}
+    found = found.unionByName(b.select("city", key, F.lit(None).cast("string").alias("water_source"), F.lit(None).cast("double").alias("d")))  # those without any water too
     out = found.groupBy("city", key).agg(*[F.max(F.when(F.col("water_source") == name, F.col("d"))).alias(n) for name, n in names.items()])
-    out = out.withColumn("dist_to_water_m", least_of_all(*[F.col(n) for n in names.values()]))
+    every = [F.col(n) for n in names.values()]
+    out = out.withColumn("dist_to_water_m", F.array_min(F.array(*every)) if union else least_of_all(*every))
     return out if "city" in buildings.columns else out.drop("city")
 
 

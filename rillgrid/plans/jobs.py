@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.functions.columns import centroid
+from rillgrid.functions.columns import centroid, inside
 from rillgrid.functions.crs import to_lonlat
 from rillgrid.functions.interior import with_interior_point
 from rillgrid.operators import normalize, quality, rain, spatial
@@ -58,29 +58,41 @@ def proximity(buildings: DataFrame, layers: dict[str, DataFrame]) -> DataFrame:
 
 
 def proximity_refined(buildings: DataFrame, hydrography: DataFrame, coast: DataFrame, waterways: DataFrame, water_areas: DataFrame, extent_m: float = 5000.0) -> DataFrame:
-    """Version 3b: also rivers, canals and the edges of water areas, cut to the buildings' extent grown by 5 km."""
+    """Version 3b: also rivers, canals and the edges of water areas, cut to the buildings' extent grown by 5 km. The distance to
+    water is over all sources together; where a city has none of one kind, the others count. Of water areas the edges that they
+    have are cut to the extent; the extent's own sides, where it cuts through an area, are no water's edge here. Raises if a
+    source is empty as a whole."""
     from rillgrid.functions.columns import bounds
 
+    for name, layer in (("hydrography", hydrography), ("coast", coast)):
+        if layer.isEmpty():
+            raise ValueError(f"the {name} layer is empty")
+
     box = cut(quality.grown(quality.layer_bounds(buildings.withColumn("_b", bounds(F.col("geom"))).select("city", "_b.*"), ["city"]), extent_m))
     ways = clip_to_box(spatial.to_segments(normalize.of_classes(waterways, WATERWAYS), "city"), box).drop("piece")
     areas = clip_to_box(spatial.to_segments(normalize.of_classes(water_areas, WATER_AREAS), "city"), box).drop("piece")
     own = {name: spatial.to_segments(layer, "city") for name, layer in (("hydrography", hydrography), ("coast", coast))}
     stacked = cut(spatial.stack_sources(own | {"osm_waterways": ways, "osm_water_polygons": areas}))
-    return spatial.nearest_from_footprints(buildings, stacked, ["hydrography", "coast", "osm_waterways", "osm_water_polygons"])
+    return spatial.nearest_from_footprints(buildings, stacked, ["hydrography", "coast", "osm_waterways", "osm_water_polygons"], union=True)
 
 
 def city_coastline(coast: DataFrame, boundary: DataFrame, buffer_m: float = 20_000.0) -> DataFrame:
     """Coast segments that meet the boundary grown by the buffer, with their source and buffer."""
-    return near_boundary(coast, boundary, buffer_m).withColumns({"source": F.lit("natural_earth"), "buffer_m": F.lit(buffer_m)})
+    return near_boundary(coast, boundary, buffer_m).withColumns({"source": F.lit("Natural Earth 10m coastline"), "buffer_m": F.lit(buffer_m)})
 
 
 def coastal_proxy(natural: DataFrame, boundary: DataFrame | None, buffer_m: float = 2000.0) -> DataFrame:
-    """Beaches and cliffs as coast, near the boundary if one is given."""
-    kept = normalize.of_classes(natural, COASTAL).withColumns({"source": F.lit("osm_natural"), "coastal_proxy_type": F.col("fclass")})
-    if boundary is None:
-        return kept
-    ids = near_boundary(spatial.to_segments(kept, "city", "osm_id"), boundary, buffer_m).select("city", "osm_id").distinct()
-    return kept.join(ids, ["city", "osm_id"], "left_semi")
+    """Beaches and cliffs as coast, near the boundary if one is given. Raises if there is none."""
+    kept = normalize.of_classes(natural, COASTAL).withColumns({"source": F.lit("osm_gis_osm_natural_a_free"), "coastal_proxy_type": F.col("fclass")})
+    if boundary is not None:
+        ids = near_boundary(spatial.to_segments(kept, "city", "osm_id"), boundary, buffer_m).select("city", "osm_id")
+        # an area that holds the whole grown boundary has no side near it
+        corner = F.get(F.flatten(F.flatten(F.col("_g"))), F.lit(0))
+        round_ = kept.join(F.broadcast(boundary.select("city", F.col("geom").alias("_g"))), "city").where(inside(corner["x"], corner["y"], F.col("geom"))).select("city", "osm_id")
+        kept = kept.join(ids.union(round_).distinct(), ["city", "osm_id"], "left_semi")
+    if kept.isEmpty():
+        raise ValueError(f"no area of {', '.join(COASTAL)} is there")
+    return kept
 
 
 def clipped_water(water: DataFrame, boundary: DataFrame) -> DataFrame:

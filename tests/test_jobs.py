@@ -46,7 +46,9 @@ def test_versions_two_and_three(spark, buildings):
     areas = spark.createDataFrame([("A", "water", box(0, 14)), ("B", "water", box(12, 0))], f"city string, fclass string, geom {PATH}")
     refined = {(r.city, r.bldg_id): r for r in jobs.proximity_refined(buildings, hydro, beach, ways, areas).collect()}
     assert refined["A", 1].dist_to_osm_waterways_m == 20 and refined["A", 1].dist_to_osm_water_polygons_m == 4 and refined["A", 1].dist_to_water_m == 4
-    assert refined["B", 1].dist_to_osm_waterways_m is None and refined["B", 1].dist_to_water_m is None
+    assert refined["B", 1].dist_to_osm_waterways_m is None and refined["B", 1].dist_to_water_m == 2
+    with pytest.raises(ValueError):
+        jobs.proximity_refined(buildings, hydro.where("city = 'x'"), beach, ways, areas)
 
 
 def test_coastal_proxy(spark):
@@ -54,6 +56,10 @@ def test_coastal_proxy(spark):
     boundary = spark.createDataFrame([("A", box(1000, 0, 500, 500))], f"city string, geom {PATH}")
     assert [r.osm_id for r in jobs.coastal_proxy(natural, boundary).collect()] == ["1"]
     assert jobs.coastal_proxy(natural, None).count() == 2
+    round_ = spark.createDataFrame([("A", "9", "beach", box(-9000, -9000, 30000, 30000))], natural.schema)
+    assert [r.osm_id for r in jobs.coastal_proxy(round_, boundary).collect()] == ["9"]
+    with pytest.raises(ValueError):
+        jobs.coastal_proxy(natural.where("fclass = 'wood'"), boundary)
 
 
 def test_rain_hazard_runs_through(spark):
