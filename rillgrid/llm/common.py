@@ -54,14 +54,17 @@ def discard(*held: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
-HOT_KEYS, HOT_ROWS = 50_000, 1000  # keys that may be broadcast, and rows that a key has at least for that
+FEW_GROUPS = 500_000  # groups that may be broadcast as they are: some tens of MB
+HOT_KEYS, HOT_ROWS = 50_000, 1000  # hot keys that may be broadcast beyond that, and rows that a key has at least for it
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], times: str) -> DataFrame:
-    """rows joined with groups, which have one row a key; their column ``times`` says how many rows have the key. Keys with
-    more than 1 / HOT_KEYS of all rows, so fewer than HOT_KEYS whatever the data, are broadcast, so that none of them meets
-    in one task; the others are shuffled."""
-    total = groups.agg(F.sum(times)).first()[0] or 0
+    """rows joined with groups, which have one row a key; their column ``times`` says how many rows have the key. Up to
+    FEW_GROUPS groups are broadcast. Of more, the keys with more than 1 / HOT_KEYS of all rows, so fewer than HOT_KEYS
+    whatever the data, are broadcast, so that none of them meets in one task; the others are shuffled."""
+    n, total = groups.agg(F.count("*"), F.sum(times)).first()
+    if n <= FEW_GROUPS:
+        return rows.join(F.broadcast(groups), on)
     least = max(HOT_ROWS, total // HOT_KEYS)
     hot = groups.where(F.col(times) > least)
     if hot.isEmpty():
