@@ -11,6 +11,8 @@ Repeated rows give repeated results; other columns are ignored; an empty table g
 
 from __future__ import annotations
 
+import random
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -22,20 +24,48 @@ from rillgrid.llm.common import held
 
 #: (host/path, verdict) as the contract has them.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
-BUCKETS = 4096
+BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Words of the labelled hosts and paths; the table is all of them, each on a few hosts.
-BLOCK_WORDS = ("casino-win", "free-bets", "poker-bonus", "cheap-pills", "pharma-deal", "spam-farm", "link-farm", "adult-x", "xxx-cams", "ads-track", "click-track", "win-prize", "loan-fast", "replica-shop", "crack-keygen", "phish-login")
-ALLOW_WORDS = ("news", "library", "museum", "garden", "recipes", "weather", "history", "science", "forum", "docs", "travel", "music", "school", "city", "books", "sports")
-
-
-def seed_urls(spark: SparkSession) -> DataFrame:
-    """A small labelled table (url, label; 1 is block): each word as a host and as a path, on three top-level domains."""
-    shapes = ("https://www.{w}.example.{t}/en/1", "http://{w}.example.{t}/fr/2.html", "https://blog.site.example.{t}/{w}/3/", "http://m.{w}.{t}/")
-    rows = [(s.format(w=w, t=t), y) for y, words in ((1, BLOCK_WORDS), (0, ALLOW_WORDS)) for w in words for t in ("com", "net", "org") for s in shapes]
-    return spark.createDataFrame(rows, "url string, label int")
+#: Words of the labelled table, as block lists of these topics have them: gambling, medicines, adult, advertising, fraud; and neutral ones.
+BLOCK_WORDS = (
+    "casino", "poker", "roulette", "jackpot", "slots", "betting", "bets", "wager", "lottery", "bingo",
+    "pills", "pharma", "viagra", "cialis", "meds", "steroids",
+    "porn", "xxx", "sex", "adult", "nude", "escort", "webcam",
+    "ads", "adserver", "tracker", "popunder", "clickbait", "affiliate",
+    "spam", "phish", "malware", "warez", "keygen", "payday", "scam",
+)
+NEUTRAL_WORDS = (
+    "news", "library", "museum", "garden", "recipes", "weather", "history", "science", "forum", "docs", "travel", "music", "school",
+    "city", "books", "sports", "blog", "shop", "mail", "cloud", "health", "market", "river", "photo", "data", "wiki", "help", "about",
+    "press", "radio", "video", "bank", "farm", "win", "free", "cheap", "track", "bonus", "deal", "link", "best", "top", "online", "club",
+)
+
+
+def _made_up(n: int) -> list[str]:
+    """Words without a meaning, as most names of hosts are."""
+    rnd = random.Random(41)
+    starts, vowels, ends = ("b", "c", "d", "f", "g", "h", "k", "l", "m", "n", "p", "r", "s", "t", "v", "w", "st", "th", "tr", "ch", ""), ("a", "e", "i", "o", "u", "ea", "io", "ou"), ("", "", "n", "r", "s", "t", "l", "nd", "st", "ng", "th")
+    return ["".join(rnd.choice(starts) + rnd.choice(vowels) + rnd.choice(ends) for _ in range(rnd.randint(1, 4))) for _ in range(n)]
+
+
+def seed_urls(spark: SparkSession, block_words: tuple[str, ...] = BLOCK_WORDS) -> DataFrame:
+    """A small labelled table (url, label; 1 is block). A blocked URL has a word of BLOCK_WORDS in its host or path, alone or
+    joined to any other word; the others have neutral or made-up words in the same places, so that neither the shapes nor the
+    words beside say anything."""
+    rnd = random.Random(17)
+    others = [*NEUTRAL_WORDS, *_made_up(600)]
+    tops, tongues = ("com", "net", "org", "info"), ("en", "fr", "de", "es")
+    joins = ("{a}-{b}", "{a}{b}", "{b}-{a}", "{b}{a}", "{a}", "{a}{n}")
+    places = ("https://www.{x}.example.{t}/{g}/{n}", "http://{x}.{t}/", "https://{x}.example.{t}/{g}/{n}.html", "http://{o}.{x}.{t}/{g}/{p}", "https://{o}.example.{t}/{x}/{n}", "https://{o}.{t}/{g}/{x}.html")
+
+    def url(word: str) -> str:
+        name = rnd.choice(joins).format(a=word, b=rnd.choice(others), n=rnd.randint(1, 999))
+        return rnd.choice(places).format(x=name, o=rnd.choice(others), p=rnd.choice(others), t=rnd.choice(tops), g=rnd.choice(tongues), n=rnd.randint(1, 9999))
+
+    rows = [(url(w), 1) for w in block_words for _ in range(30)] + [(url(w), 0) for w in others for _ in range(6)]
+    return spark.createDataFrame(rows, "url string, label int").coalesce(1)  # it is small
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -70,8 +100,8 @@ def fit(labelled: DataFrame) -> PipelineModel:
     """labelled: (url, label), label 1 for block."""
     host, path = host_and_path(F.col("url"))
     rows = labelled.where("url is not null and label in (0, 1)").select(F.col("label").cast("double").alias("label"), grams(host, path).alias("grams"))
-    steps = [HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="hashed"), LogisticRegression(featuresCol="hashed", labelCol="label", regParam=0.02, maxIter=40, standardization=False)]
-    return Pipeline(stages=steps).fit(rows.coalesce(1))
+    steps = [HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="hashed"), LogisticRegression(featuresCol="hashed", labelCol="label", regParam=0.01, maxIter=40, standardization=False)]
+    return Pipeline(stages=steps).fit(rows)
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: tuple[tuple[str, str], ...] = RULES, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5) -> DataFrame:
