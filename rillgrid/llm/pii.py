@@ -5,6 +5,11 @@ stay. High-recall generators propose further spans, which may overlap: spelled-o
 form. Boosted trees on format and context features give each a chance; a threshold for each kind, calibrated on labelled
 candidates that the trees did not see, selects what is added. Of overlapping spans a base one stays, else the likeliest.
 
+The trees learn from two tables. One is of the documents themselves: matches of the base patterns, valid ones (label 1) and those
+that fail their rules (label 0), rewritten as the generators' forms and left in their own contexts; about ``REAL`` at most of
+each kind and label, drawn by hash. The other (``seed_candidates``) is made by rule, for forms and contexts that the documents
+lack: there the label follows from the span's form for most, and from the words beside it for the rest.
+
 Everything is DataFrame functions and Spark's own ML. A pattern's places come from the lengths of what lies between its
 matches. Patterns are possessive and start at the start of a run only, so they take linear time on any text.
 
@@ -46,7 +51,8 @@ MORE_SIGN = {"email": r"[(\[{] ?at ?[)\]}]| at [A-Za-z0-9-]+(?: dot |\.)[A-Za-z0
 CONTEXT = 24  # characters that are looked at on either side
 FOR_WORDS = r"\b(?:call|phone|tel|mobile|fax|contact|reach|mail|email|e-mail|write|card|visa|pay|payment|ip|host|server|address)\b"
 AGAINST_WORDS = r"\b(?:order|version|serial|isbn|id|ref|page|code|section|item|total|invoice|build|release|chapter|part|figure)\b"
-SEEDS, TREES, DEPTH, PRECISION = 2400, 16, 4, 0.95
+ENDS = r"(?i)(?:\.|dot[)\]}]? ?)(?:com|org|net|edu|gov|info|io|eu|us|uk|de|fr|es|it|nl)$"  # what addresses end in
+SEEDS, REAL, TREES, DEPTH, PRECISION = 4000, 500, 20, 5, 0.95
 
 
 def _found(text: Column, kind: str, pattern: str, sign: str, base: bool) -> Column:
@@ -97,7 +103,7 @@ def candidates(texts: DataFrame) -> DataFrame:
     return found.withColumn("start", start).withColumn("end", F.col("start") + F.length("span")).drop("k", "gap")
 
 
-FEATURES = ("is_email", "is_ip", "is_card", "is_phone", "n_digits", "n_chars", "n_signs", "n_kinds_of_signs", "n_digits_met", "luhn", "octets", "bracket", "for_words", "against_words", "letter_before", "letter_after", "digit_near")
+FEATURES = ("is_email", "is_ip", "is_card", "is_phone", "n_digits", "n_chars", "n_signs", "n_kinds_of_signs", "n_digits_met", "luhn", "octets", "bracket", "for_words", "against_words", "letter_before", "letter_after", "digit_near", "known_end", "first_digit", "n_parts", "n_words_at")
 
 
 def with_features(spans: DataFrame) -> DataFrame:
@@ -112,29 +118,67 @@ def with_features(spans: DataFrame) -> DataFrame:
             "n_digits": count(digits), "n_chars": count(span), "n_signs": count(signs), "n_kinds_of_signs": F.size(F.array_distinct(F.split(signs, ""))).cast("double"),
             "n_digits_met": F.size(F.array_distinct(F.split(digits, ""))).cast("double"), "luhn": flag(F.length(digits).between(12, 19) & _luhn(digits)), "octets": flag(_octets(F.regexp_replace(span, r"[^0-9.]", ""))),
             "bracket": flag(span.startswith("(")), "for_words": flag(near.rlike(FOR_WORDS)), "against_words": flag(near.rlike(AGAINST_WORDS)), "letter_before": flag(F.col("before").rlike("[A-Za-z_]$")),
-            "letter_after": flag(F.col("after").rlike("^[A-Za-z_]")), "digit_near": flag(F.col("before").rlike("[0-9][ .-]?$") | F.col("after").rlike("^[ .-]?[0-9]")),
+            "letter_after": flag(F.col("after").rlike("^[A-Za-z_]")), "known_end": flag(span.rlike(ENDS)), "first_digit": F.coalesce(F.substring(digits, 1, 1).try_cast("double"), F.lit(-1.0)),
+            "n_parts": F.size(F.split(span, "[^A-Za-z0-9]+")).cast("double"), "n_words_at": flag(span.rlike(r"^[a-z]+ at [a-z]+")), "digit_near": flag(F.col("before").rlike("[0-9][ .-]?$") | F.col("after").rlike("^[ .-]?[0-9]")),
         }
     )
 
 
+def _draws():
+    """Draws by the hash of a row's id: a number below n, one of some texts, a number of some digits."""
+    h = lambda k, n: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n))
+    pick = lambda k, *of: F.element_at(F.array(*map(F.lit, of)), (h(k, len(of)) + 1).cast("int"))
+    number = lambda k, width: F.lpad(h(k, 10**width).cast("string"), width, "1")
+    return h, pick, number
+
+
+def _joined(parts: Column, by: Column) -> Column:
+    return F.call_function("array_join", parts, by)
+
+
+def disguised(kind: Column, span: Column) -> Column:
+    """A base match in one of the generators' forms."""
+    _, pick, _ = _draws()
+    digits = _digits(span)
+    at, dot = pick("at", " (at) ", "[at]", " [at] ", " at "), pick("dot", " (dot) ", "[dot]", ".", " dot ")
+    email = F.concat(F.substring_index(span, "@", 1), at, _joined(F.split(F.substring_index(span, "@", -1), r"\."), dot))
+    ip = _joined(F.split(span, r"\."), pick("ip", "[.]", "(.)", " . ", "."))
+    card = _joined(F.regexp_extract_all(digits, F.lit("[0-9]{1,4}"), F.lit(0)), pick("card", ".", "/", "_", "-"))
+    ten = F.lpad(F.substring(digits, -10, 10), 10, "2")
+    phone = F.concat(pick("open", "(", ""), F.substring(ten, 1, 3), F.when(pick("open", "(", "") == "(", ") ").otherwise("-"), F.substring(ten, 4, 3), pick("mid", "-", ".", " "), F.substring(ten, 7, 4))
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).otherwise(phone)
+
+
+def real_candidates(spans: DataFrame, most: int = REAL) -> DataFrame:
+    """Labelled candidates of the documents: about ``most`` base matches of each kind, valid and not, drawn by hash, in other forms."""
+    base = spans.where("base and kind is not null").select(F.xxhash64("doc_id", "t", "kind", "start").alias("id"), "kind", "span", "before", "after", F.col("ok").cast("double").alias("label"))
+    counts = base.groupBy("kind", "label").agg(F.count("*").alias("n"))  # eight rows at most
+    drawn = base.join(F.broadcast(counts), ["kind", "label"]).where(F.pmod(F.xxhash64("id", F.lit("drawn")), F.col("n")) < most).drop("n")
+    return drawn.select("id", "kind", disguised(F.col("kind"), F.col("span")).alias("span"), "before", "after", "label")
+
+
 def seed_candidates(spark: SparkSession, n: int = SEEDS) -> DataFrame:
-    """Labelled candidates (id, kind, span, before, after, label), made by rule: personal data stands after words that announce
-    it, other numbers after words that announce those; neutral places are mostly other numbers unless the form is sure."""
-    h = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1_000_000_007))
-    pick = lambda k, *of: F.element_at(F.array(*map(F.lit, of)), (h(k) % len(of) + 1).cast("int"))
-    number = lambda k, width: F.lpad((h(k) % 10**width).cast("string"), width, "1")
+    """Labelled candidates (id, kind, span, before, after, label), made by rule. A form that cannot be (a failing check digit, an
+    octet over 255, an address without a known ending, an area code from 0 or 1) is none anywhere; of forms that can be, those
+    after words that announce other things are none, but for cards. Words beside are announcing ones, others, or of no list."""
+    h, pick, number = _draws()
     joined = lambda by, *parts: F.concat(parts[0], *[x for p in parts[1:] for x in (by, p)])
     kind = pick("kind", *KINDS)
-    name = F.concat(pick("a", "ann", "bob", "eva", "kim", "lee"), number("b", 2))
-    email = F.concat(name, pick("c", " (at) ", "[at]", " at "), pick("d", "mail", "post", "corp"), pick("e", " (dot) ", " dot ", "."), pick("f", "com", "org", "net"))
-    ip = joined(pick("g", " . ", "[.]", "."), *[(h(f"o{i}") % F.when(h("big") % 4 == 0, 999).otherwise(256)).cast("string") for i in range(4)])
-    card = joined(pick("i", "", ".", "-", "/"), *[number(f"q{i}", 4) for i in range(4)])
-    phone = F.concat(pick("j", "(", ""), number("k", 3), F.when(pick("j", "(", "") == "(", ") ").otherwise("-"), number("l", 3), pick("m", "-", ".", " "), number("n", 4))
-    rows = spark.range(0, n, 1, 2).withColumn("place", h("place") % 5)
-    told = F.when(F.col("place") <= 1, pick("p", "call ", "phone ", "contact ", "mail ", "card ", "ip ", "host ", "reach ")).when(F.col("place") <= 3, pick("r", "order ", "version ", "serial ", "ref ", "page ", "id ", "build ", "total ")).otherwise(pick("s", "the ", "and ", "of "))
-    rows = rows.select("id", "place", kind.alias("kind"), F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).otherwise(phone).alias("span"), told.alias("before"), pick("t", " and", ".", " the", ", or").alias("after"))
-    sure = (F.col("kind") == "email") | ((F.col("kind") == "card") & _luhn(_digits(F.col("span")))) | ((F.col("kind") == "phone") & F.col("span").startswith("("))
-    return rows.withColumn("label", F.when(F.col("place") <= 1, 1.0).when(F.col("place") <= 3, 0.0).otherwise(sure.cast("double")))
+    person = pick("a", "ann", "bob", "eva", "kim", "lee", "info", "sales", "m.ruiz", "j_doe", "we", "they", "look", "meet")
+    email = F.concat(person, F.when(h("digits", 3) == 0, number("b", 2)).otherwise(""), pick("c", " (at) ", "[at]", " at ", " [at] "), pick("d", "mail", "post", "corp", "home", "work", "noon"), pick("e", " (dot) ", " dot ", ".", "[dot]"), pick("f", "com", "org", "net", "de", "then", "and", "it is", "x"))
+    ip = joined(pick("g", " . ", "[.]", "(.)"), *[h(f"o{i}", 256).cast("string") if i else F.when(h("big", 3) == 0, 256 + h("more", 700)).otherwise(h("o0", 256)).cast("string") for i in range(4)])
+    fifteen = F.concat(*[number(f"q{i}", 5) for i in range(3)])
+    check = F.array_min(F.filter(F.array(*map(F.lit, range(10))), lambda k: _luhn(F.concat(fifteen, k.cast("string")))))
+    sixteen = F.concat(fifteen, F.when(h("valid", 2) == 0, check).otherwise((check + 1 + h("off", 9)) % 10).cast("string"))
+    card = _joined(F.regexp_extract_all(sixteen, F.lit("[0-9]{4}"), F.lit(0)), pick("i", ".", "-", "/", "_"))
+    area = F.concat(h("k0", 10).cast("string"), number("k", 2))
+    phone = F.concat(pick("j", "(", ""), area, F.when(pick("j", "(", "") == "(", ") ").otherwise("-"), number("l", 3), pick("m", "-", ".", " "), number("n", 4))
+    place = h("place", 10)
+    told = F.when(place <= 2, pick("p", "call ", "phone ", "contact ", "mail ", "card ", "ip ", "host ", "reach ", "write to ")).when(place <= 4, pick("r", "order ", "version ", "serial ", "ref ", "page ", "id ", "build ", "total ")).otherwise(pick("s", "the ", "and ", "of ", "", "see ", "my ", "from ", "with "))
+    rows = spark.range(0, n, 1, 2).select("id", kind.alias("kind"), F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).otherwise(phone).alias("span"), told.alias("before"), pick("t", " and", ".", " the", ", or", "").alias("after"), (place.between(3, 4)).alias("other"))
+    span, digits = F.col("span"), _digits(F.col("span"))
+    can_be = F.when(F.col("kind") == "email", span.rlike(ENDS)).when(F.col("kind") == "ip", _octets(F.regexp_replace(span, "[^0-9.]", ""))).when(F.col("kind") == "card", _luhn(digits)).otherwise(F.substring(digits, 1, 1) >= "2")
+    return rows.select("id", "kind", "span", "before", "after", (can_be & (~F.col("other") | (F.col("kind") == "card"))).cast("double").alias("label"))
 
 
 def fit(labelled: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
@@ -142,7 +186,7 @@ def fit(labelled: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
     PRECISION of the other quarter's candidates of the kind are right; 1.01 (nothing) where there is none."""
     rows = cut(with_features(labelled).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(4))))
     steps = [VectorAssembler(inputCols=list(FEATURES), outputCol="features"), GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7)]
-    model = Pipeline(stages=steps).fit(rows.where("fold > 0").coalesce(1))
+    model = Pipeline(stages=steps).fit(rows.where("fold > 0"))
     tried = model.transform(rows.where("fold = 0")).select("kind", "label", vector_to_array("probability")[1].alias("p"))
     down = Window.partitionBy("kind").orderBy(F.desc("p")).rangeBetween(Window.unboundedPreceding, 0)
     good = tried.withColumn("precision", F.avg("label").over(down)).where(F.col("precision") >= PRECISION).groupBy("kind").agg(F.min("p").alias("p")).collect()
@@ -151,9 +195,9 @@ def fit(labelled: DataFrame) -> tuple[PipelineModel, dict[str, float]]:
 
 def find_pii(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_email, n_ip, n_card, n_phone (base spans), base_spans and spans (kind:start:end, comma-joined, by start, then kind)."""
-    model, least = fit(labelled if labelled is not None else seed_candidates(docs.sparkSession))
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     spans = cut(candidates(held(texts, "t", F.xxhash64("text"))).withColumn("ok", F.when(F.col("base"), F.col("kind").isNull() | _valid(F.col("kind"), F.col("span"))).otherwise(F.lit(False))))
+    model, least = fit(labelled if labelled is not None else seed_candidates(docs.sparkSession).unionByName(real_candidates(spans)))
     fixed = spans.where("ok")
     # what the generators propose, unless a base span lies there
     proposed = spans.where("not base").select("doc_id", "t", "kind", "start", "end", "span", "before", "after")

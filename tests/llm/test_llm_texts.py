@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rillgrid.llm import minhash, packing, quality, token_counts
+from rillgrid.llm import common, line_dedup, minhash, packing, quality, token_counts
 from rillgrid.llm.common import tokenizer_path
 from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.line_dedup import dedup_lines, near_words
@@ -18,7 +18,7 @@ from rillgrid.llm.minhash import near_duplicates
 from rillgrid.llm.pii import find_pii
 from rillgrid.llm.quality import score_quality
 from rillgrid.llm.toxicity import drop_toxic, score_toxicity
-from rillgrid.llm.url_filter import judge
+from rillgrid.llm.url_filter import RULES, judge
 
 SCHEMA = "doc_id long, text string, lang string, score double, key string, place int"  # with names that operators use inside
 
@@ -206,7 +206,12 @@ def test_a_large_group_of_near_copies_gives_few_links(spark, monkeypatch, few):
     assert len({got[k] for k in range(n)}) == len(set(components_of(pairs, range(n)).values()))
 
 
-def test_line_dedup_equals_brute_force(spark):
+@pytest.mark.parametrize("large", [False, True])
+def test_line_dedup_equals_brute_force(spark, monkeypatch, large):
+    if large:  # as on tables too large for broadcasts, with hot keys
+        monkeypatch.setattr(common, "FEW_GROUPS", 0)
+        monkeypatch.setattr(common, "HOT_ROWS", 3)
+        monkeypatch.setattr(line_dedup, "FEW_DOCS", 0)
     rnd = random.Random(3)
     vocab = ["alpha", "beta", "gamma", "delta", "eps"]
     base = [[rnd.choice(vocab) for _ in range(n)] for n in (1, 3, 4, 5, 6, 9)]
@@ -238,6 +243,8 @@ def test_line_dedup_equals_brute_force(spark):
         assert (got[k].text or "") == "\n".join(kept)
     assert got[100].text is None and got[101].key == "x"
     assert dedup_lines(table(spark, [])).collect() == []
+    clash = table(spark, [(1, "a b c d e"), (2, "a b c d e\nf"), (None, "a b c d e")]).selectExpr("*", "'n' as n_lines", "1 as doc", "2 as places", "3 as n_dropped")
+    assert sorted((r.doc_id or 0, r.text, r.n_lines, r.n_dropped, r.doc, r.places) for r in dedup_lines(clash).collect()) == [(0, "a b c d e", 1, 0, 1, 2), (1, "a b c d e", 1, 0, 1, 2), (2, "f", 2, 1, 1, 2)]
 
 
 def test_leaks_find_new_numbers_but_not_the_frame(spark):
@@ -295,6 +302,35 @@ def test_base_spans_equal_the_plain_patterns(spark):
         assert all(int(a.split(":")[2]) <= len(text) for a in added)
 
 
+def test_trees_add_disguised_spans_and_leave_others(spark):
+    said = [
+        ("write to ann.lee (at) mail (dot) org today", "email:9:34"), ("reach sales[at]corp[dot]com", "email:6:27"), ("the host 10[.]0[.]3[.]77 is up", "ip:9:24"),
+        ("my card 4111.1111.1111.1111 here", "card:8:27"), ("call (555) 212-1234 now", "phone:5:19"), ("Wir sind da, 212-555-7777", "phone:13:25"),
+        ("we meet at noon dot then", ""), ("the build 999[.]1[.]2[.]3 came", ""), ("my card 4111.1111.1111.1112 here", ""), ("order 555-212-1234 came", ""), (None, ""), ("", ""),
+    ]
+    got = {r.doc_id: r.spans for r in find_pii(table(spark, [(k, t) for k, (t, _) in enumerate(said)])).collect()}
+    right = sum(got[k] == want for k, (_, want) in enumerate(said))
+    assert right >= len(said) - 1, got
+    assert find_pii(table(spark, [])).collect() == []
+
+
+def test_url_parts_equal_a_plain_reading(spark):
+    rnd = random.Random(7)
+    parts = ["http", "://", "/", "?", "#", "Example.com", "a.net", "net", ".", "en/", "es/", "fr/", "www.", "com", "É", " ", ""]
+    rows = [(k, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9)))) for k in range(400)]
+    got = {r.page_id: r for r in judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    upper = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    for k, url in rows:
+        _, sign, rest = url.partition("://")
+        host = re.match("[^/?#]*", rest)[0] if sign else ""
+        path = re.match("[^?#]*", rest[len(host) :])[0] if sign else ""
+        host = host.translate(upper)
+        fits = [(r, v) for r, v in RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.partition("/")[2])]
+        rule, verdict = max(fits, key=lambda x: len(x[0]), default=(None, got[k].verdict))
+        assert (got[k].host, got[k].path, got[k].rule, got[k].verdict) == (host, path, rule, verdict)
+    assert judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
 def test_rules_and_parts_of_urls(spark):
     rows = [(1, "https://WWW.Example.com/en/1?x#y"), (2, "http://example.com/en/1"), (3, "http://a.net/es/"), (4, "no url"), (5, None), (6, "http://net/fr/x"), (7, "x://h.com?/en/"), (8, "https://free-bets.example.org/en/9"), (9, "http://news.example.org/en/1"), (10, "http://notnet/fr/"), (11, "http://h.com")]
     got = {r.page_id: r for r in judge(spark.createDataFrame([(k, u, "x") for k, u in rows], "page_id long, url string, host string")).collect()}
