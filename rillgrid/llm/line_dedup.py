@@ -32,7 +32,7 @@ from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, fresh,
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-FEW_DOCS = 300_000  # documents whose lists of places may be broadcast; lists are of 50 places at most then
+FEW_DOCS, FEW_PLACES = 300_000, 4_000_000  # documents whose lists of places may be broadcast, and places of all of these
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -103,10 +103,14 @@ def line_hashes(texts: DataFrame, min_words: int) -> DataFrame:
 
 
 def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """texts (doc, text) that have places, with the list of them. The lists are broadcast if they are few and short."""
+    """texts (doc, text) that have places, with the list of them. The lists are broadcast if they are few and hold few places."""
     lists = cut(places.groupBy("doc").agg(F.collect_set("place").alias("places")))
-    n, most = lists.agg(F.count("*"), F.max(F.size("places"))).first()
-    return texts.join(F.broadcast(lists) if n <= FEW_DOCS and (most or 0) <= 50 else lists, "doc").select("doc", "text", "places")
+    return texts.join(_if_few(lists), "doc").select("doc", "text", "places")
+
+
+def _if_few(lists: DataFrame) -> DataFrame:
+    n, places = lists.agg(F.count("*"), F.sum(F.size("places"))).first()
+    return F.broadcast(lists) if n <= FEW_DOCS and (places or 0) <= FEW_PLACES else lists
 
 
 def _chosen(lines: Lines, lists: pa.Array) -> np.ndarray:
@@ -220,9 +224,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", tex
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
     doc, places = fresh("doc", docs), fresh("places", docs)
     lists = cut(dropped_lines(texts.where("doc is not null"), min_words).groupBy("doc").agg(F.collect_set("place").alias("places")))
-    n, most = lists.agg(F.count("*"), F.max(F.size("places"))).first()
-    lists = lists.select(F.col("doc").alias(doc), F.col("places").alias(places))
-    joined = docs.join(F.broadcast(lists) if n <= FEW_DOCS and (most or 0) <= 50 else lists, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left")
+    lists = _if_few(lists).withColumnsRenamed({"doc": doc, "places": places})
+    joined = docs.join(lists, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left")
     text = F.col(f"`{text_col}`")
     parts = F.split(empty_if_null(text), "\n", -1)
     kept = F.filter(parts, lambda _, k: ~F.array_contains(places, k))
