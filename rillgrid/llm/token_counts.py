@@ -9,8 +9,9 @@ known of what precedes it.) Every transition is annotated with the change of the
 A symbol that no piece joins to what stands before it resets the transducer: the space marker after anything else, and
 any character outside the vocabulary, which becomes one token a byte. The state map of a chunk that begins at such a
 symbol is constant, so it is a pair (tokens emitted, exit state); chunks cut elsewhere keep their head up to the first
-reset for the entry state. ``ChunkMap.then`` composes maps associatively, and the maps of a batch are composed by a
-prefix scan over their counts.
+reset for the entry state. ``ChunkMap.then`` composes maps associatively. Most texts are cut at resets: their maps are all
+constant, and the prefix scan that composes them is a sum. Texts with several spaces together, a leading one or the marker
+itself are cut every CHUNK characters, and their maps are composed pair by pair.
 
 Nulls count as empty texts (0 tokens); empty texts have 0 tokens; repeated rows give repeated results; other columns,
 whatever their names, are ignored.
@@ -33,6 +34,7 @@ MARK = "▁"  # how the model writes a space
 START = 0  # the state in which nothing before can matter
 MEMO_WORDS = 200_000  # chunk maps kept by one task
 MAX_STATES = 600_000  # states kept by one task; beyond it compiling starts anew
+CHUNK = 512  # characters of a text whose chunks do not begin at resets
 LONG_CHUNK = 48  # longer chunks are run, not kept
 
 
@@ -169,9 +171,18 @@ class Counter(dict):
         bare = np.asarray(pc.starts_with(texts, "\n"))
         out -= np.asarray(pc.equal(pc.binary_length(texts), 0))  # nothing is not even a space
         for k in np.flatnonzero(np.asarray(joined) | bare):  # several spaces may be one piece
-            out[k] = self.transducer.run(MARK + texts[int(k)].as_py().replace(" ", MARK))[0]
+            out[k] = self.composed(MARK + texts[int(k)].as_py().replace(" ", MARK))
         return out
 
+    def composed(self, text: str) -> int:
+        """Tokens of a text cut anywhere: the maps of its chunks, composed pair by pair. A chunk without a reset only joins its
+        text to what follows, so each character is run once."""
+        t = self.transducer
+        maps = [t.chunk_map(text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)]
+        while len(maps) > 1:
+            maps = [a.then(b, t.run) for a, b in zip(maps[::2], maps[1::2], strict=False)] + maps[len(maps) & ~1 :]
+        return t.run(maps[0].head)[0] + maps[0].count
+
 
 _held: dict[str, Counter] = {}
 
