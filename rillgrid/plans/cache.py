@@ -12,5 +12,7 @@ def cut(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         given = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not given and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="rillgrid-ckpt-"))
     return df.checkpoint(eager=True)
