@@ -1,4 +1,4 @@
-"""Lines cut to boundaries. A boundary is one row a city (city, geom), so it is broadcast by city."""
+"""Lines cut to boundaries. A boundary is one row a city (city, geom); it is broadcast by city if all of them have few points."""
 
 from __future__ import annotations
 
@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from rillgrid.functions.columns import bounds, edges, inside, segment_segment
 
+FEW_POINTS = 500_000  # of all boundaries together, so that they may be broadcast: some 20 MB
+
 
 def _beside(segments: DataFrame, boundary: DataFrame, grown: float = 0.0) -> DataFrame:
     """Segments with their city's boundary: its geometry, sides and box; those whose box it does not meet are left out."""
     b = boundary.select("city", F.col("geom").alias("_g")).withColumns({"_b": bounds(F.col("_g")), "_sides": F.flatten(F.transform(F.flatten("_g"), edges))})
     near = (F.greatest("x1", "x2") >= F.col("_b.xmin") - grown) & (F.least("x1", "x2") <= F.col("_b.xmax") + grown) & (F.greatest("y1", "y2") >= F.col("_b.ymin") - grown) & (F.least("y1", "y2") <= F.col("_b.ymax") + grown)
-    return segments.join(F.broadcast(b), "city").where(near)
+    points = boundary.agg(F.sum(F.size(F.flatten(F.flatten("geom"))))).first()[0] or 0
+    return segments.join(F.broadcast(b) if points <= FEW_POINTS else b, "city").where(near)
 
 
 def _crossings(e: Column) -> Column:
@@ -41,6 +44,72 @@ def clip_lines(segments: DataFrame, boundary: DataFrame) -> DataFrame:
     return inner.select(*[F.col(moved.get(c, c)).alias(c) for c in keep], F.round(a, 12).alias("piece"))
 
 
+def _disc_span(x: Column, y: Column, r: float) -> tuple[Column, Column]:
+    """From where to where along its line a segment is in the disc; null if it is not."""
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    fx, fy = x - F.col("x1"), y - F.col("y1")
+    a, along = dx * dx + dy * dy, fx * dx + fy * dy
+    under = along * along - a * (fx * fx + fy * fy - r * r)
+    met = (a > 0) & (under >= 0)
+    root, safe = F.sqrt(F.when(met, under)), F.when(met, a)
+    return (along - root) / safe, (along + root) / safe
+
+
+def _band_span(start: Column, step: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """From where to where start + t * step lies between low and high; null if never, without an end where it always does."""
+    a, b = (low - start) / F.when(step != 0, step), (high - start) / F.when(step != 0, step)
+    always = (step == 0) & (start >= low) & (start <= high)
+    first = F.when(always, float("-inf")).otherwise(F.when(step != 0, F.least(a, b)))
+    return first, F.when(always, float("inf")).otherwise(F.when(step != 0, F.greatest(a, b)))
+
+
+def _near_span(e: Column, r: float) -> Column:
+    """struct<a, b>: the one run of the segment (0 to 1) within r of a side; a is null or not before b if there is none.
+
+    What is within r of a side is convex: two discs, and the upright band between them.
+    """
+    ex, ey = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    size = F.hypot(ex, ey)
+    safe = F.when(size > 0, size)
+    fx, fy = F.col("x1") - e["x1"], F.col("y1") - e["y1"]
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    low1, high1 = _band_span((fx * ex + fy * ey) / safe, (dx * ex + dy * ey) / safe, F.lit(0.0), size)
+    low2, high2 = _band_span((ex * fy - ey * fx) / safe, (ex * dy - ey * dx) / safe, F.lit(-r), F.lit(r))
+    low, high = F.greatest(low1, low2), F.least(high1, high2)
+    both = low1.isNotNull() & low2.isNotNull() & (low <= high)
+    spans = [_disc_span(e["x1"], e["y1"], r), _disc_span(e["x2"], e["y2"], r), (F.when(both, low), F.when(both, high))]
+    # least and greatest pass over nulls
+    first, last = F.least(*[s[0] for s in spans]), F.greatest(*[s[1] for s in spans])
+    return F.named_struct(F.lit("a"), F.greatest(first, F.when(first.isNotNull(), F.lit(0.0))), F.lit("b"), F.least(last, F.when(last.isNotNull(), F.lit(1.0))))
+
+
+def clip_lines_grown(segments: DataFrame, boundary: DataFrame, buffer_m: float) -> DataFrame:
+    """Segments (city, ..., x1, y1, x2, y2) cut to the boundary grown by buffer_m, with ``piece`` (where it begins, 0 to 1): runs
+    inside, and within that distance of a side, put together. Corners are round. A segment without length stays if it is inside."""
+    keep = segments.columns
+    met = _beside(segments, boundary, buffer_m)
+    at = lambda p, q, t: F.col(p) + (F.col(q) - F.col(p)) * t
+    ts = F.array_sort(F.array_distinct(F.filter(F.transform("_sides", _crossings), lambda t: t.isNotNull())))
+    met = met.withColumn("_t", F.concat(F.array(F.lit(0.0)), ts, F.array(F.lit(1.0))))
+    n = F.size("_t") - 1
+    runs = F.zip_with(F.slice("_t", 1, n), F.slice("_t", 2, n), lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))
+    within = F.filter(runs, lambda p: inside(at("x1", "x2", (p["a"] + p["b"]) / 2), at("y1", "y2", (p["a"] + p["b"]) / 2), F.col("_g")))
+    close = F.filter(F.transform("_sides", lambda e: _near_span(e, buffer_m)), lambda p: p["a"] < p["b"])
+    met = met.withColumn("_runs", F.array_sort(F.concat(within, close)))
+
+    def join(done: Column, p: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.named_struct(F.lit("a"), last["a"], F.lit("b"), F.greatest(last["b"], p["b"]))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
+        return F.when((F.size(done) > 0) & (p["a"] <= last["b"] + 1e-12), joined).otherwise(F.concat(done, F.array(p)))
+
+    nothing = F.array().cast("array<struct<a:double,b:double>>")
+    pieces = met.withColumn("_p", F.explode(F.aggregate("_runs", nothing, join)))
+    a, b = F.col("_p.a"), F.col("_p.b")
+    moved = {"x1": at("x1", "x2", a), "y1": at("y1", "y2", a), "x2": at("x1", "x2", b), "y2": at("y1", "y2", b)}
+    return pieces.select(*[moved[c].alias(c) if c in moved else F.col(c) for c in keep], F.round(a, 12).alias("piece"))
+
+
 def near_boundary(segments: DataFrame, boundary: DataFrame, buffer_m: float) -> DataFrame:
     """Whole segments that meet the boundary grown by buffer_m: inside it, or within that distance of a side."""
     met = _beside(segments, boundary, buffer_m)

@@ -1,15 +1,21 @@
-"""Features of a layer made one geometry, for parts that are apart or share whole edges (municipal boundaries do)."""
+"""Features of a layer made one geometry, whether they are apart, touch or overlap."""
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillgrid.functions import overlay
 from rillgrid.functions.columns import GEOMETRY, edges, ring_turn
 
 Point = tuple[float, float]
+#: Arrow's form of a geometry.
+KIND = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
 
 
 def _rings(sides: list[tuple[Point, Point]]) -> list[list[Point]]:
@@ -69,9 +75,14 @@ def assemble(sides: list[tuple[Point, Point]]) -> list[list[list[Point]]]:
     return sorted(parts)
 
 
+def points_of(parts: list[list[list[Point]]]) -> list[list[list[dict]]]:
+    return [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
+
+
 def dissolved(layer: DataFrame, by: str = "city") -> DataFrame:
-    """by, geom: the union of each group's polygons. Sides that two parts share in opposite directions cancel out in Spark; only
-    the outline of a group, which is small, is chained in one task."""
+    """by, geom: the union of each group's polygons, which must not cross themselves. Sides that two polygons share in opposite
+    directions cancel out in Spark. What is left of a group, its outline and the sides where polygons overlap, is cut at its
+    crossings and chained in one task; groups are a city's districts, not its buildings."""
     rings = layer.select(by, F.explode("geom").alias("_p")).select(by, F.posexplode("_p").alias("_k", "_r"))
     signed = ring_turn(F.col("_r"))
     # shells anticlockwise, holes clockwise
@@ -79,11 +90,14 @@ def dissolved(layer: DataFrame, by: str = "city") -> DataFrame:
     sides = rings.select(by, F.explode(edges(turned)).alias("e")).select(by, "e.*").where("x1 <> x2 or y1 <> y2")
     forth = sides.groupBy(by, "x1", "y1", "x2", "y2").agg(F.count("*").alias("n"))
     back = forth.select(by, F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"), F.col("n").alias("m"))
-    left = forth.join(back, [by, "x1", "y1", "x2", "y2"], "left").where(F.col("n") > F.coalesce("m", F.lit(0)))
+    left = forth.join(back, [by, "x1", "y1", "x2", "y2"], "left").withColumn("n", F.col("n") - F.coalesce("m", F.lit(0))).where("n > 0").drop("m")
 
-    @F.udf(GEOMETRY)
-    def chained(found):
-        parts = assemble([((s.x1, s.y1), (s.x2, s.y2)) for s in found])
-        return [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
+    def chained(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        found = np.stack([np.asarray(table.column(c)) for c in ("x1", "y1", "x2", "y2")], axis=1)
+        # a side that several polygons have in one direction counts so often
+        turns = overlay.covered(np.repeat(found, np.asarray(table.column("n")), axis=0))
+        geom = points_of(assemble(overlay.outline(found, turns)))
+        yield pa.RecordBatch.from_pylist([{by: key[0].as_py(), "geom": geom}], schema=pa.schema([(by, key[0].type), ("geom", KIND)]))
 
-    return left.groupBy(by).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_s")).select(by, chained("_s").alias("geom"))
+    return left.groupBy(by).applyInArrow(chained, f"`{by}` {dict(layer.dtypes)[by]}, geom {GEOMETRY}")

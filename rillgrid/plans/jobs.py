@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillgrid.config import CityConfig
 from rillgrid.functions.columns import centroid, inside
-from rillgrid.functions.crs import to_lonlat
+from rillgrid.functions.crs import reproject, to_lonlat
 from rillgrid.functions.interior import with_interior_point
 from rillgrid.operators import normalize, quality, rain, spatial
-from rillgrid.operators.clip import clip_lines, clip_to_box, near_boundary
+from rillgrid.operators.clip import clip_lines, clip_lines_grown, clip_to_box, near_boundary
+from rillgrid.operators.dissolve import dissolved
+from rillgrid.operators.polygons import clip_polygons, repaired
 from rillgrid.plans.cache import cut
 
 RADII = (250.0, 500.0, 1000.0)
@@ -77,8 +80,8 @@ def proximity_refined(buildings: DataFrame, hydrography: DataFrame, coast: DataF
 
 
 def city_coastline(coast: DataFrame, boundary: DataFrame, buffer_m: float = 20_000.0) -> DataFrame:
-    """Coast segments that meet the boundary grown by the buffer, with their source and buffer."""
-    return near_boundary(coast, boundary, buffer_m).withColumns({"source": F.lit("Natural Earth 10m coastline"), "buffer_m": F.lit(buffer_m)})
+    """Coast segments cut to the boundary grown by the buffer, with their source and buffer."""
+    return clip_lines_grown(coast, boundary, buffer_m).withColumns({"source": F.lit("Natural Earth 10m coastline"), "buffer_m": F.lit(buffer_m)})
 
 
 def coastal_proxy(natural: DataFrame, boundary: DataFrame | None, buffer_m: float = 2000.0) -> DataFrame:
@@ -101,6 +104,29 @@ def clipped_water(water: DataFrame, boundary: DataFrame) -> DataFrame:
     return clip_lines(spatial.to_segments(normalize.without_empty(water), *keep), boundary)
 
 
+def normalised_city(buildings: DataFrame, boundary: DataFrame, water: DataFrame, config: CityConfig, lonlat: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """A city's raw layers (geom, geom_type, attributes) as buildings (bldg_id, kept columns), boundary (one row) and water. Layers
+    named in ``lonlat`` are projected first; polygons are repaired, the boundary's features selected and dissolved."""
+    raw = {"buildings": buildings, "boundary": boundary, "water": water}
+    raw = {name: layer.withColumn("city", F.lit(config.city)) for name, layer in raw.items()}
+    raw = {name: layer.withColumn("geom", reproject(F.col("geom"), config.crs)) if name in lonlat else layer for name, layer in raw.items()}
+    lines = normalize.without_empty(raw["water"])
+    if config.lines_only:
+        lines = normalize.of_types(lines, normalize.LINES)
+    order = [c for c in lines.columns if c not in ("geom", "city")]
+    return {
+        "buildings": normalize.normalised_buildings(repaired(normalize.without_empty(raw["buildings"])), config),
+        "boundary": dissolved(repaired(normalize.without_empty(normalize.boundary_of(raw["boundary"], config)))),
+        "water": normalize.harmonised_water(lines, config, order),
+    }
+
+
+def clipped_city(buildings: DataFrame, water: DataFrame, boundary: DataFrame) -> dict[str, DataFrame]:
+    """Buildings and water cut to the boundary, and how many buildings there were before and after, for each city."""
+    kept = cut(clip_polygons(buildings, boundary))
+    return {"buildings": kept, "water": clipped_water(water, boundary), "counts": quality.counts_by_city(buildings, kept)}
+
+
 def rain_hazard(hourly: DataFrame, buildings: DataFrame, crs_of_city: dict[str, int], years: tuple[int, ...], deaccumulate: bool = False) -> DataFrame:
     """Hourly rain to a value for each building: complete years, yearly maxima, their mean, filled cells, bilinear at centroids."""
     rain.check_continuity(hourly.where(F.year("time").isin(*years)))

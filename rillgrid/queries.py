@@ -1,6 +1,6 @@
 """Queries on the given tables, one for each operation, with the SQL that says what they must return.
 
-The tables stand for city layers: orders are buildings, suppliers water lines, every 50th customer a piece of coast, events and
+The tables stand for city layers: orders are buildings, suppliers water lines, customers pieces of coast, events and
 lineitems hourly rain. ``FIXTURES`` are those readings, in SQL that both engines take; ``{table}`` is a table.
 """
 
@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 
 from rillgrid.config import CITIES, with_registry
 from rillgrid.functions import columns as C
-from rillgrid.operators import assets, normalize, quality, rain, spatial
+from rillgrid.functions.interior import with_interior_point
+from rillgrid.operators import assets, clip, normalize, quality, rain, spatial
+from rillgrid.operators.dissolve import dissolved
+from rillgrid.operators.polygons import clip_polygons, repaired
+from rillgrid.plans import jobs
 
 DISC = "case when a=0 or dd<=0 then 0.0 else greatest(0.0, least(1.0,(fd+sqrt(dd))/a)-greatest(0.0,(fd-sqrt(dd))/a))*sqrt(a) end"
 FOUR = "(select 0 as j union all select 1 union all select 2 union all select 3)"
@@ -22,7 +26,7 @@ FIXTURES = {
     "bldg": "select o_orderkey as bldg_id, concat('C', cast(o_custkey%3 as string)) as city, cast((o_orderkey*7919)%20011 as double) as x0, cast((o_orderkey*104729)%20021 as double) as y0, cast(6+o_orderkey%13 as double) as w, cast(6+o_orderkey%17 as double) as h from {orders}",
     "pts": "select bldg_id, city, x0+w/2 as px, y0+h/2 as py from bldg",
     "seg": f"select s_suppkey as water_id, concat('C', cast(s_nationkey%3 as string)) as city, j as seg, case s_suppkey%5 when 0 then 'river' when 1 then 'canal' when 2 then 'stream' when 3 then 'drain' end as fclass, cast((s_suppkey*6151+j*397)%20011 as double) as x1, cast((s_suppkey*3571+j*283)%20021 as double) as y1, cast((s_suppkey*6151+j*397)%20011+(s_suppkey*37+j*211)%1201-600 as double) as x2, cast((s_suppkey*3571+j*283)%20021+(s_suppkey*53+j*101)%1201-600 as double) as y2 from {{supplier}} cross join {FOUR} k",
-    "coast": f"select c_custkey as water_id, j as seg, cast((c_custkey*4049+j*401)%20011 as double) as x1, cast((c_custkey*2953+j*307)%20021 as double) as y1, cast((c_custkey*4049+j*401)%20011+(c_custkey*41+j*199)%1201-600 as double) as x2, cast((c_custkey*2953+j*307)%20021+(c_custkey*59+j*103)%1201-600 as double) as y2 from (select * from {{customer}} where c_custkey%50=0) c cross join {FOUR} k",
+    "coast": f"select c_custkey as water_id, j as seg, cast((c_custkey*4049+j*401)%20011 as double) as x1, cast((c_custkey*2953+j*307)%20021 as double) as y1, cast((c_custkey*4049+j*401)%20011+(c_custkey*41+j*199)%1201-600 as double) as x2, cast((c_custkey*2953+j*307)%20021+(c_custkey*59+j*103)%1201-600 as double) as y2 from {{customer}} c cross join {FOUR} k",
     "hourly": "select 'RTM' as city, date_trunc('hour', ts) as time, cast(user_id%25 as int) as cell, case when user_id%25 in (7,18) then null else value/1000 end as tp from {events}",
     "yearly": "select 'RTM' as city, l_shipdate as time, cast(l_partkey%25 as int) as cell, case when l_partkey%25 in (7,18) then null else l_extendedprice/1000000.0 end as tp from {lineitem}",
     "lonlat": "select o_orderkey as bldg_id, 'RTM' as city, 3.95+((o_orderkey*31)%600)/1000.0 as lon, 51.75+((o_orderkey*17)%600)/1000.0 as lat from {orders}",
@@ -99,6 +103,7 @@ def _footprints(spark: SparkSession, d: str) -> DataFrame:
     return fixture(spark, d, "bldg").withColumn("geom", F.array(F.array(F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0)))))
 
 
+# No segment whose box is farther from the rectangle than the nearest end of any can be the nearest one.
 # For an upright rectangle and a segment: least distance is 0 if the clipped parameter range is not empty, else the least over corners to the segment and ends to the rectangle.
 _END = "sqrt(power(greatest(x0-{x},0,{x}-(x0+w)),2)+power(greatest(y0-{y},0,{y}-(y0+h)),2))"
 _CORNER = "sqrt(power({x}-(x1+greatest(0.0,least(1.0,(({x}-x1)*dx+({y}-y1)*dy)/a0))*dx),2)+power({y}-(y1+greatest(0.0,least(1.0,(({x}-x1)*dx+({y}-y1)*dy)/a0))*dy),2))"
@@ -108,7 +113,7 @@ RECT_SQL = (
 HIT_SQL = "greatest(0.0, case when dx=0 then (case when x1 between x0 and x0+w then 0.0 else 2.0 end) else least((x0-x1)/dx,(x0+w-x1)/dx) end, case when dy=0 then (case when y1 between y0 and y0+h then 0.0 else 2.0 end) else least((y0-y1)/dy,(y0+h-y1)/dy) end) <= least(1.0, case when dx=0 then 1.0 else greatest((x0-x1)/dx,(x0+w-x1)/dx) end, case when dy=0 then 1.0 else greatest((y0-y1)/dy,(y0+h-y1)/dy) end)"
 
 
-@query(f"{duck('bldg', 'seg', 'coast')}, water as (select 'hydrography' as src, x1,y1,x2,y2 from seg union all select 'coast', x1,y1,x2,y2 from coast), pairs as (select bldg_id, x0,y0,w,h, src, x1,y1,x2,y2, case when x2=x1 then 0.0 else x2-x1 end as dx, y2-y1 as dy, case when (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)=0 then 1.0 else (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) end as a0 from bldg cross join water), dist as (select bldg_id, src, min(case when {HIT_SQL} then 0.0 else {RECT_SQL} end) as d from pairs group by 1,2) select bldg_id, round(max(case when src='hydrography' then d end),4) as dist_to_hydrography_m, round(max(case when src='coast' then d end),4) as dist_to_coast_m, round(min(d),4) as dist_to_water_m from dist group by 1")
+@query(f"{duck('bldg', 'seg', 'coast')}, water as (select 'hydrography' as src, x1,y1,x2,y2 from seg union all select 'coast', x1,y1,x2,y2 from coast), most as (select bldg_id, src, min({_END.format(x='x1', y='y1')}) as u from bldg cross join water group by 1,2), pairs as (select bldg_id, x0,y0,w,h, src, x1,y1,x2,y2, case when x2=x1 then 0.0 else x2-x1 end as dx, y2-y1 as dy, case when (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)=0 then 1.0 else (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) end as a0 from bldg join most using (bldg_id) join water using (src) where power(greatest(least(x1,x2)-(x0+w),x0-greatest(x1,x2),0),2)+power(greatest(least(y1,y2)-(y0+h),y0-greatest(y1,y2),0),2)<=u*u+1), dist as (select bldg_id, src, min(case when {HIT_SQL} then 0.0 else {RECT_SQL} end) as d from pairs group by 1,2) select bldg_id, round(max(case when src='hydrography' then d end),4) as dist_to_hydrography_m, round(max(case when src='coast' then d end),4) as dist_to_coast_m, round(min(d),4) as dist_to_water_m from dist group by 1")
 def nearest_water_from_footprint(spark: SparkSession, d: str) -> DataFrame:
     """Footprint distance to each source and the least of them (K6)."""
     water = spatial.stack_sources({"hydrography": fixture(spark, d, "seg").drop("city"), "coast": fixture(spark, d, "coast")})
@@ -189,18 +194,20 @@ def rain_columns_with_data(spark: SparkSession, d: str) -> DataFrame:
     return rain.columns_with_data(_rain(spark, d, "hourly")).select("city", F.round((F.col("longitude") - 4.0) * 10).cast("int").alias("col"), "has_data")
 
 
-_PARTS = "dens as (select o_orderkey as bldg_id, (o_orderkey%997)/1e5 as water_len_density_250m, (o_orderkey%991)/1e5 as water_len_density_500m, (o_orderkey%983)/1e5 as water_len_density_1000m from {orders} where o_orderkey%7<>0)"
-_DIST = "dist as (select o_orderkey as bldg_id, cast((o_orderkey*31)%9000 as double) as dist_to_water_m from {orders} where o_orderkey%11<>0)"
-_HAZ = "haz as (select o_orderkey as bldg_id, o_totalprice/1000.0 as h from {orders} where o_orderkey%13<>0)"
-ASSET_SQL = f"with {_PARTS}, {_DIST}, {_HAZ}, assets as (select bldg_id, case when dist_to_water_m>5000 then 5000.0 else dist_to_water_m end as dist_to_water_m, water_len_density_250m, water_len_density_500m, water_len_density_1000m, h as \"H_pluvial_v1_mm\" from dens join dist using (bldg_id) join haz using (bldg_id))".replace("{orders}", "orders")
+# Distances are known for orders with lines only, so the joins lose the others.
+_PARTS = "dens as (select o_orderkey as bldg_id, (o_orderkey%997)/1e5 as water_len_density_250m, (o_orderkey%991)/1e5 as water_len_density_500m, (o_orderkey%983)/1e5 as water_len_density_1000m from {orders})"
+_DIST = "dist as (select l_orderkey as bldg_id, cast((l_orderkey*31)%9000 as double) as dist_to_water_m from {lineitem} group by 1)"
+_HAZ = "haz as (select o_orderkey as bldg_id, o_totalprice/1000.0 as h from {orders})"
+ASSET_SQL = f"with {_PARTS}, {_DIST}, {_HAZ}, assets as (select bldg_id, case when dist_to_water_m>5000 then 5000.0 else dist_to_water_m end as dist_to_water_m, water_len_density_250m, water_len_density_500m, water_len_density_1000m, h as \"H_pluvial_v1_mm\" from dens join dist using (bldg_id) join haz using (bldg_id))".replace("{orders}", "orders").replace("{lineitem}", "lineitem")
 
 
 def _assets(spark: SparkSession, d: str) -> DataFrame:
     o = spark.read.parquet(f"{d}/orders.parquet")
     k = F.col("o_orderkey")
-    dens = o.where(k % 7 != 0).select(k.alias("bldg_id"), *[(k % n / 1e5).alias(c) for n, c in zip((997, 991, 983), assets.DENSITIES, strict=True)])
-    dist = o.where(k % 11 != 0).select(k.alias("bldg_id"), ((k * 31) % 9000).cast("double").alias("dist_to_water_m"))
-    haz = o.where(k % 13 != 0).select(k.alias("bldg_id"), (F.col("o_totalprice") / 1000.0).alias("H_pluvial_mm"))
+    dens = o.select(k.alias("bldg_id"), *[(k % n / 1e5).alias(c) for n, c in zip((997, 991, 983), assets.DENSITIES, strict=True)])
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").alias("bldg_id")).distinct()
+    dist = lines.select("bldg_id", ((F.col("bldg_id") * 31) % 9000).cast("double").alias("dist_to_water_m"))
+    haz = o.select(k.alias("bldg_id"), (F.col("o_totalprice") / 1000.0).alias("H_pluvial_mm"))
     return assets.build_assets(dens, dist, haz, CITIES["RTM"].cap_m)
 
 
@@ -275,11 +282,11 @@ def counts_before_and_after(spark: SparkSession, d: str) -> DataFrame:
     return quality.counts_by_city(b, b.where("x0 < 10000"))
 
 
-@query("with new as (select o_orderkey as k, cast((o_orderkey*31)%900 as double) as v from orders where o_orderkey%5<>0), old as (select o_orderkey as k, cast((o_orderkey*37)%900 as double) as v from orders where o_orderkey%3<>0), j as (select new.v-old.v as dl from new join old using (k)) select count(*) as n, round(avg(dl),6) as mean_delta, min(dl) as min_delta, max(dl) as max_delta, round(avg(case when dl<-10 then 1.0 else 0.0 end),9) as share_below_10, round(avg(case when dl<-50 then 1.0 else 0.0 end),9) as share_below_50, round(avg(case when dl<-100 then 1.0 else 0.0 end),9) as share_below_100, round(avg(case when dl>10 then 1.0 else 0.0 end),9) as share_above_10 from j")
+@query("with new as (select l_orderkey as k, cast((l_orderkey*31)%900 as double) as v from lineitem group by 1), old as (select o_orderkey as k, cast((o_orderkey*37)%900 as double) as v from orders), j as (select new.v-old.v as dl from new join old using (k)) select count(*) as n, round(avg(dl),6) as mean_delta, min(dl) as min_delta, max(dl) as max_delta, round(avg(case when dl<-10 then 1.0 else 0.0 end),9) as share_below_10, round(avg(case when dl<-50 then 1.0 else 0.0 end),9) as share_below_50, round(avg(case when dl<-100 then 1.0 else 0.0 end),9) as share_below_100, round(avg(case when dl>10 then 1.0 else 0.0 end),9) as share_above_10 from j")
 def compare_versions(spark: SparkSession, d: str) -> DataFrame:
-    o = spark.read.parquet(f"{d}/orders.parquet")
-    make = lambda n, drop: o.where(F.col("o_orderkey") % drop != 0).select(F.col("o_orderkey").alias("k"), ((F.col("o_orderkey") * n) % 900).cast("double").alias("v"))
-    return rounded(quality.compare(make(31, 5), make(37, 3), ["k"], "v"), mean_delta=6, share_below_10=9, share_below_50=9, share_below_100=9, share_above_10=9)
+    keys = (spark.read.parquet(f"{d}/{table}.parquet").select(F.col(key).alias("k")).distinct() for table, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")))
+    new, old = (df.select("k", ((F.col("k") * n) % 900).cast("double").alias("v")) for df, n in zip(keys, (31, 37), strict=True))
+    return rounded(quality.compare(new, old, ["k"], "v"), mean_delta=6, share_below_10=9, share_below_50=9, share_below_100=9, share_above_10=9)
 
 
 @query("select count(*) filter (where c_name is null) as c_name, count(*) filter (where c_acctbal is null) as c_acctbal from customer")
@@ -340,3 +347,95 @@ def expected_hours(spark: SparkSession, d: str) -> DataFrame:
     years = spark.read.parquet(f"{d}/lineitem.parquet").select(F.year("l_shipdate").alias("year")).distinct()
     return years.select("year", C.expected_hours(F.col("year")).alias("hours"))
 
+
+def _rectangle(x0, y0, x1, y1):
+    p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    return F.array(F.array(F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))))
+
+
+_TOWN_SQL = "town as (select 'C'||k as city, 3000.5+k*500 as bx0, 2500.5 as by0, 15000.5 as bx1, 12000.5+k*900 as by1 from (values (0),(1),(2)) t(k))"
+
+
+def _towns(spark: SparkSession) -> DataFrame:
+    """city, geom: an upright boundary for each city."""
+    k = F.col("id")
+    return spark.range(3).select(F.concat(F.lit("C"), k).alias("city"), _rectangle(3000.5 + k * 500, F.lit(2500.5), F.lit(15000.5), 12000.5 + k * 900).alias("geom"))
+
+
+@query(f"{duck('bldg')}, {_TOWN_SQL}, met as (select city, bldg_id, greatest(x0,bx0) as xmin, greatest(y0,by0) as ymin, least(x0+w,bx1) as xmax, least(y0+h,by1) as ymax from bldg join town using (city)) select city, bldg_id, round((xmax-xmin)*(ymax-ymin),6) as area, round(xmin,6) as xmin, round(ymin,6) as ymin, round(xmax,6) as xmax, round(ymax,6) as ymax from met where xmin<xmax and ymin<ymax")
+def clip_buildings_box(spark: SparkSession, d: str) -> DataFrame:
+    """Building polygons cut to their city's boundary, ids kept (J2)."""
+    out = clip_polygons(_footprints(spark, d), _towns(spark)).select("city", "bldg_id", C.area(F.col("geom")).alias("area"), C.bounds(F.col("geom")).alias("b"))
+    return rounded(out.select("city", "bldg_id", "area", "b.*"), area=6, xmin=6, ymin=6, xmax=6, ymax=6)
+
+
+_T = "case when {d}=0 then (case when {a} between {lo} and {hi} then {all} else {none} end) else {f}(({lo}-{a})/{d},({hi}-{a})/{d}) end"
+_T0, _T1 = ([_T.format(d=f"({v}2-{v}1)", a=f"{v}1", lo=f"b{v}0", hi=f"b{v}1", f=f, all=all_, none=none) for v in "xy"] for f, all_, none in (("least", "0.0", "2.0"), ("greatest", "1.0", "-1.0")))
+
+
+@query(f"{duck('seg')}, {_TOWN_SQL}, met as (select water_id, seg, sqrt(power(x2-x1,2)+power(y2-y1,2)) as size, greatest(0.0,{_T0[0]},{_T0[1]}) as a, least(1.0,{_T1[0]},{_T1[1]}) as b from seg join town using (city)) select water_id, seg, round((b-a)*size,4) as length, round(a,6) as starts from met where a<b")
+def clip_lines_box(spark: SparkSession, d: str) -> DataFrame:
+    """Water lines cut to their city's boundary, attributes kept (J1)."""
+    out = clip.clip_lines(fixture(spark, d, "seg"), _towns(spark))
+    size = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    out = out.groupBy("water_id", "seg").agg(F.sum(size).alias("length"), F.min("piece").alias("starts"))
+    return rounded(out.where("length > 0"), length=4, starts=6)
+
+
+_GRID = "cells as (select c_nationkey%5 as i, cast(floor(c_nationkey/5) as int) as j, count(*) as n from customer group by 1,2), all_cells as (select 'R'||(i+j)%2 as city, i*100.0 as cx, j*100.0 as cy from cells union all select 'R2', i*100.0, j*100.0 from cells)"
+
+
+@query(f"with {_GRID} select city, cast(sum(10000.0) as double) as area, min(cx) as xmin, min(cy) as ymin, max(cx)+100 as xmax, max(cy)+100 as ymax from all_cells group by 1")
+def dissolved_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of a board made one geometry: those of a colour touch in corners only, all of them share sides (A10)."""
+    k = F.col("c_nationkey")
+    cells = spark.read.parquet(f"{d}/customer.parquet").select((k % 5).alias("i"), F.floor(k / 5).alias("j")).distinct()
+    x, y = F.col("i") * 100.0, F.col("j") * 100.0
+    cells = cells.withColumn("geom", _rectangle(x, y, x + 100, y + 100))
+    both = cells.select(F.concat(F.lit("R"), (F.col("i") + F.col("j")) % 2).alias("city"), "geom").union(cells.select(F.lit("R2"), "geom"))
+    out = dissolved(both).select("city", C.area(F.col("geom")).alias("area"), C.bounds(F.col("geom")).alias("b"))
+    return rounded(out.select("city", "area", "b.*"), area=6)
+
+
+@query(f"{duck('bldg')} select bldg_id, w*h/2 as area, 2 as n_parts from bldg")
+def repaired_bow_ties(spark: SparkSession, d: str) -> DataFrame:
+    """Footprints drawn with two corners swapped cross themselves; repaired, both halves are kept (C10)."""
+    g = F.col("geom")[0][0]
+    crossed = _footprints(spark, d).withColumn("geom", F.array(F.array(F.array(g[0], g[2], g[1], g[3], g[0]))))
+    out = repaired(crossed.select("bldg_id", "geom"))
+    return rounded(out.select("bldg_id", C.area(F.col("geom")).alias("area"), F.size("geom").alias("n_parts")), area=6)
+
+
+@query(f"{duck('bldg')} select bldg_id, round(x0+w/2,6) as px, round(y0+h/2,6) as py from bldg")
+def interior_points(spark: SparkSession, d: str) -> DataFrame:
+    """A point that is surely inside each footprint (C4)."""
+    out = with_interior_point(_footprints(spark, d)).select("bldg_id", F.col("interior.x").alias("px"), F.col("interior.y").alias("py"))
+    return rounded(out, px=6, py=6)
+
+
+@query(f"{duck('bldg')}, parts as (select bldg_id, part from bldg cross join (values (0),(1)) p(part)) select bldg_id, part, seg from parts cross join (values (0),(1),(2),(3)) s(seg)")
+def multi_part_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Sides of geometries of two parts, numbered within each (C7)."""
+    g = F.col("geom")
+    two = _footprints(spark, d).withColumn("geom", F.concat(g, F.transform(g, lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 50).alias("x"), p["y"].alias("y")))))))
+    return spatial.to_segments(two, "bldg_id").select("bldg_id", F.col("part").cast("int"), F.col("seg").cast("int"))
+
+
+@query(f"{duck('bldg')}, typed as (select bldg_id, case bldg_id%5 when 0 then 'Point' when 1 then 'LineString' when 2 then 'MultiPolygon' else 'Polygon' end as geom_type, bldg_id%7=0 as missing, bldg_id%7=1 as empty from bldg) select bldg_id, geom_type from typed where geom_type in ('Polygon','MultiPolygon') and not missing and not empty")
+def polygons_that_are_there(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of a geometry type, null and empty geometries dropped (F5, F6)."""
+    k = F.col("bldg_id")
+    kind = F.when(k % 5 == 0, "Point").when(k % 5 == 1, "LineString").when(k % 5 == 2, "MultiPolygon").otherwise("Polygon")
+    geom = F.when(k % 7 == 1, F.array().cast(C.GEOMETRY)).when(k % 7 != 0, F.col("geom"))
+    layer = _footprints(spark, d).withColumns({"geom_type": kind, "geom": geom})
+    return normalize.without_empty(normalize.of_types(layer, normalize.POLYGONS)).select("bldg_id", "geom_type")
+
+
+@query(f"{duck('bldg', 'seg')}, pairs as (select city, bldg_id, x0,y0,w,h, x1,y1,x2,y2, case when x2=x1 then 0.0 else x2-x1 end as dx, y2-y1 as dy, case when (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)=0 then 1.0 else (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) end as a0 from bldg join seg using (city)) select city, bldg_id, round(min(case when {HIT_SQL} then 0.0 else {RECT_SQL} end),4) as dist_to_water_m from pairs group by 1,2")
+def proximity_job(spark: SparkSession, d: str) -> DataFrame:
+    """The whole third job on two layers, rivers and canals as one and the others as the second; the least of both (K6)."""
+    p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    water = fixture(spark, d, "seg").withColumn("geom", F.array(F.array(F.array(p("x1", "y1"), p("x2", "y2")))))
+    main = F.coalesce(F.col("fclass").isin("river", "canal"), F.lit(False))
+    out = jobs.proximity(_footprints(spark, d), {"main": water.where(main), "other": water.where(~main)})
+    return rounded(out.select("city", "bldg_id", F.least("dist_to_main_m", "dist_to_other_m").alias("dist_to_water_m")), dist_to_water_m=4)

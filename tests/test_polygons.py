@@ -1,0 +1,141 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rillgrid.config import CITIES
+from rillgrid.functions import overlay
+from rillgrid.functions.columns import area
+from rillgrid.functions.crs import from_lonlat
+from rillgrid.operators.clip import clip_lines_grown
+from rillgrid.operators.dissolve import dissolved
+from rillgrid.operators.polygons import clip_polygons, repaired
+from rillgrid.plans import jobs
+
+PATH = "array<array<array<struct<x:double,y:double>>>>"
+
+
+def ring(*points):
+    return [{"x": float(x), "y": float(y)} for x, y in (*points, points[0])]
+
+
+def box(x, y, w=10, h=10):
+    return [[ring((x, y), (x + w, y), (x + w, y + h), (x, y + h))]]
+
+
+def star(rng, x, y, r, n):
+    """A polygon that does not cross itself, with dents."""
+    return [[ring(*[(x + rng.uniform(0.2, 1) * r * math.cos(2 * math.pi * k / n), y + rng.uniform(0.2, 1) * r * math.sin(2 * math.pi * k / n)) for k in range(n)])]]
+
+
+def member(geom, x, y):
+    return overlay.even_odd(overlay.sides_of(geom))(x, y)
+
+
+def plain(geom):
+    return [[[p.asDict() for p in r] for r in part] for part in geom]
+
+
+def test_clip_polygons_by_points(spark):
+    rng = random.Random(3)
+    edge = star(rng, 0, 0, 2000, 60)
+    edge[0].append(ring((-100, -100), (-100, 100), (100, 100), (100, -100)))  # a hole
+    layer = [("A", k, star(rng, rng.uniform(-2000, 2000), rng.uniform(-2000, 2000), rng.choice((20, 300, 900)), 9), k % 3) for k in range(120)]
+    layer += [("A", 200, box(-100, 0, 50, 50), 1), ("A", 201, box(-150, 0, 50, 50), 1), ("B", 1, box(0, 0), 1), ("A", 202, None, 1)]
+    df = spark.createDataFrame(layer, f"city string, bldg_id long, geom {PATH}, levels int")
+    boundary = spark.createDataFrame([("A", edge)], f"city string, geom {PATH}")
+    got = {r.bldg_id: r for r in clip_polygons(df, boundary).collect()}
+    assert all(r.city == "A" for r in got.values()) and df.columns == clip_polygons(df, boundary).columns
+    points = np.random.default_rng(5)
+    for _, k, geom, levels in layer[:122]:
+        b = overlay.sides_of(geom)
+        x, y = points.uniform(b[:, 0].min() - 1, b[:, 0].max() + 1, 4000), points.uniform(b[:, 1].min() - 1, b[:, 1].max() + 1, 4000)
+        want = member(geom, x, y) & member(edge, x, y)
+        found = member(plain(got[k].geom), x, y) if k in got else np.zeros(len(x), bool)
+        assert (want == found).all(), k
+        assert k not in got or got[k].levels == levels
+    # inside the hole, and beside it
+    assert 200 not in got and got[201].geom[0] == df.where("bldg_id = 201").first().geom[0]
+
+
+def test_clip_of_an_empty_layer_and_boundary(spark):
+    df = spark.createDataFrame([("A", 1, box(0, 0))], f"city string, bldg_id long, geom {PATH}")
+    none = spark.createDataFrame([], f"city string, geom {PATH}")
+    assert clip_polygons(df, none).count() == 0
+    assert clip_polygons(df.where("bldg_id = 0"), spark.createDataFrame([("A", box(0, 0))], none.schema)).count() == 0
+
+
+def test_repaired(spark):
+    bow = [[ring((0, 0), (10, 10), (10, 0), (0, 10))]]
+    twice = [[ring((0, 0), (4, 0), (4, 4), (0, 4))], [ring((2, 2), (6, 2), (6, 6), (2, 6))]]
+    fine = box(0, 0)
+    flat = [[ring((0, 0), (5, 5), (3, 3))]]
+    rows = [(1, bow), (2, twice), (3, fine), (4, None), (5, [])]
+    got = {r.k: r for r in repaired(spark.createDataFrame(rows, f"k int, geom {PATH}")).withColumn("a", area(F.col("geom"))).collect()}
+    assert abs(got[1].a - 50) < 1e-6 and len(got[1].geom) == 2
+    assert abs(got[2].a - 24) < 1e-6
+    assert plain(got[3].geom) == fine and got[4].geom is None and got[5].geom == []
+    assert repaired(spark.createDataFrame([(1, flat)], f"k int, geom {PATH}")).count() == 1
+    rng = random.Random(9)
+    wild = [(k, [[ring(*[(rng.uniform(0, 100), rng.uniform(0, 100)) for _ in range(n)])]]) for k, n in enumerate((5, 8, 12, 80))]
+    x, y = np.random.default_rng(1).uniform(0, 100, (2, 5000))
+    for r in repaired(spark.createDataFrame(wild, f"k int, geom {PATH}")).collect():
+        assert (member(plain(r.geom), x, y) == member(wild[r.k][1], x, y)).all()
+        sides = overlay.sides_of(plain(r.geom))
+        assert set(np.unique(overlay.winding(sides, x, y))) <= {0, 1}
+
+
+def test_dissolved_with_overlaps_and_partly_shared_sides(spark):
+    rng = random.Random(4)
+    stars = [star(rng, rng.uniform(0, 100), rng.uniform(0, 100), 40, 8) for _ in range(12)]
+    rows = [("o", g) for g in stars] + [("p", box(0, 0, 10, 10)), ("p", box(10, 2, 5, 5)), ("s", box(0, 0)), ("s", box(0, 0))]
+    got = {r.city: r for r in dissolved(spark.createDataFrame(rows, f"city string, geom {PATH}")).withColumn("a", area(F.col("geom"))).collect()}
+    x, y = np.random.default_rng(2).uniform(-50, 150, (2, 20000))
+    want = np.any([member(g, x, y) for g in stars], axis=0)
+    assert (member(plain(got["o"].geom), x, y) == want).all()
+    assert abs(got["p"].a - 125) < 1e-6 and len(got["p"].geom) == 1
+    assert got["s"].a == 100
+
+
+def test_lines_cut_at_a_grown_boundary(spark):
+    rng = random.Random(8)
+    edge = star(rng, 0, 0, 1000, 12)
+    lines = [("A", k, *[rng.uniform(-2500, 2500) for _ in range(4)]) for k in range(150)]
+    lines += [("A", 900, 5.0, 5.0, 5.0, 5.0), ("B", 901, 0.0, 0.0, 1.0, 1.0), ("A", 902, 3000.0, 3000.0, 3100.0, 3000.0)]
+    df = spark.createDataFrame(lines, "city string, k int, x1 double, y1 double, x2 double, y2 double")
+    boundary = spark.createDataFrame([("A", edge)], f"city string, geom {PATH}")
+    got = clip_lines_grown(df, boundary, 150.0).collect()
+    length = {}
+    for r in got:
+        length[r.k] = length.get(r.k, 0.0) + math.hypot(r.x2 - r.x1, r.y2 - r.y1)
+    assert not {901, 902} & set(length) and length[900] == 0  # one without length stays if it is inside
+    sides = overlay.sides_of(edge)
+    t = (np.arange(20000) + 0.5) / 20000
+    for _, k, x1, y1, x2, y2 in lines[:150]:
+        x, y = x1 + t * (x2 - x1), y1 + t * (y2 - y1)
+        d = np.full(len(t), np.inf)
+        for a, b, c, e in sides:
+            u = np.clip(((x - a) * (c - a) + (y - b) * (e - b)) / ((c - a) ** 2 + (e - b) ** 2), 0, 1)
+            d = np.minimum(d, np.hypot(x - a - u * (c - a), y - b - u * (e - b)))
+        want = (member(edge, x, y) | (d <= 150)).mean() * math.hypot(x2 - x1, y2 - y1)
+        assert length.get(k, 0.0) == pytest.approx(want, abs=2.0), k
+
+
+def test_normalised_and_clipped_city(spark):
+    corner = spark.range(1).select(from_lonlat(F.lit(4.5), F.lit(51.9), 28992).alias("p")).first().p
+    x, y = corner.x, corner.y
+    raw = spark.createDataFrame([("w/1", "yes", [[ring((4.5, 51.9), (4.5002, 51.9), (4.5002, 51.9001), (4.5, 51.9001))]], "Polygon"), ("w/2", "yes", [[ring((4.6, 51.9), (4.6002, 51.9), (4.6002, 51.9001))]], "Polygon"), ("w/3", "yes", None, "Polygon")], f"id string, building string, geom {PATH}, geom_type string")
+    towns = spark.createDataFrame([(" Rotterdam", box(x - 100, y - 100, 100, 500)), ("Rotterdam ", box(x, y - 100, 5, 500)), ("Delft", box(x, y, 9000, 9000))], f"statnaam string, geom {PATH}")
+    water = spark.createDataFrame([(1, "Maas", [[[{"x": x - 500, "y": y}, {"x": x + 500, "y": y}]]], "LineString")], f"fid int, naam string, geom {PATH}, geom_type string")
+    out = jobs.normalised_city(raw, towns, water, CITIES["RTM"], lonlat=("buildings",))
+    assert out["buildings"].count() == 2
+    edge = out["boundary"].withColumn("a", area(F.col("geom"))).first()
+    assert edge.city == "RTM" and abs(edge.a - 105 * 500) < 1e-3
+    cut = jobs.clipped_city(out["buildings"], out["water"], out["boundary"])
+    b = cut["buildings"].withColumn("a", area(F.col("geom"))).collect()
+    assert [r.bldg_id for r in b] == [1] and 40 < b[0].a < 60
+    w = cut["water"].collect()
+    assert sum(math.hypot(r.x2 - r.x1, r.y2 - r.y1) for r in w) == pytest.approx(105) and w[0].name == "Maas"
+    assert tuple(cut["counts"].first()) == ("RTM", 2, 1)
