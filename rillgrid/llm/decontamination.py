@@ -13,6 +13,9 @@ and with each item window taken from the match nearest to that diagonal, at most
 or left out do not part an occurrence. The item is found if one occurrence has ``share`` of the windows and agrees; n_windows
 and slot_agreement are then that occurrence's (the best agreement, then the most windows).
 
+An item of which no window has that many literals ("what is 12 km 7 m 3 kg 4 h") is found by its values themselves: all its
+windows, hashed with what stands in the slots, and the same ``share`` of them; a copy with other values is not found.
+
 Everything is DataFrame functions. Null and empty texts have no tokens and are never found; items with fewer than ``width``
 tokens have no windows and are found nowhere. Repeated documents' rows of one id count as one document; repeated items as
 one. Other columns are ignored; an empty table gives no rows.
@@ -49,10 +52,10 @@ def tokens(texts: DataFrame) -> DataFrame:
     return held(split.where(F.size("words") > 0), "toks", F.zip_with("words", before, one)).drop("words")
 
 
-def _windows(texts: DataFrame, name: str, width: int) -> DataFrame:
-    """(name, toks, i, key): a row for each window."""
+def _windows(texts: DataFrame, name: str, width: int, values: bool = False) -> DataFrame:
+    """(name, toks, i, key): a row for each window; with ``values`` the key tells slots of one type apart."""
     found = tokens(texts).select(name, "toks").where(F.size("toks") >= width)
-    code = F.transform("toks", lambda t: F.xxhash64(F.when(F.substring(t, 1, 1).isin("#", "&", "@"), F.substring(t, 1, 1)).otherwise(t)))
+    code = F.transform("toks", lambda t: F.xxhash64(t if values else F.when(F.substring(t, 1, 1).isin("#", "&", "@"), F.substring(t, 1, 1)).otherwise(t)))
     placed = held(found, "codes", code).select(name, "toks", "codes", F.explode(F.sequence(F.lit(0), F.size("codes") - width)).alias("i"))
     return placed.select(name, "toks", "i", F.xxhash64(*[F.get("codes", F.col("i") + j) for j in range(width)]).alias("key"))
 
@@ -88,11 +91,22 @@ def _by_occurrence(hits: DataFrame, windows: DataFrame, sizes: DataFrame, hint:
     return best.select("doc", "item", "b.n_windows", "n_item_windows", "b.slot_agreement")
 
 
+def _by_value(texts: DataFrame, items: DataFrame, width: int, share: float) -> DataFrame:
+    """(doc, item, n_windows, n_item_windows, slot_agreement) of items whose windows stand in a document, slots and all."""
+    windows = cut(_windows(items, "item", width, values=True).select("item", "key").distinct())
+    hint = F.broadcast if windows.count() <= FEW_WINDOWS else (lambda df: df)
+    sizes = windows.groupBy("item").agg(F.count("*").alias("n_item_windows"))
+    met = _windows(texts, "doc", width, values=True).select("doc", "key").join(hint(windows), "key")
+    counted = met.groupBy("doc", "item").agg(F.count_distinct("key").alias("n_windows")).join(hint(sizes), "item")
+    return counted.where(F.col("n_windows") >= share * F.col("n_item_windows")).select("doc", "item", "n_windows", "n_item_windows", F.lit(1.0).alias("slot_agreement"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, literals: int = 3, share: float = 0.8, agreement: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each (document, item) found: id, item, n_windows (distinct ones that match), n_item_windows, slot_agreement."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text"))
-    windows = _windows(items, "item", width).withColumn("slots", _slots(F.col("toks"), F.col("i"), width))
-    windows = cut(windows.where(width - F.size("slots") >= literals).groupBy("item", "key").agg(F.min("slots").alias("slots"), F.collect_list(F.struct("i", "slots")).alias("places")))
+    windows = _windows(items, "item", width).withColumn("slots", _slots(F.col("toks"), F.col("i"), width)).withColumn("plain", width - F.size("slots") >= literals)
+    dense = cut(windows.groupBy("item").agg(F.bool_or("plain").alias("some")).where("not some").select("item"))
+    windows = cut(windows.where("plain").groupBy("item", "key").agg(F.min("slots").alias("slots"), F.collect_list(F.struct("i", "slots")).alias("places")))
     sizes = windows.groupBy("item").agg(F.count("*").alias("n_item_windows"))
     small = windows.count() <= FEW_WINDOWS
     hint = F.broadcast if small else (lambda df: df)
@@ -112,4 +126,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, literals: int =
     torn = judged.where(F.col("slot_agreement") < agreement).select("doc", "item")
     if not torn.isEmpty():
         out = out.union(_by_occurrence(hits.join(torn, ["doc", "item"], "left_semi"), windows, sizes, hint, width, share, agreement))
+    if not dense.isEmpty():
+        out = out.union(_by_value(texts, items.join(dense, "item", "left_semi"), width, share))
     return out.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "n_windows", "n_item_windows", "slot_agreement")

@@ -274,6 +274,19 @@ def test_leaks_judge_each_occurrence_by_itself(spark):
     assert all(r.n_windows == r.n_item_windows for r in got.values())
 
 
+@pytest.mark.parametrize("few", [2_000_000, 0])
+def test_leaks_of_items_that_are_mostly_slots(spark, monkeypatch, few):
+    """Items without literal windows are found by value; joins are the same whether benchmark windows are broadcast or not."""
+    monkeypatch.setattr("rillgrid.llm.decontamination.FEW_WINDOWS", few)
+    dense, plain = "what is 12 km 7 m 3 kg 4 h 5 km 9 s 8 m 2 kg", "A train leaves at 9 and travels 120 km in 2 hours before Anna meets Ben at the old station gate"
+    bench = spark.createDataFrame([(1, dense), (2, plain), (2, plain), (3, "1 2 3 4"), (4, dense)], "item_id long, text string")
+    other = "what is 13 km 6 m 2 kg 5 h 4 km 8 s 7 m 3 kg"
+    rows = [(1, f"some words {dense} and more"), (2, other), (3, plain.replace("9", "7")), (4, None), (5, f"{dense} {dense} {plain}"), (6, dense[: len(dense) // 2])]
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_item_windows) for r in leaks(table(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (1, 4), (3, 2), (5, 1), (5, 4), (5, 2)}
+    assert got[1, 1] == (14, 14) == got[5, 4]
+
+
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
