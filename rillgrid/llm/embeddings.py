@@ -9,10 +9,12 @@ candidates and are verified in double precision.
 
 Recall depends on alpha: of a pair at cosine c, a filter that one vector passes is passed by the other with the chance of
 a normal variable; ``tables`` independent rotations are used so that a pair at the threshold is missed with a chance far
-below 1 in 1,000 (tests measure it against brute force).
+below 1 in 1,000 (tests measure it against brute force). A random direction's projection has a spread of one by the root of
+the width, so alpha goes by the width: a vector passes about PASSED filters of a table at any width. The number of codes grows
+with the root of the largest label's rows, so a bucket of vectors that are not alike stays at about BLOCK of them.
 
 Links must be counted, so pairs within a bucket are counted, never written: a vector belongs to many buckets, and its
-links must not be counted again in each: a pair counts in the first filter that both pass, which the vectors' bitmaps of
+links must not be counted again in each: a pair counts in the first filter that both pass, which the vectors' lists of
 filters tell. Buckets that hold many vectors are dealt into blocks of about BLOCK vectors, and pairs of
 blocks are rows of their own, so that no task holds a whole bucket.
 
@@ -24,6 +26,8 @@ vectors of their own in the counts and share the id's row. Other columns are ign
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,25 +38,46 @@ from rillgrid.llm.common import stored
 from rillgrid.llm.components import components
 
 BLOCK = 1024  # vectors of a bucket, about, that are held against as many others at once
-PARTS, CODES = 2, 16  # blocks of a product code, and codes of each
+PARTS, CODES = 2, 16  # blocks of a product code, and codes of each at least
 TABLES = 8  # independent rotations
-ALPHA = 0.28  # a vector passes a filter from this projection on; its best filter it passes anyway
+PASSED = 3.2  # filters of a table that a vector passes, about; its best one it passes anyway
+AT_ONCE = 1 << 23  # projections that a task holds
 
 
+@lru_cache(maxsize=16)
 def rotation(dim: int, table: int) -> np.ndarray:
     """A random orthogonal matrix."""
     q, r = np.linalg.qr(np.random.default_rng(7919 + table).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
 
 
+@lru_cache(maxsize=64)
 def codebook(width: int, table: int, part: int, codes: int) -> np.ndarray:
     c = np.random.default_rng(104729 + 97 * table + part).standard_normal((codes, width))
     return c / np.linalg.norm(c, axis=1, keepdims=True)
 
 
-def decode(x: np.ndarray, table: int, parts: int = PARTS, codes: int = CODES, alpha: float = ALPHA) -> tuple[np.ndarray, np.ndarray]:
+def limit(dim: int, parts: int = PARTS, codes: int = CODES) -> float:
+    """alpha: the projection from which on a vector of this width passes a filter."""
+    return NormalDist().inv_cdf(1 - PASSED / codes**parts) / np.sqrt(dim)
+
+
+def codes_for(rows: int, parts: int = PARTS) -> int:
+    """Codes of a block, so that a filter is passed by about BLOCK of so many rows; a power of two."""
+    need = (rows * PASSED / BLOCK) ** (1 / parts)
+    return max(CODES, 1 << int(np.ceil(np.log2(max(1.0, need)))))
+
+
+def decode(x: np.ndarray, table: int, parts: int = PARTS, codes: int = CODES) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of all filters of one table that unit vectors pass: list decoding, block by block with pruning."""
+    step = max(16, AT_ONCE // codes**parts)
+    found = [_decode(x[at : at + step], table, parts, codes) for at in range(0, max(1, len(x)), step)]
+    return np.concatenate([row + k * step for k, (row, _) in enumerate(found)]), np.concatenate([code for _, code in found])
+
+
+def _decode(x: np.ndarray, table: int, parts: int, codes: int) -> tuple[np.ndarray, np.ndarray]:
     n, dim = x.shape
+    alpha = limit(dim, parts, codes)
     y = x @ rotation(dim, table).T
     bounds = np.linspace(0, dim, parts + 1).astype(int)
     shares = [y[:, a:b] @ codebook(b - a, table, k, codes).T / np.sqrt(parts) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
@@ -82,13 +107,15 @@ def _unit(values: pa.Array, rows: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABLES, parts: int = PARTS, codes: int = CODES, alpha: float = ALPHA, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
-    """id, n_links, component_id (least id of its component), kept."""
-    n_bits = tables * codes**parts
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABLES, parts: int = PARTS, codes: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+    """id, n_links, component_id (least id of its component), kept. ``codes`` goes by the rows of the largest label if none is given."""
     rows = _clean(vectors, id_col, vec_col, label_col)
     each = stored(rows.withColumn("class", F.when(F.col("v").isNotNull(), F.xxhash64("label", "v"))))
     classes = each.where("class is not null").groupBy("class").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v"))
     classes = stored(classes)
+    if codes is None:
+        codes = codes_for(classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0, parts)
+    n_filters = tables * codes**parts
 
     def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,32 +125,28 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABL
             for dim in np.unique(sizes):  # vectors of different widths have no cosine
                 part = batch.take(pa.array(np.flatnonzero(sizes == dim)))
                 x = _unit(part.column(2), part.num_rows)
-                found = [decode(x, t, parts, codes, alpha) for t in range(tables)]
+                found = [decode(x, t, parts, codes) for t in range(tables)]
                 row = np.concatenate([r for r, _ in found])
-                bit = np.concatenate([t * codes**parts + c for t, (_, c) in enumerate(found)])
-                bits = np.zeros((part.num_rows, n_bits), bool)
-                bits[row, bit] = True
-                maps = [m.tobytes() for m in np.packbits(bits, axis=1, bitorder="little")]
-                lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(bits.sum(axis=1))]).astype(np.int32), int(dim) * n_bits + np.nonzero(bits)[1])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(maps, pa.binary()), lists], names=["rep", "label", "v", "copies", "bits", "filters"])
+                code = np.concatenate([t * codes**parts + c for t, (_, c) in enumerate(found)])
+                order = np.lexsort((code, row))
+                ends = np.searchsorted(row[order], np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(ends, int(dim) * n_filters + code[order])], names=["rep", "label", "v", "copies", "filters"])
 
     kind = classes.schema["v"].dataType.simpleString()
-    passed = stored(classes.select("rep", "label", "v", "copies").mapInArrow(passes, f"rep long, label long, v {kind}, copies long, bits binary, filters array<long>"))
+    passed = stored(classes.select("rep", "label", "v", "copies").mapInArrow(passes, f"rep long, label long, v {kind}, copies long, filters array<long>"))
     in_buckets = passed.select("rep", "label", F.explode("filters").alias("filter"))
     sizes_of = in_buckets.groupBy("label", "filter").agg(F.count("*").alias("n")).where("n > 1").select("label", "filter", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
     dealt = in_buckets.join(sizes_of, ["label", "filter"]).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     # a part meets itself and all others of its bucket; a vector goes to each meeting of its part
-    sides = dealt.join(passed.select("rep", "v", "copies", "bits"), "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    sides = sides.select("label", "filter", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "rep", "copies", "v", "bits")
+    sides = dealt.join(passed.select("rep", "v", "copies", "filters"), "rep").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sides = sides.select("label", "filter", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "rep", "copies", "v", "filters")
 
     def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)).sort_by("rep")
         own, p, q = (k.as_py() for k in key[1:])
         part, rep, copies = (np.asarray(table.column(c).combine_chunks()) for c in ("part", "rep", "copies"))
         x = _unit(table.column("v").combine_chunks(), len(rep))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(rep), -1)
-        lower = np.packbits(np.arange(n_bits) < own % n_bits, bitorder="little")
-        earlier = bits & lower  # the filters that come before this one
+        earlier = _bitmaps(table.column("filters").combine_chunks(), own)
         left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
         links = np.zeros(len(rep), np.int64)
         for at in range(0, len(left), 64):
@@ -151,6 +174,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABL
     return out.select(F.col("vec_id").alias(id_col), "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 
+def _bitmaps(lists: pa.ListArray, own: int) -> np.ndarray:
+    """A row of bits for each list: which of the filters before ``own`` it holds, of those that several lists hold."""
+    row = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
+    code = np.asarray(lists.flatten())
+    row, code = row[code < own], code[code < own]
+    _, place, times = np.unique(code, return_inverse=True, return_counts=True)
+    shared = times > 1
+    row, place = row[shared[place]], (np.cumsum(shared) - 1)[place[shared[place]]]
+    bits = np.zeros((len(lists), (shared.sum() + 7) // 8), np.uint8)
+    np.bitwise_or.at(bits, (row, place // 8), (1 << (place % 8)).astype(np.uint8))
+    return bits
+
+
 def _edges(rep: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Enough of a block's links for its components: a forest, found by lowering each vector's root until none changes."""
     if not len(a):

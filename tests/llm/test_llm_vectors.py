@@ -2,9 +2,10 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from rillgrid.llm.components import components
-from rillgrid.llm.embeddings import decode, near_vectors
+from rillgrid.llm.embeddings import CODES, codes_for, decode, near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, filter string, part int"
 
@@ -45,18 +46,31 @@ def test_links_equal_brute_force(spark):
     assert near_vectors(make(spark, [])).collect() == []
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("dim, codes", [(32, 16), (64, 16), (128, 16), (768, 16), (64, 64), (768, 64)])
+def test_recall_at_the_threshold(dim, codes):
     rng = np.random.default_rng(1)
-    x = rng.standard_normal((2000, 64))
+    x = rng.standard_normal((1500, dim))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    z = rng.standard_normal((2000, 64))
+    z = rng.standard_normal((1500, dim))
     z -= (z * x).sum(axis=1, keepdims=True) * x
     y = 0.93 * x + math.sqrt(1 - 0.93**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
-    met = np.zeros(2000, bool)
+    met, passed = np.zeros(1500, bool), 0
     for t in range(8):
-        both = set(zip(*(v.tolist() for v in decode(x, t)), strict=True)) & set(zip(*(v.tolist() for v in decode(y, t)), strict=True))
-        met[[r for r, _ in both]] = True
-    assert met.mean() > 0.995
+        one, two = (set(zip(*(v.tolist() for v in decode(v, t, codes=codes)), strict=True)) for v in (x, y))
+        met[[r for r, _ in one & two]] = True
+        passed += len(one)
+    assert met.mean() > 0.998 and passed / 1500 < 40
+
+
+def test_codes_grow_with_rows(spark):
+    assert codes_for(0) == codes_for(50_000) == CODES and codes_for(10_000_000) == 256
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.standard_normal((30, 32)), 4, axis=0) + rng.standard_normal((120, 32)) * 0.18
+    rows = [(k, [float(f) for f in v], 0) for k, v in enumerate(x.astype(np.float32))]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    for codes in (16, 32):
+        assert [r[1] for r in sorted(map(tuple, near_vectors(make(spark, rows), codes=codes).collect()))] == want.tolist()
 
 
 def test_components_of_chains_and_rings(spark):
