@@ -177,11 +177,11 @@ def rain_grid_filled(spark: SparkSession, d: str) -> DataFrame:
     return rain.filled(_climatology(spark, d)).select("city", _cell_number(), F.round("H_pluvial_v1_mm", 6).alias("H_pluvial_v1_mm"), "was_filled")
 
 
-@query(f"{duck('yearly', 'lonlat')}, {FILL_SQL}, pos as (select bldg_id, city, least(greatest((lon-4.0)/0.1,0.0),4.0) as gx, least(greatest((lat-51.8)/0.1,0.0),4.0) as gy from lonlat), low as (select *, least(cast(floor(gx) as int),3) as j, least(cast(floor(gy) as int),3) as i from pos) select bldg_id, round(a.h*(1-(gx-j))*(1-(gy-i))+b.h*(gx-j)*(1-(gy-i))+c.h*(1-(gx-j))*(gy-i)+e.h*(gx-j)*(gy-i),4) as \"H_pluvial_v1_mm\" from low join full_grid a on a.cell=i*5+j join full_grid b on b.cell=i*5+j+1 join full_grid c on c.cell=i*5+j+5 join full_grid e on e.cell=i*5+j+6")
+@query(f"{duck('yearly', 'lonlat')}, {FILL_SQL}, pos as (select bldg_id, city, least(greatest((lon-4.0)/0.1,0.0),4.0) as gx, least(greatest((lat-51.8)/0.1,0.0),4.0) as gy from lonlat), low as (select *, least(cast(floor(gx) as int),3) as j, least(cast(floor(gy) as int),3) as i from pos) select bldg_id, round(a.h*(1-(gx-j))*(1-(gy-i))+b.h*(gx-j)*(1-(gy-i))+c.h*(1-(gx-j))*(gy-i)+e.h*(gx-j)*(gy-i),9) as \"H_pluvial_v1_mm\" from low join full_grid a on a.cell=i*5+j join full_grid b on b.cell=i*5+j+1 join full_grid c on c.cell=i*5+j+5 join full_grid e on e.cell=i*5+j+6")
 def rain_on_buildings(spark: SparkSession, d: str) -> DataFrame:
     """Yearly maxima, climatology, filling, clamped bilinear interpolation (K8)."""
     out = rain.interpolated(fixture(spark, d, "lonlat"), rain.filled(_climatology(spark, d)))
-    return out.select("bldg_id", F.round("H_pluvial_v1_mm", 4).alias("H_pluvial_v1_mm"))
+    return out.select("bldg_id", F.round("H_pluvial_v1_mm", 9).alias("H_pluvial_v1_mm"))
 
 
 @query(f"{duck('hourly')} select city, count(*) as n, count(*) filter (where tp is null) as n_missing, round(avg(case when tp is not null then 1.0 else 0.0 end),9) as finite_fraction, max(tp) as max, round(avg(tp),9) as mean from hourly group by 1")
