@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, fresh, join_groups, slices, stored, word_hashes
+from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, fresh, join_groups, slices, stored, tidy, word_hashes
 
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
@@ -99,7 +99,7 @@ def line_hashes(texts: DataFrame, min_words: int) -> DataFrame:
                 columns = [ids, pa.array(lines.place[own].astype(np.int32)), pa.array(_key(lines.run(a, b), n)), _lists(np.stack(halves, axis=1)[some], some.sum(axis=1))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc", "place", "h", "halves"])
 
-    return texts.mapInArrow(run, "doc long, place int, h long, halves array<long>")
+    return texts.mapInArrow(tidy(run), "doc long, place int, h long, halves array<long>")
 
 
 def _with_places(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def neighbourhoods(texts: DataFrame, places: DataFrame, min_words: int) -> DataF
                 columns = [_key(lines.run(a, a + n), n)[line], _key(value, (n - 1)[line]), gone.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "key", "gone"])
 
-    return _with_places(texts, places).mapInArrow(run, "h long, key long, gone int")
+    return _with_places(texts, places).mapInArrow(tidy(run), "h long, key long, gone int")
 
 
 def near_words(a: list[str], b: list[str], min_words: int) -> bool:
@@ -165,7 +165,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
                 found += [parts[k] for k in at]
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ats, pa.int32()), pa.array(found, pa.string())], names=["doc", "place", "line"])
 
-    lines = stored(_with_places(texts, places).mapInArrow(lines_of, "doc long, place int, line string"))
+    lines = stored(_with_places(texts, places).mapInArrow(tidy(lines_of), "doc long, place int, line string"))
     one, two = (lines.select(F.struct("doc", "place").alias(c), F.col("line").alias(f"line_{c}")) for c in ("first", "partner"))
     both = pairs.join(one, "first").join(two, "partner").select("h", "partner", "line_first", "line_partner")
 
@@ -175,7 +175,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
             keep = [near_words(a.split(), b.split(), min_words) for a, b in zip(*sides, strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    out = cut(both.mapInArrow(check, "h long, partner struct<doc:long,place:int>"))
+    out = cut(both.mapInArrow(tidy(check), "h long, partner struct<doc:long,place:int>"))
     discard(lines)
     return out
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, join_groups, slices, stored, word_hashes
+from rillgrid.llm.common import coded_words, cut, discard, empty_if_null, join_groups, slices, stored, tidy, word_hashes
 from rillgrid.llm.components import components
 
 BINS = 1024  # samples that an odd sketch is folded from, at most
@@ -157,7 +157,7 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 columns = [batch.column(0).slice(first, len(texts)), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()), _lists(keys)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "class", "sketch", "keys"])
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, class long, sketch binary, keys array<long>")
+    return docs.mapInArrow(tidy(sign), "doc_id long, n_shingles long, class long, sketch binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -172,7 +172,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 kept = [(i, h.view(np.int64)) for i, c, h in zip(ids, asked, shingle_sets(texts, words), strict=True) if _class_of(h) == c]
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in kept], pa.int64()), _lists([h for _, h in kept])], names=["rep", "shingles"])
 
-    return chosen.mapInArrow(make, "rep long, shingles array<long>")
+    return chosen.mapInArrow(tidy(make), "rep long, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
@@ -192,7 +192,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, p
                 keep.append(100 * common >= percent * (len(u) + len(v) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    out = cut(both.mapInArrow(confirm, "a long, b long"))
+    out = cut(both.mapInArrow(tidy(confirm), "a long, b long"))
     discard(sets)
     return out
 
@@ -312,7 +312,7 @@ def _undecided(open_: DataFrame, slim: DataFrame, percent: int) -> DataFrame:
             keys = [batch.column(c).take(pa.array(row[at])) for c in range(3)]
             yield pa.RecordBatch.from_arrays([*keys, *(pa.array(x[at]) for x in (side.part, side.rep, side.comp))], names=["key", "p", "q", "part", "rep", "comp"])
 
-    return meetings.mapInArrow(match, "key long, p int, q int, part int, rep long, comp long")
+    return meetings.mapInArrow(tidy(match), "key long, p int, q int, part int, rep long, comp long")
 
 
 def _joined(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -329,7 +329,7 @@ def _joined(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 a, b = _forest(Side(pa.StructArray.from_arrays(fields, ["rep", "comp", "part", "n", "sketch"])), sets, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return meetings.mapInArrow(join, "a long, b long")
+    return meetings.mapInArrow(tidy(join), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 32, rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -387,4 +387,4 @@ def _sketched(pairs: DataFrame, slim: DataFrame, percent: int) -> DataFrame:
                 ok = apart <= sketch_limit(np.asarray(batch.column(4)), percent)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart)], names=["a", "b", "apart"]).filter(pa.array(ok))
 
-    return both.mapInArrow(close, "a long, b long, apart long")
+    return both.mapInArrow(tidy(close), "a long, b long, apart long")

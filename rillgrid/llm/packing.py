@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import byte_offsets, coded_words, cut, empty_if_null, slices, tokenizer_path
+from rillgrid.llm.common import byte_offsets, coded_words, cut, empty_if_null, slices, tidy, tokenizer_path
 
 MEMO_WORDS = 200_000  # parts of texts whose ids one task keeps
 END_SIGNS = ".,!?;:&#$%*"  # signs that the tokenizer parts from a word before them
@@ -158,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer_file: str | None = None, capacity: int = 4
                 columns = [batch.column(0).slice(first, len(texts)).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array((upto - at).astype(np.int64)), pa.array(crc)]
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, "piece", "start", "length", "ids_crc32"])
 
-    return rows.mapInArrow(cut_up, f"`{id_col}` long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(tidy(cut_up), f"`{id_col}` long, piece int, start long, length long, ids_crc32 long")
 
 
 def grouped(counts: dict[int, int], groups: int) -> list[list[tuple[int, int]]]:

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded, empty_if_null, slices
+from rillgrid.llm.common import coded, empty_if_null, slices, tidy
 from rillgrid.llm.labelled import held_out, teaching_rows
 
 SAMPLE = 6000  # labelled rows, at most, that it is fitted on
@@ -200,5 +200,5 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sa
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([np.zeros(0), *out]))], names=[id_col, "score"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
-    out = rows.mapInArrow(run, f"`{id_col}` long, score double")
+    out = rows.mapInArrow(tidy(run), f"`{id_col}` long, score double")
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

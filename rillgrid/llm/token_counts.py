@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import coded, empty_if_null, slices, tokenizer_path
+from rillgrid.llm.common import coded, empty_if_null, slices, tidy, tokenizer_path
 
 MARK = "▁"  # how the model writes a space
 START = 0  # the state in which nothing before can matter
@@ -207,5 +207,5 @@ def count_tokens(docs: DataFrame, model_file: str | None = None, id_col: str = "
             totals = [pa.array(_counter(path).totals(texts)) for _, texts in slices(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.concat_arrays(totals)], names=[id_col, "n_bytes", "n_tokens"])
 
-    out = rows.mapInArrow(count, f"`{id_col}` long, n_bytes long, n_tokens long")
+    out = rows.mapInArrow(tidy(count), f"`{id_col}` long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import byte_offsets, coded_words, empty_if_null, slices
+from rillgrid.llm.common import byte_offsets, coded_words, empty_if_null, slices, tidy
 from rillgrid.llm.labelled import held_out, teaching_rows
 
 SAMPLE = 6000  # labelled rows, at most, that it is trained on
@@ -143,7 +143,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_score(logits(batch.column(1), *model.value)))], names=[id_col, "score"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), empty_if_null(F.col(f"`{text_col}`")).alias("text"))
-    out = rows.mapInArrow(run, f"`{id_col}` long, score double")
+    out = rows.mapInArrow(tidy(run), f"`{id_col}` long, score double")
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -158,4 +158,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sampl
                 part = batch.slice(k, ROWS)
                 yield part.filter(pa.array(_score(logits(pc.fill_null(part.column(at), ""), *model.value)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
