@@ -42,14 +42,40 @@ def read_geojson(spark: SparkSession, path: str, properties: list[str], crs: int
     return rows.select(*named, kind.alias("geom_type"), _nested(F.col("geometry.coordinates"), kind).alias("geom"), F.lit(crs).alias("crs"))
 
 
-def read_gml_lines(spark: SparkSession, path: str, row_tag: str, columns: list[str], pos_list: str, crs: int) -> DataFrame:
-    """Line features of GML files: child elements as text, and the line of one coordinate list (``x y x y ...``)."""
-    schema = ", ".join(f"`{c}` string" for c in [*columns, pos_list])
-    rows = spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
-    numbers = F.transform(F.split(F.trim(F.col(f"`{pos_list}`")), r"\s+"), lambda v: v.cast("double"))
-    n = (F.size(numbers) / 2).cast("int")
-    line = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.named_struct(F.lit("x"), F.get(numbers, 2 * k), F.lit("y"), F.get(numbers, 2 * k + 1)))
-    return rows.select(*[F.col(f"`{c}`") for c in columns], F.lit("LineString").alias("geom_type"), F.array(F.array(line)).alias("geom"), F.lit(crs).alias("crs"))
+def _elements(xml: Column, *names: str) -> Column:
+    """The elements of these names in a piece of XML, as text. None of them may hold another of its own name."""
+    return F.regexp_extract_all(xml, F.lit(rf"(?s)<(?:\w+:)?({'|'.join(names)})\b[^>]*>.*?</(?:\w+:)?\1>"), F.lit(0))
+
+
+def _vertices(xml: Column, dimension: Column, swapped: bool) -> Column:
+    """All coordinates in a piece of GML as one path; heights are dropped."""
+    lists = F.regexp_extract_all(xml, F.lit(r"<(?:\w+:)?(?:posList|pos|coordinates)\b[^>]*>([^<]*)<"), F.lit(1))
+    numbers = F.split(F.trim(F.regexp_replace(F.array_join(lists, " "), r"[\s,]+", " ")), " ")
+    n = F.floor(F.size(numbers) / dimension).cast("int")
+    at = lambda k, axis: F.get(numbers, k * dimension + F.lit(axis)).try_cast("double")
+    x, y = (1, 0) if swapped else (0, 1)
+    path = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.named_struct(F.lit("x"), at(k, x), F.lit("y"), at(k, y)))
+    return F.when(n > 0, path)
+
+
+def read_gml(spark: SparkSession, path: str, row_tag: str, columns: list[str], geometry: str, crs: int, swapped: bool = False) -> DataFrame:
+    """The features of GML files: the named child elements as text (null where absent), geom_type, geom, crs. Names are given
+    without prefixes. Points, lines (LineString or Curve) and polygons (Polygon or Surface), single or multi, with two or three
+    coordinates a vertex as srsDimension says; ``swapped`` is for files that give y before x."""
+    schema = ", ".join(f"`{c}` string" for c in [*columns, geometry])
+    rows = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).schema(schema).load(path)
+    xml = F.col(f"`{geometry}`")
+    dimension = F.coalesce(F.regexp_extract(xml, r'srsDimension\s*=\s*"(\d)"', 1).try_cast("int"), F.lit(2))
+    vertices = lambda c: _vertices(c, dimension, swapped)
+    areas, lines, points = _elements(xml, "Polygon", "PolygonPatch"), _elements(xml, "LineString", "LineStringSegment"), _elements(xml, "Point")
+    many = lambda name, found: F.when(xml.rlike(r"<(\w+:)?Multi") | (F.size(found) > 1), f"Multi{name}").otherwise(name)
+    kind = F.when(F.size(areas) > 0, many("Polygon", areas)).when(F.size(lines) > 0, many("LineString", lines)).when(F.size(points) > 0, many("Point", points))
+    geom = (
+        F.when(F.size(areas) > 0, F.transform(areas, lambda a: F.transform(_elements(a, "LinearRing"), vertices)))
+        .when(F.size(lines) > 0, F.transform(lines, lambda line: F.array(vertices(line))))
+        .when(F.size(points) > 0, F.transform(points, lambda p: F.array(vertices(p))))
+    )
+    return rows.select(*[F.col(f"`{c}`") for c in columns], kind.alias("geom_type"), geom.alias("geom"), F.lit(crs).alias("crs"))
 
 
 def read_rain(spark: SparkSession, path: str, cities: list[str] | None = None, years: list[int] | None = None) -> DataFrame:
