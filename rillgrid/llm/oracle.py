@@ -71,3 +71,26 @@ with lines as (
 select doc_id, count(*) as n_lines, count(*) filter (where goes) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not goes), '')) as text_sha256
 from marked group by 1
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"
+
+#: Scores by a plain join of the items' terms and the documents' terms.
+OP12 = f"""
+with docs as (select row_number() over () as r, doc_id, {_TERMS} as ws from documents),
+sized as (select r, doc_id, ws, cast(len(ws) as bigint) as n from docs where len(ws) > 0),
+total as (select count(*) as nn, cast(sum(n) as bigint) as ll from sized),
+tf as (select r, t, count(*) as tf from (select r, unnest(ws) as t from sized) group by 1, 2),
+items as (select distinct item_id, t from (select item_id, unnest({_TERMS}) as t from benchmark)),
+weight as (
+    select t, cast(floor(1000 * ln((2 * nn + 2)::double / (2 * df + 1)::double)) as bigint) as w
+    from (select t, count(*) as df from tf where t in (select t from items) group by 1), total
+),
+scored as (
+    select item_id, doc_id, r, cast(sum(w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * n * nn) // ll)))) as bigint) as score
+    from items join weight using (t) join tf using (t) join sized using (r), total group by 1, 2, 3
+)
+select item_id, cast(rank as int) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id, r) as rank from scored where score > 0)
+where rank <= 10
+"""

@@ -12,10 +12,13 @@ from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.embeddings import near_vectors
 from rillgrid.llm.line_dedup import dedup_lines
 from rillgrid.llm.minhash import near_duplicates
-from rillgrid.llm.oracle import OP1, OP2
+from rillgrid.llm.oracle import OP1, OP2, OP12
 from rillgrid.llm.packing import pack
 from rillgrid.llm.pii import find_pii
 from rillgrid.llm.quality import score_quality
+from rillgrid.llm.repeats import remove_repeats
+from rillgrid.llm.shared_search import search
+from rillgrid.llm.spelling import spelling_variants
 from rillgrid.llm.token_counts import count_tokens
 from rillgrid.llm.toxicity import score_toxicity
 from rillgrid.llm.url_filter import judge
@@ -63,6 +66,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op7_pii_boosting, op8_url_filter, op9_toxicity, op10_quality)}
+def op11_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 100-byte strings that stand earlier too: how many and in how many runs they go, and a hash of what is left."""
+    kept = remove_repeats(read(spark, sf_dir, "documents"), min_bytes=100)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
+    return kept.select("doc_id", (F.length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
-ORACLE: dict[str, str] = {"op1_benchmark_templates": OP1, "op2_line_dedup": OP2}
+
+def op12_shared_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, form and root."""
+    return spelling_variants(read(spark, sf_dir, "documents"), min_length=6, min_count=5, times=5, slips=True)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_benchmark_templates, op2_line_dedup, op3_token_counts, op4_best_fit_packing, op5_minhash_odd_sketches, op6_embedding_caps, op7_pii_boosting, op8_url_filter, op9_toxicity, op10_quality, op11_suffix_repeats, op12_shared_search, op13_spelling_variants)}
+
+ORACLE: dict[str, str] = {"op1_benchmark_templates": OP1, "op2_line_dedup": OP2, "op12_shared_search": OP12}
