@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillgrid.config import CityConfig
 from rillgrid.functions.columns import area, centroid, is_empty
 from rillgrid.operators.assets import first_present
+from rillgrid.operators.numbering import numbered
 
 POLYGONS = ("Polygon", "MultiPolygon")
 LINES = ("LineString", "MultiLineString")
@@ -38,7 +39,7 @@ def harmonised_water(layer: DataFrame, config: CityConfig, order: list[str]) ->
     kind = next((c for c in config.water_types if c in layer.columns), None)
     given = next((c for c in config.water_ids if c in layer.columns), None)
     text = lambda c: F.col(f"`{c}`").cast("string") if c else F.lit(None).cast("string")
-    rows = layer if given else ranked(layer, [F.col(c) for c in order], bucket=None).withColumn("_id", F.col("rank") - 1)
+    rows = layer if given else numbered(layer, [F.col(c) for c in order], tuple(c for c in ("city",) if c in layer.columns), "_id")
     rest = ["geom"] if "geom" in layer.columns else []
     return rows.select(*[c for c in ("city",) if c in layer.columns], (text(given) if given else F.col("_id").cast("string")).alias("water_id"), F.lit(config.water_source).alias("source"), text(kind).alias("water_type"), text(name).alias("name"), *rest)
 
@@ -59,12 +60,10 @@ def boundary_of(layer: DataFrame, config: CityConfig) -> DataFrame:
     return found
 
 
-def ranked(df: DataFrame, order: list, bucket: tuple[str, float] | None, by: list[str] | None = None) -> DataFrame:
-    """df with rank: 1 for the first in the order, for each ``by``. With a bucket (column, width), whose column must be the order's
-    first, rows are numbered inside buckets of its values, after the counts of the buckets before; so no task holds all rows."""
+def ranked(df: DataFrame, order: list, bucket: tuple[str, float], by: list[str] | None = None) -> DataFrame:
+    """df with rank: 1 for the first in the order, for each ``by``. Rows are numbered inside buckets (column, width) of the order's
+    first column's values, after the counts of the buckets before; so no task holds all rows."""
     by = by if by is not None else [c for c in ("city",) if c in df.columns]
-    if bucket is None:
-        return df.withColumn("rank", F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)).cast("long"))
     column, width = bucket
     # missing values come last
     placed = df.withColumn("_bucket", F.coalesce(F.floor(F.col(column) / width).cast("long"), F.lit(2**62)))

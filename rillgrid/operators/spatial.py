@@ -1,23 +1,21 @@
-"""Nearest water and water length in discs, as equi-joins on grid cells.
+"""Nearest water, by trees of boxes (see ``nearest``), and water length in discs, as equi-joins on grid cells.
 
-Every target (a point or a footprint) has one cell; a segment goes to all cells of its box grown by one cell, after long
-ones are split. So each pair within one cell's width meets exactly once: minima are right and sums count nothing twice.
-Distances beyond that are looked for again with cells four times as wide, only for targets without an answer.
+For lengths every point has one cell as wide as the disc's radius; a segment goes to all cells of its box grown by one cell, after
+long ones are split. So each pair within one cell's width meets exactly once, and sums count nothing twice.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillgrid.functions.columns import edges, inside, length_in_disc, point_segment
+from rillgrid.operators.nearest import ROUNDING, candidates, leaf_pairs, nearest_of_points, segment_tree, target_tree
 from rillgrid.plans.cache import cut
 
 CELL = 1000.0
-GROWTH = 4.0
 
 
 def split_long(segments: DataFrame, most: float) -> DataFrame:
@@ -41,57 +39,25 @@ def in_cells(segments: DataFrame, size: float) -> DataFrame:
     return segments.withColumn("cx", F.explode(across)).withColumn("cy", F.explode(up))
 
 
-def _met(targets: DataFrame, segments: DataFrame, size: float, on: tuple[str, ...] = ()) -> DataFrame:
-    """Targets (city, px, py, ...) with the segments of their cell that also agree in ``on``."""
+def _met(targets: DataFrame, segments: DataFrame, size: float) -> DataFrame:
+    """Targets (city, px, py, ...) with the segments of their cell."""
     placed = targets.withColumns({"cx": _cell(F.col("px"), size), "cy": _cell(F.col("py"), size)})
-    return placed.join(in_cells(split_long(segments, size), size), ["city", *on, "cx", "cy"])
-
-
-def _extent(targets: DataFrame, segments: DataFrame) -> float:
-    """Width of what holds all targets and segments."""
-    t = targets.agg(F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
-    s = segments.agg(F.min(F.least("x1", "x2")), F.max(F.greatest("x1", "x2")), F.min(F.least("y1", "y2")), F.max(F.greatest("y1", "y2"))).first()
-    if t[0] is None or s[0] is None:
-        return 0.0
-    return max(max(t[1], s[1]) - min(t[0], s[0]), max(t[3], s[3]) - min(t[2], s[2]))
+    return placed.join(in_cells(split_long(segments, size), size), ["city", "cx", "cy"])
 
 
 def _with_city(df: DataFrame) -> DataFrame:
     return df if "city" in df.columns else df.withColumn("city", F.lit(""))
 
 
-def nearest_by_rings(targets: DataFrame, segments: DataFrame, key: list[str], distance: Callable[[DataFrame], DataFrame], on: tuple[str, ...] = (), cell: float = CELL, growth: float = GROWTH) -> DataFrame:
-    """city, key, d: the least distance to the segments of the same city (and of the same ``on``, part of the key); null if there
-    are none.
-
-    targets: city, key, px, py, reach (how far the target goes beyond its point) and what ``distance`` needs, which adds _d to rows
-    of a target and a segment.
-    """
-    extent = _extent(targets, segments)
-    todo, done, size = targets, None, cell
-    while True:
-        last = size >= extent
-        got = distance(_met(todo, segments, size, on)).groupBy("city", *key).agg(F.min("_d").alias("d"))
-        round_ = todo.join(got, ["city", *key], "left")
-        if last:
-            out = round_.select("city", *key, "d")
-            return out if done is None else done.unionByName(out)
-        # a least distance is sure up to the cell's width, less the target's own reach
-        round_ = cut(round_.withColumn("_sure", F.coalesce(F.col("d") <= size - F.col("reach"), F.lit(False))))
-        ready = round_.where("_sure").select("city", *key, "d")
-        done = ready if done is None else done.unionByName(ready)
-        todo = round_.where("not _sure").drop("_sure", "d")
-        if todo.isEmpty():
-            return done
-        size *= growth
-
-
-def nearest_from_points(points: DataFrame, segments: DataFrame, key: str = "bldg_id", cell: float = CELL) -> DataFrame:
-    """key, dist_to_water_m: least distance of each point (px, py) to the segments (x1, y1, x2, y2) of its city."""
+def nearest_from_points(points: DataFrame, segments: DataFrame, key: str = "bldg_id") -> DataFrame:
+    """key, dist_to_water_m: least distance of each point (px, py) to the segments (x1, y1, x2, y2) of its city; null if there are none,
+    or the point has no coordinates. key is unique in a city."""
     t, s = _with_city(points), _with_city(segments)
-    d = point_segment(*map(F.col, ("px", "py", "x1", "y1", "x2", "y2")))
-    out = nearest_by_rings(t.select("city", key, "px", "py", F.lit(0.0).alias("reach")), s.select("city", "x1", "y1", "x2", "y2"), [key], lambda met: met.withColumn("_d", d), cell=cell)
-    return out.withColumnRenamed("d", "dist_to_water_m") if "city" in points.columns else out.drop("city").withColumnRenamed("d", "dist_to_water_m")
+    placed = t.where("px is not null and py is not null").select("city", key, "px", "py", F.lit(0.0).alias("reach"))
+    near, far = target_tree(placed, ("city",), key), segment_tree(s, ("city",))
+    found = nearest_of_points(near, far, leaf_pairs(near, far), key).withColumnRenamed("u", "dist_to_water_m")
+    out = t.select("city", key).join(found, ["city", key], "left")
+    return out if "city" in points.columns else out.drop("city")
 
 
 def water_length_density(points: DataFrame, segments: DataFrame, radii: tuple[float, ...] = (250.0, 500.0, 1000.0), key: str = "bldg_id") -> DataFrame:
@@ -120,12 +86,11 @@ def exposure(points: DataFrame, segments: DataFrame, radii: tuple[float, ...] =
     sums = cut(sums)
     near = sums.where(F.col("d") <= size)
     far = sums.where(F.coalesce(F.col("d") > size, F.lit(True))).select("city", key, *names)
-    rest = t.join(far.select("city", key), ["city", key], "left_semi").withColumn("reach", F.lit(0.0))
     if far.isEmpty():
         out = near
     else:
-        found = nearest_by_rings(rest, s, [key], lambda met: met.withColumn("_d", d), cell=size * GROWTH)
-        out = near.unionByName(far.join(found, ["city", key], "left").select(*near.columns))
+        found = nearest_from_points(t.join(far.select("city", key), ["city", key], "left_semi"), s, key)
+        out = near.unionByName(far.join(found, ["city", key], "left").select("city", key, F.col("dist_to_water_m").alias("d"), *names))
     out = out.select("city", key, F.col("d").alias("dist_to_water_m"), *names)
     return out if "city" in points.columns else out.drop("city")
 
@@ -148,53 +113,68 @@ def _side_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_d", F.when(cross, 0.0).otherwise(F.sqrt(F.least(*apart))))
 
 
-def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources: list[str], key: str = "bldg_id", areas: bool = False, cell: float = CELL, union: bool = False) -> DataFrame:
+def nearest_from_footprints(buildings: DataFrame, segments: DataFrame, sources: list[str], key: str = "bldg_id", areas: DataFrame | None = None, union: bool = False) -> DataFrame:
     """key, dist_to_<source>_m for each water_source, dist_to_water_m: from the whole footprint, 0 on contact or inside.
 
-    buildings: key, geom; segments: water_source, x1, y1, x2, y2. dist_to_water_m is the least of the sources', null if
-    one is missing; with ``union`` it is the least of those that are there. With ``areas``, segments carry ``of``, the polygon
-    they bound (else null), and a building inside it is at 0.
+    buildings: key (unique in a city), geom; segments: water_source, x1, y1, x2, y2. dist_to_water_m is the least of the sources',
+    null if one is missing; with ``union`` it is the least of those that are there. areas (water_source, geom) are polygons
+    whose sides are among the segments: a building inside one is at 0.
 
     Sides are compared with few segments only: first each footprint's middle gets its least distance u. No point of the
     footprint is further than ``reach`` from there, so the nearest segment is at most u + 2 * reach from the middle.
     """
     from rillgrid.functions.columns import bounds, least_of_all
 
-    b = _with_city(buildings).withColumn("_b", bounds(F.col("geom")))
-    b = b.withColumns({"px": (F.col("_b.xmin") + F.col("_b.xmax")) / 2, "py": (F.col("_b.ymin") + F.col("_b.ymax")) / 2, "reach": F.hypot(F.col("_b.xmax") - F.col("_b.xmin"), F.col("_b.ymax") - F.col("_b.ymin")) / 2})
-    b = b.withColumn("sides", F.flatten(F.transform(F.flatten("geom"), edges))).select("city", key, "geom", "sides", "px", "py", "reach", "_b.*")
-    columns = ["city", "water_source", "x1", "y1", "x2", "y2", *(["of"] if areas else [])]
+    b = _with_city(buildings).select("city", key, "geom").withColumn("_b", bounds(F.col("geom")))
+    width, height = F.col("_b.xmax") - F.col("_b.xmin"), F.col("_b.ymax") - F.col("_b.ymin")
+    placed = b.where("_b.xmin is not null").select("city", key, (F.col("_b.xmin") + width / 2).alias("px"), (F.col("_b.ymin") + height / 2).alias("py"), (F.hypot(width, height) / 2).alias("reach"))
+    by = ("city", "water_source")
+    near, far = target_tree(placed, ("city",), key), segment_tree(_with_city(segments).where(F.col("water_source").isin(sources)), by)
+    pairs = leaf_pairs(near, far)
     ends = tuple(map(F.col, ("x1", "y1", "x2", "y2")))
-    to_middle = point_segment(F.col("px"), F.col("py"), *ends)
-
-    def apart(met: DataFrame) -> DataFrame:
-        met = met.where(to_middle <= F.col("u") + 2 * F.col("reach") + 1e-6) if not areas else met
-        # a segment that no side meets is inside if its start is; most are not even in the building's box
-        boxed = ends[0].between(F.col("xmin"), F.col("xmax")) & ends[1].between(F.col("ymin"), F.col("ymax"))
-        within = F.when(boxed, inside(ends[0], ends[1], F.col("geom"))).otherwise(F.lit(False))
-        if areas:
-            corner = F.get(F.col("sides"), F.lit(0))
-            within = within | F.when(F.col("of").isNotNull(), inside(corner["x1"], corner["y1"], F.col("of"))).otherwise(F.lit(False))
-        by_side = met.select("city", key, "water_source", *ends, within.alias("_in"), F.explode("sides").alias("_e"))
-        by_side = by_side.select("city", key, "water_source", *ends, "_in", *[F.col(f"_e.{c}").alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")])
-        return _side_distance(by_side).withColumn("_d", F.when(F.col("_in"), 0.0).otherwise(F.col("_d")))
-
-    # each source is looked for on its own, so that one that is far does not send the others on another round
-    targets = b.withColumn("water_source", F.explode(F.array(*map(F.lit, sources))))
-    segments = _with_city(segments).select(*columns)
-    if not areas:
-        middles = targets.select("city", key, "water_source", "px", "py", F.lit(0.0).alias("reach"))
-        u = nearest_by_rings(middles, segments, [key, "water_source"], lambda met: met.withColumn("_d", to_middle), ("water_source",), cell)
-        targets = cut(targets.join(u.where("d is not null").withColumnRenamed("d", "u"), ["city", key, "water_source"]))
-    found = nearest_by_rings(targets, segments, [key, "water_source"], apart, ("water_source",), cell)
+    u = cut(nearest_of_points(near, far, pairs, key))
+    close = candidates(near, far, pairs, u).where(point_segment(F.col("px"), F.col("py"), *ends) <= F.col("u") + 2 * F.col("reach") + ROUNDING).select(*by, key, *ends)
+    met = close.join(b, ["city", key])
+    # a segment that no side meets is inside if its start is; most are not even in the building's box
+    boxed = ends[0].between(F.col("_b.xmin"), F.col("_b.xmax")) & ends[1].between(F.col("_b.ymin"), F.col("_b.ymax"))
+    within = F.when(boxed, inside(ends[0], ends[1], F.col("geom"))).otherwise(F.lit(False))
+    by_side = met.select(*by, key, *ends, within.alias("_in"), F.explode(F.flatten(F.transform(F.flatten("geom"), edges))).alias("_e"))
+    by_side = by_side.select(*by, key, *ends, "_in", *[F.col(f"_e.{c}").alias(f"s{c}") for c in ("x1", "y1", "x2", "y2")])
+    found = _side_distance(by_side).select(*by, key, F.when(F.col("_in"), 0.0).otherwise(F.col("_d")).alias("d"))
+    found = found.unionByName(b.select("city", F.lit(None).cast("string").alias("water_source"), key, F.lit(None).cast("double").alias("d")))  # those without any water too
+    if areas is not None:
+        corner = F.get(F.flatten(F.flatten("geom")), F.lit(0))
+        corners = b.select("city", key, corner["x"].alias("px"), corner["y"].alias("py"))
+        found = found.unionByName(in_areas(corners, _with_city(areas), key).withColumn("d", F.lit(0.0)))
     names = {name: f"dist_to_{name}_m" for name in sources}
-    found = found.unionByName(b.select("city", key, F.lit(None).cast("string").alias("water_source"), F.lit(None).cast("double").alias("d")))  # those without any water too
-    out = found.groupBy("city", key).agg(*[F.max(F.when(F.col("water_source") == name, F.col("d"))).alias(n) for name, n in names.items()])
+    out = found.groupBy("city", key).agg(*[F.min(F.when(F.col("water_source") == name, F.col("d"))).alias(n) for name, n in names.items()])
     every = [F.col(n) for n in names.values()]
     out = out.withColumn("dist_to_water_m", F.array_min(F.array(*every)) if union else least_of_all(*every))
     return out if "city" in buildings.columns else out.drop("city")
 
 
+def in_areas(points: DataFrame, areas: DataFrame, key: str = "bldg_id", size: float = CELL) -> DataFrame:
+    """(city, water_source, key) of the points (px, py) inside a polygon of areas (city, water_source, geom).
+
+    A side goes to the cells from its polygon's left end to itself, in its rows of cells: there it may lie to the right of a
+    point inside. An odd number of sides to the right is inside.
+    """
+    from rillgrid.functions.columns import bounds
+
+    by = ("city", "water_source")
+    shapes = areas.select(*by, "geom", F.xxhash64("geom").alias("_area")).dropDuplicates([*by, "_area"]).withColumn("_left", bounds(F.col("geom"))["xmin"])
+    sides = to_segments(shapes.where("_left is not null"), *by, "_area", "_left").drop("part", "path", "seg").where("y1 <> y2")
+    sides = split_long(sides, size)
+    rows = F.sequence(_cell(F.least("y1", "y2"), size), _cell(F.greatest("y1", "y2"), size))
+    across = F.sequence(_cell(F.col("_left"), size), _cell(F.greatest("x1", "x2"), size))
+    sides = sides.withColumn("cx", F.explode(across)).withColumn("cy", F.explode(rows))
+    placed = points.withColumns({"cx": _cell(F.col("px"), size), "cy": _cell(F.col("py"), size)})
+    spans = (F.col("y1") > F.col("py")) != (F.col("y2") > F.col("py"))
+    right = F.col("px") < F.col("x1") + (F.col("py") - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.when(spans, F.col("y2") - F.col("y1"))
+    crossed = placed.join(sides, ["city", "cx", "cy"]).where(spans & right).groupBy(*by, key, "_area").agg(F.count("*").alias("_n"))
+    return crossed.where("_n % 2 = 1").select(*by, key).distinct()
+
+
 def stack_sources(layers: dict[str, DataFrame]) -> DataFrame:
     """Segment tables under one another, with water_source."""
     out = None

@@ -46,10 +46,9 @@ def water_exposure(buildings: DataFrame, water: DataFrame, lines_only: bool = Fa
 def proximity_with_coast(buildings: DataFrame, hydrography: DataFrame, coast: DataFrame) -> DataFrame:
     """Version 2: footprint distances (0 inside a coastal area) and, from centroids, densities of all water with the coast's edges."""
     buildings = quality.first_of_each(buildings, ["city", "bldg_id"], [F.xxhash64("geom")])
-    hydro = spatial.to_segments(hydrography, "city").withColumn("of", F.lit(None).cast(dict(coast.dtypes)["geom"]))
-    edge = spatial.to_segments(coast.withColumn("of", F.col("geom")), "city", "of")
-    stacked = cut(spatial.stack_sources({"hydrography": hydro, "coast": edge}))
-    near = spatial.nearest_from_footprints(buildings, stacked, ["hydrography", "coast"], areas=True)
+    stacked = cut(spatial.stack_sources({"hydrography": spatial.to_segments(hydrography, "city"), "coast": spatial.to_segments(coast, "city")}))
+    areas = coast.select("city", F.lit("coast").alias("water_source"), "geom")
+    near = spatial.nearest_from_footprints(buildings, stacked, ["hydrography", "coast"], areas=areas)
     dense = spatial.water_length_density(_points(buildings, "centroid"), stacked, RADII)
     return near.join(dense, ["city", "bldg_id"])
 

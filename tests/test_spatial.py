@@ -90,3 +90,68 @@ def test_footprint_touches_or_holds_water(spark):
     assert (row.dist_to_river_m, row.dist_to_coast_m, row.dist_to_water_m) == (0, 5, 0)
     missing = spatial.nearest_from_footprints(b, s.where("water_source = 'river'"), ["river", "coast"]).first()
     assert missing.dist_to_coast_m is None and missing.dist_to_water_m is None
+
+
+@pytest.mark.parametrize("shape", ["one place", "far away", "two towns"])
+def test_nearest_whatever_the_density(spark, shape):
+    """All water within a few metres, water 100 km from all points, and towns 300 km apart."""
+    rnd = random.Random(shape)
+    if shape == "one place":
+        segs = [(500 + rnd.random() * 3, 500 + rnd.random() * 3) for _ in range(700)]
+        points = [(k, rnd.uniform(-20000, 20000), rnd.uniform(0, 1000)) for k in range(120)]
+    elif shape == "far away":
+        segs = [(100_000 + rnd.uniform(0, 500), rnd.uniform(-300, 300)) for _ in range(300)]
+        points = [(k, rnd.uniform(0, 10), rnd.uniform(0, 10)) for k in range(100)]
+    else:
+        segs = [(rnd.choice([0, 300_000]) + rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for _ in range(500)]
+        points = [(k, rnd.choice([0, 150_000, 300_000]) + rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for k in range(150)]
+    segs = [(x, y, x + rnd.uniform(-2, 2), y + rnd.uniform(-2, 2)) for x, y in segs] + [(segs[0][0],) * 4]
+    p = spark.createDataFrame([*points, (999, None, None)], "bldg_id long, px double, py double")
+    got = {r.bldg_id: r.dist_to_water_m for r in spatial.nearest_from_points(p, spark.createDataFrame(segs + segs, "x1 double, y1 double, x2 double, y2 double")).collect()}
+    assert got.pop(999) is None and len(got) == len(points)
+    assert all(math.isclose(got[k], brute(x, y, segs), rel_tol=1e-9, abs_tol=1e-6) for k, x, y in points)
+
+
+def test_trees_keep_few_pairs(spark):
+    """Pairs of leaves grow with the leaves, not with their square."""
+    from rillgrid.operators import nearest
+
+    rnd = random.Random(8)
+    segs = [(rnd.uniform(0, 50_000), rnd.uniform(0, 50_000)) for _ in range(3000)]
+    s = spark.createDataFrame([("A", x, y, x + 20.0, y) for x, y in segs], "city string, x1 double, y1 double, x2 double, y2 double")
+    t = spark.createDataFrame([("A", k, rnd.uniform(0, 50_000), rnd.uniform(0, 50_000), 0.0) for k in range(3000)], "city string, k long, px double, py double, reach double")
+    near, far = nearest.target_tree(t, ("city",), "k"), nearest.segment_tree(s, ("city",))
+    leaves = near.levels[0].count()
+    assert leaves == math.ceil(3000 / nearest.LOAD)
+    assert nearest.leaf_pairs(near, far).count() < 30 * leaves
+
+
+def test_inside_an_area_of_which_no_side_is_nearest(spark):
+    """A building deep inside a large area, with the edge of another area nearer; one in a hole; one on an island of it."""
+    def at(x, y, w):
+        return ring((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))
+
+    areas = spark.createDataFrame([("coast", [[at(0, 0, 9000), at(6000, 6000, 1000)]]), ("coast", [[at(4300, 4000, 20)]])], f"water_source string, geom {PATH}")
+    b = spark.createDataFrame([(1, [[at(4000, 4000, 10)]]), (2, [[at(6500, 6500, 10)]]), (3, [[at(9100, 0, 10)]]), (4, None)], f"bldg_id long, geom {PATH}")
+    edges = spatial.to_segments(areas, "water_source")
+    got = {r.bldg_id: r.dist_to_coast_m for r in spatial.nearest_from_footprints(b, edges, ["coast"], areas=areas).collect()}
+    assert got == {1: 0, 2: 490, 3: 100, 4: None}
+    lines = {r.bldg_id: r.dist_to_coast_m for r in spatial.nearest_from_footprints(b, edges, ["coast"]).collect()}
+    assert lines[1] == 290
+
+
+def test_numbers_without_one_task(spark):
+    from rillgrid.operators.numbering import curve_place, numbered
+
+    rnd = random.Random(1)
+    rows = [(rnd.choice("AB"), rnd.randrange(10**6), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "city string, v long, _id long").repartition(5)
+    got = numbered(df, [F.col("v"), F.col("_id")], ("city",), "n")
+    want = {}
+    for c in "AB":
+        want |= {r[2]: n for n, r in enumerate(sorted((r for r in rows if r[0] == c), key=lambda r: r[1:]))}
+    assert {r._id: r.n for r in got.collect()} == want
+    assert sorted(r.rank for r in numbered(df, [F.col("_id")]).collect()) == list(range(500)) and numbered(df.limit(0), [F.col("v")]).count() == 0
+    places = spark.createDataFrame([(0.0, 0.0), (0.25, 0.0), (0.0, 0.25), (0.25, 0.25), (0.5, 0.0)], "x double, y double").select(curve_place(F.col("x"), F.col("y")).alias("p"))
+    first, *rest = [r.p for r in places.collect()]
+    assert [p - first for p in rest] == [1, 2, 3, 4]
