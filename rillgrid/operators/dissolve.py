@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,10 @@ def _rings(sides: list[tuple[Point, Point]]) -> list[list[Point]]:
     for a, b in sorted(sides):
         leaving[a].append(b)
     out = []
+    starts = iter(sorted(leaving))
     while leaving:
-        start = min(leaving)
+        start = next(p for p in starts if p in leaving)
+        starts = chain([start], starts)  # more than one ring may leave it
         ring, here, last = [start], start, None
         while True:
             ways = leaving[here]
@@ -67,9 +70,11 @@ def assemble(sides: list[tuple[Point, Point]]) -> list[list[list[Point]]]:
     rings = _rings(sides)
     shells = sorted((r for r in rings if _area(r) > 0), key=lambda r: (_area(r), r))
     parts = [[s] for s in shells]
+    boxes = np.array([(*map(min, zip(*s, strict=True)), *map(max, zip(*s, strict=True))) for s in shells]).reshape(-1, 4)
     for hole in (r for r in rings if _area(r) < 0):
         middle = ((hole[0][0] + hole[1][0]) / 2, (hole[0][1] + hole[1][1]) / 2)
-        owner = next((p for p in parts if _within(middle, p[0])), None)
+        around = np.flatnonzero((boxes[:, :2] <= middle).all(axis=1) & (boxes[:, 2:] >= middle).all(axis=1))
+        owner = next((parts[k] for k in around if _within(middle, parts[k][0])), None)
         if owner is not None:
             owner.append(hole)
     return sorted(parts)

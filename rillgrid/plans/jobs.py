@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillgrid.config import CityConfig
-from rillgrid.functions.columns import centroid, inside
+from rillgrid.functions.columns import centroid
 from rillgrid.functions.crs import reproject, to_lonlat
 from rillgrid.functions.interior import with_interior_point
 from rillgrid.operators import normalize, quality, rain, spatial
-from rillgrid.operators.clip import clip_lines, clip_lines_grown, clip_to_box, near_boundary
+from rillgrid.operators.clip import clip_lines, clip_lines_grown, clip_to_box
 from rillgrid.operators.dissolve import dissolved
-from rillgrid.operators.polygons import clip_polygons, repaired
+from rillgrid.operators.polygons import clip_polygons, grown, repaired
 from rillgrid.plans.cache import cut
 
 RADII = (250.0, 500.0, 1000.0)
@@ -84,14 +84,11 @@ def city_coastline(coast: DataFrame, boundary: DataFrame, buffer_m: float = 20_0
 
 
 def coastal_proxy(natural: DataFrame, boundary: DataFrame | None, buffer_m: float = 2000.0) -> DataFrame:
-    """Beaches and cliffs as coast, near the boundary if one is given. Raises if there is none."""
+    """Beaches and cliffs as coast, cut to the boundary grown by the buffer if one is given. Raises if there is none. natural: city,
+    osm_id (unique in a city), fclass, geom."""
     kept = normalize.of_classes(natural, COASTAL).withColumns({"source": F.lit("osm_gis_osm_natural_a_free"), "coastal_proxy_type": F.col("fclass")})
     if boundary is not None:
-        ids = near_boundary(spatial.to_segments(kept, "city", "osm_id"), boundary, buffer_m).select("city", "osm_id")
-        # an area that holds the whole grown boundary has no side near it
-        corner = F.get(F.flatten(F.flatten(F.col("_g"))), F.lit(0))
-        round_ = kept.join(F.broadcast(boundary.select("city", F.col("geom").alias("_g"))), "city").where(inside(corner["x"], corner["y"], F.col("geom"))).select("city", "osm_id")
-        kept = kept.join(ids.union(round_).distinct(), ["city", "osm_id"], "left_semi")
+        kept = clip_polygons(kept, cut(grown(boundary, buffer_m)), ("city", "osm_id"))
     if kept.isEmpty():
         raise ValueError(f"no area of {', '.join(COASTAL)} is there")
     return kept

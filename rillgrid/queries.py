@@ -397,6 +397,21 @@ def dissolved_cells(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out.select("city", "area", "b.*"), area=6)
 
 
+_NATURAL_SQL = "areas as (select city, bldg_id, x0, 4000+(cast(y0 as bigint)%5000) as y0, w, h from bldg)"
+
+
+@query(
+    f"{duck('bldg')}, {_TOWN_SQL}, {_NATURAL_SQL}, met as (select city, bldg_id, greatest(x0,bx0-700) as xmin, least(x0+w,bx1+700) as xmax, y0, h from areas join town using (city)) "
+    "select city, cast(bldg_id as string) as osm_id, round((xmax-xmin)*h,6) as area, round(xmin,6) as xmin, round(xmax,6) as xmax from met where xmin<xmax"
+)
+def coastal_areas_cut(spark: SparkSession, d: str) -> DataFrame:
+    """Areas cut to their city's boundary grown by 700 m, away from its corners; a test samples those (K4, J3)."""
+    b = fixture(spark, d, "bldg").withColumn("y0", 4000.0 + F.col("y0").cast("long") % 5000)
+    areas = b.select("city", F.col("bldg_id").cast("string").alias("osm_id"), F.lit("beach").alias("fclass"), _rectangle(F.col("x0"), F.col("y0"), F.col("x0") + F.col("w"), F.col("y0") + F.col("h")).alias("geom"))
+    out = jobs.coastal_proxy(areas, _towns(spark), 700.0).select("city", "osm_id", C.area(F.col("geom")).alias("area"), C.bounds(F.col("geom")).alias("b"))
+    return rounded(out.select("city", "osm_id", "area", "b.xmin", "b.xmax"), area=6, xmin=6, xmax=6)
+
+
 @query(f"{duck('bldg')} select bldg_id, w*h/2 as area, 2 as n_parts from bldg")
 def repaired_bow_ties(spark: SparkSession, d: str) -> DataFrame:
     """Footprints drawn with two corners swapped cross themselves; repaired, both halves are kept (C10)."""

@@ -1,3 +1,4 @@
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -57,7 +58,9 @@ def test_coastal_proxy(spark):
     assert [r.osm_id for r in jobs.coastal_proxy(natural, boundary).collect()] == ["1"]
     assert jobs.coastal_proxy(natural, None).count() == 2
     round_ = spark.createDataFrame([("A", "9", "beach", box(-9000, -9000, 30000, 30000))], natural.schema)
-    assert [r.osm_id for r in jobs.coastal_proxy(round_, boundary).collect()] == ["9"]
+    cut_out = jobs.coastal_proxy(round_, boundary).withColumn("a", area(F.col("geom"))).first()
+    # the boundary's square, its four strips and the sixteen-sided quarters of its corners
+    assert abs(cut_out.a - (500 * 500 + 4 * 500 * 2000 + 32 * 2000**2 * math.sin(math.pi / 32))) < 1
     with pytest.raises(ValueError):
         jobs.coastal_proxy(natural.where("fclass = 'wood'"), boundary)
 

@@ -139,3 +139,53 @@ def test_normalised_and_clipped_city(spark):
     w = cut["water"].collect()
     assert sum(math.hypot(r.x2 - r.x1, r.y2 - r.y1) for r in w) == pytest.approx(105) and w[0].name == "Maas"
     assert tuple(cut["counts"].first()) == ("RTM", 2, 1)
+
+
+def _distance(x, y, sides):
+    x1, y1, x2, y2 = sides.T
+    dx, dy = x2 - x1, y2 - y1
+    t = np.clip(((x[:, None] - x1) * dx + (y[:, None] - y1) * dy) / (dx * dx + dy * dy), 0, 1)
+    return np.hypot(x[:, None] - x1 - t * dx, y[:, None] - y1 - t * dy).min(axis=1)
+
+
+@pytest.mark.parametrize("by", [0.4, 2.0, 9.0])
+def test_grown_polygons_by_sampling(by):
+    """Stars with holes, combs and two parts: what is in is within ``by`` of the polygon."""
+    from rillgrid.functions import overlay
+    from rillgrid.operators.polygons import grown_polygon
+
+    star = [(10 + (6 if k % 2 else 3) * np.cos(k * np.pi / 7), 10 + (6 if k % 2 else 3) * np.sin(k * np.pi / 7)) for k in range(14)]
+    hole = [(10 + 2 * np.cos(-k), 10 + 2 * np.sin(-k)) for k in range(6)]
+    comb = [(20, 0), (30, 0), (30, 8), (28, 8), (28, 1), (27, 1), (27, 8), (25, 8), (25, 1), (24, 1), (24, 8), (20, 8)]
+    points = lambda ring: [{"x": float(x), "y": float(y)} for x, y in [*ring, ring[0]]]
+    geom = [[points(star), points(hole)], [points(comb)]]
+    out = grown_polygon(geom, by)
+    rng = np.random.default_rng(3)
+    x, y = rng.uniform(-12, 42, 6000), rng.uniform(-12, 26, 6000)
+    own, new = overlay.sides_of(geom), overlay.sides_of(out)
+    d = np.where(overlay.even_odd(own)(x, y), 0, _distance(x, y, own))
+    got = overlay.even_odd(new)(x, y)
+    assert got[d < by * 0.995].all() and not got[d > by + 1e-6].any() and got.any() and not got.all()
+
+
+def test_many_sides_in_seconds():
+    """A ring of 100,000 sides that crosses itself; pairs and turns are looked for among neighbours only."""
+    from time import time
+
+    from rillgrid.functions import overlay
+
+    k = np.arange(100_000)
+    a = k * 2 * np.pi / len(k)
+    r = 1000 + 30 * np.sin(a * 50)
+    p = np.stack([r * np.cos(a), r * np.sin(a)], axis=1)
+    p[[500, 501]], p[[70_000, 70_001]] = p[[501, 500]], p[[70_001, 70_000]]
+    sides = np.hstack([p, np.roll(p, -1, axis=0)])
+    began = time()
+    which, _ = overlay._meetings(sides)
+    turns = overlay.winding(sides, p[:, 0] * 0.5, p[:, 1] * 0.5)
+    assert len(which) > 0 and (turns == 1).all() and time() - began < 20
+    few = sides[:400]
+    low, high = np.minimum(few[:, :2], few[:, 2:]), np.maximum(few[:, :2], few[:, 2:])
+    i, j = overlay._boxes_that_meet(low, high)
+    every = np.argwhere((low[:, None] <= high[None]).all(axis=2) & (high[:, None] >= low[None]).all(axis=2))
+    assert {tuple(v) for v in zip(i, j, strict=True)} == {tuple(v) for v in every if v[0] < v[1]}
