@@ -1,4 +1,5 @@
-"""Lines cut to boundaries. A boundary is one row a city (city, geom); it is broadcast by city if all of them have few points."""
+"""Lines cut to boundaries. A boundary is one row a city (city, geom). Against a grown boundary it is broadcast by city if all of them
+have few points."""
 
 from __future__ import annotations
 
@@ -6,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillgrid.functions.columns import bounds, edges, inside, segment_segment
+from rillgrid.operators.cover import cell, cell_size, cover, inside_cell
+from rillgrid.plans.cache import cut
 
 FEW_POINTS = 500_000  # of all boundaries together, so that they may be broadcast: some 20 MB
 
@@ -28,20 +31,60 @@ def _crossings(e: Column) -> Column:
     return F.when((t > 0) & (t < 1) & (u >= 0) & (u <= 1), t)
 
 
+def _runs(stops: str | Column) -> Column:
+    """The runs between neighbouring stops."""
+    n = F.size(stops) - 1
+    return F.zip_with(F.slice(stops, 1, n), F.slice(stops, 2, n), lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))
+
+
+def _joined(runs: Column) -> Column:
+    """Sorted runs, those that touch or overlap as one."""
+
+    def join(done: Column, p: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.named_struct(F.lit("a"), last["a"], F.lit("b"), F.greatest(last["b"], p["b"]))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
+        return F.when((F.size(done) > 0) & (p["a"] <= last["b"] + 1e-12), joined).otherwise(F.concat(done, F.array(p)))
+
+    return F.aggregate(runs, F.array().cast("array<struct<a:double,b:double>>"), join)
+
+
+def _at(p: str, q: str, t: Column) -> Column:
+    return F.col(p) + (F.col(q) - F.col(p)) * t
+
+
 def clip_lines(segments: DataFrame, boundary: DataFrame) -> DataFrame:
-    """Segments (city, ..., x1, y1, x2, y2) cut to the boundary, attributes kept, with ``piece``: parts whose middle is inside."""
+    """Segments (city, ..., x1, y1, x2, y2) cut to the boundary, attributes kept, with ``piece`` (where it begins, 0 to 1): parts
+    whose middle is inside, those that touch put together. Segments without all coordinates go.
+
+    A segment is cut at the borders of the grid cells that it passes; each of these parts meets the boundary's sides in its cell
+    only (see ``cover``), and is kept or left out as a whole where there are none.
+    """
     keep = segments.columns
-    met = _beside(segments, boundary)
-    ts = F.array_sort(F.array_distinct(F.filter(F.transform("_sides", _crossings), lambda t: t.isNotNull())))
-    met = met.withColumn("_t", F.concat(F.array(F.lit(0.0)), ts, F.array(F.lit(1.0))))
-    n = F.size("_t") - 1
-    pieces = met.withColumn("_p", F.explode(F.zip_with(F.slice("_t", 1, n), F.slice("_t", 2, n), lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))))
-    at = lambda p, q, t: F.col(p) + (F.col(q) - F.col(p)) * t
-    a, b = F.col("_p.a"), F.col("_p.b")
-    cut_up = pieces.withColumns({"_x1": at("x1", "x2", a), "_y1": at("y1", "y2", a), "_x2": at("x1", "x2", b), "_y2": at("y1", "y2", b)})
-    inner = cut_up.where(inside((F.col("_x1") + F.col("_x2")) / 2, (F.col("_y1") + F.col("_y2")) / 2, F.col("_g")))
-    moved = {"x1": "_x1", "y1": "_y1", "x2": "_x2", "y2": "_y2"}
-    return inner.select(*[F.col(moved.get(c, c)).alias(c) for c in keep], F.round(a, 12).alias("piece"))
+    size = cell_size(boundary)
+    whole = cut(segments.where("x1 is not null and y1 is not null and x2 is not null and y2 is not null").withColumn("_segment", F.monotonically_increasing_id()))
+
+    def borders(p: str, q: str) -> Column:
+        low, high = cell(F.least(p, q), size) + 1, cell(F.greatest(p, q), size)
+        step = F.col(q) - F.col(p)
+        lines = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+        return F.filter(F.transform(lines, lambda k: (k * size - F.col(p)) / F.when(step != 0, step)), lambda t: (t > 0) & (t < 1))
+
+    stops = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0)), borders("x1", "x2"), borders("y1", "y2"), F.array(F.lit(1.0)))))
+    parts = whole.select("_segment", "city", "x1", "y1", "x2", "y2", F.inline(_runs(stops)))
+    middle = (F.col("a") + F.col("b")) / 2
+    placed = parts.withColumns({"cx": cell(_at("x1", "x2", middle), size), "cy": cell(_at("y1", "y2", middle), size)})
+    met = placed.join(cover(boundary, size), ["city", "cx", "cy"])
+    inner = met.where("sides is null").select("_segment", "a", "b")
+    ts = F.filter(F.transform("sides", _crossings), lambda t: (t > F.col("a")) & (t < F.col("b")))
+    ts = F.array_sort(F.array_distinct(F.concat(F.array("a"), ts, F.array("b"))))
+    pieces = met.where("sides is not null").withColumn("_p", F.explode(_runs(ts)))
+    at = (F.col("_p.a") + F.col("_p.b")) / 2
+    beside = pieces.where(inside_cell(_at("x1", "x2", at), _at("y1", "y2", at), size)).select("_segment", "_p.a", "_p.b")
+    found = inner.union(beside).groupBy("_segment").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("_runs"))
+    left = whole.join(found, "_segment").select(*keep, F.explode(_joined(F.col("_runs"))).alias("_run"))
+    moved = {c: _at(f"{c[0]}1", f"{c[0]}2", F.col("_run.a" if c[1] == "1" else "_run.b")).alias(c) for c in ("x1", "y1", "x2", "y2")}
+    return left.select(*[moved.get(c, F.col(c)) for c in keep], F.round("_run.a", 12).alias("piece"))
 
 
 def _disc_span(x: Column, y: Column, r: float) -> tuple[Column, Column]:
@@ -88,25 +131,15 @@ def clip_lines_grown(segments: DataFrame, boundary: DataFrame, buffer_m: float)
     inside, and within that distance of a side, put together. Corners are round. A segment without length stays if it is inside."""
     keep = segments.columns
     met = _beside(segments, boundary, buffer_m)
-    at = lambda p, q, t: F.col(p) + (F.col(q) - F.col(p)) * t
     ts = F.array_sort(F.array_distinct(F.filter(F.transform("_sides", _crossings), lambda t: t.isNotNull())))
     met = met.withColumn("_t", F.concat(F.array(F.lit(0.0)), ts, F.array(F.lit(1.0))))
-    n = F.size("_t") - 1
-    runs = F.zip_with(F.slice("_t", 1, n), F.slice("_t", 2, n), lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))
-    within = F.filter(runs, lambda p: inside(at("x1", "x2", (p["a"] + p["b"]) / 2), at("y1", "y2", (p["a"] + p["b"]) / 2), F.col("_g")))
+    middle = lambda p: (p["a"] + p["b"]) / 2
+    within = F.filter(_runs("_t"), lambda p: inside(_at("x1", "x2", middle(p)), _at("y1", "y2", middle(p)), F.col("_g")))
     close = F.filter(F.transform("_sides", lambda e: _near_span(e, buffer_m)), lambda p: p["a"] < p["b"])
     met = met.withColumn("_runs", F.array_sort(F.concat(within, close)))
-
-    def join(done: Column, p: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        longer = F.named_struct(F.lit("a"), last["a"], F.lit("b"), F.greatest(last["b"], p["b"]))
-        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
-        return F.when((F.size(done) > 0) & (p["a"] <= last["b"] + 1e-12), joined).otherwise(F.concat(done, F.array(p)))
-
-    nothing = F.array().cast("array<struct<a:double,b:double>>")
-    pieces = met.withColumn("_p", F.explode(F.aggregate("_runs", nothing, join)))
+    pieces = met.withColumn("_p", F.explode(_joined(F.col("_runs"))))
     a, b = F.col("_p.a"), F.col("_p.b")
-    moved = {"x1": at("x1", "x2", a), "y1": at("y1", "y2", a), "x2": at("x1", "x2", b), "y2": at("y1", "y2", b)}
+    moved = {"x1": _at("x1", "x2", a), "y1": _at("y1", "y2", a), "x2": _at("x1", "x2", b), "y2": _at("y1", "y2", b)}
     return pieces.select(*[moved[c].alias(c) if c in moved else F.col(c) for c in keep], F.round(a, 12).alias("piece"))
 
 

@@ -1,6 +1,7 @@
 import json
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from rillgrid.functions import crs
@@ -72,3 +73,57 @@ def test_layers_summaries_and_names(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "s")).first().v == "1"
     names = spark.createDataFrame([("x/era5_land_tp_hourly_1999-07_RTM.nc",), ("other.nc",)], ["f"]).select(files.name_parts(F.col("f")).alias("p")).collect()
     assert tuple(names[0].p) == (1999, 7, "RTM") and tuple(names[1].p) == (None, None, None)
+
+
+def _star(n, r, wave, x0=0.0, y0=0.0):
+    import numpy as np
+
+    a = np.arange(n) * 2 * np.pi / n
+    d = r * (1 + wave * np.sin(a * 37))
+    p = np.stack([x0 + d * np.cos(a), y0 + d * np.sin(a)], axis=1)
+    return [{"x": float(x), "y": float(y)} for x, y in [*p, p[0]]]
+
+
+@pytest.mark.parametrize("n", [12, 3000])
+def test_lines_cut_by_cells_equal_sampling(spark, n):
+    """Two cities, one with a hole: how much of each segment is left, against points along it."""
+    import numpy as np
+
+    from rillgrid.functions import overlay
+    from rillgrid.operators.clip import clip_lines
+
+    geoms = {"A": [[_star(n, 900, 0.2), _star(n // 2, 300, 0.1)[::-1]]], "B": [[_star(n, 50, 0.3, 5000.0)], [_star(5, 20, 0.0, 5200.0)]]}
+    boundary = spark.createDataFrame(list(geoms.items()), f"city string, geom {PATH}")
+    rng = np.random.default_rng(n)
+    rows = [("A", k, *map(float, rng.uniform(-1300, 1300, 4)), "x") for k in range(120)] + [("B", k, *map(float, rng.uniform([4900, -80, 4900, -80], [5300, 80, 5300, 80])), "x") for k in range(60)]
+    rows += [("A", 900, 500.0, 0.0, 500.0, 0.0, "x"), ("C", 1, 0.0, 0.0, 1.0, 1.0, "x"), ("A", 901, None, 0.0, 1.0, 1.0, "x")]
+    df = spark.createDataFrame(rows, "city string, k long, x1 double, y1 double, x2 double, y2 double, a string")
+    got = {}
+    for r in clip_lines(df, boundary).collect():
+        assert r.a == "x"
+        got.setdefault((r.city, r.k), []).append((r.piece, np.hypot(r.x2 - r.x1, r.y2 - r.y1)))
+    assert got.pop(("A", 900)) == [(0.0, 0.0)]
+    t = (np.arange(4000) + 0.5) / 4000
+    for city, k, x1, y1, x2, y2, _ in rows[:180]:
+        mine = overlay.even_odd(overlay.sides_of(geoms[city]))(x1 + t * (x2 - x1), y1 + t * (y2 - y1))
+        size = np.hypot(x2 - x1, y2 - y1)
+        pieces = got.get((city, k), [])
+        assert abs(sum(p[1] for p in pieces) / size - mine.mean()) < 0.01
+        if n == 12:
+            assert len(pieces) == int(mine[0]) + int((mine[1:] & ~mine[:-1]).sum())
+
+
+def test_lines_against_a_large_boundary(spark):
+    """100,000 sides and 100,000 segments: a part meets the sides of its cell only."""
+    from rillgrid.operators import cover
+    from rillgrid.operators.clip import clip_lines
+
+    boundary = spark.createDataFrame([("A", [[_star(100_000, 20_000, 0.05)]])], f"city string, geom {PATH}")
+    size = cover.cell_size(boundary)
+    cells = cover.cover(boundary, size)
+    assert cells.agg(F.max(F.size("sides"))).first()[0] < 600
+    at = lambda seed: (F.rand(seed) - 0.5) * 44_000
+    lines = spark.range(100_000).select(F.lit("A").alias("city"), "id", at(1).alias("x1"), at(2).alias("y1")).withColumns({"x2": F.col("x1") + 100, "y2": F.col("y1") + 50})
+    kept = clip_lines(lines, boundary).agg(F.count("*"), F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()
+    share = 3.141592653589793 * 20_000**2 * (1 + 0.05**2 / 2) / 44_000**2
+    assert abs(kept[1] / (100_000 * 111.803398875) - share) < 0.01 and kept[0] < 100_000
