@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillgrid.functions import overlay
-from rillgrid.functions.columns import GEOMETRY, edges, ring_turn
+from rillgrid.functions.columns import GEOMETRY, bounds, edges, ring_turn
+from rillgrid.plans.cache import cut, written
 
 Point = tuple[float, float]
 #: Arrow's form of a geometry.
@@ -84,18 +85,59 @@ def points_of(parts: list[list[list[Point]]]) -> list[list[list[dict]]]:
     return [[[{"x": x, "y": y} for x, y in ring] for ring in part] for part in parts]
 
 
+def linked(links: DataFrame) -> DataFrame:
+    """(id, least): the least id that can be reached from each id of links (a, b). Every round ids take the least of their neighbours'
+    and of its own least, so a chain's rounds go with the logarithm of its length."""
+    both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    now = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")))
+    while True:
+        near = both.join(now.select(F.col("a").alias("b"), "least"), "b").groupBy("a").agg(F.min("least").alias("_near"))
+        new = now.join(near, "a").select("a", F.least("least", "_near").alias("least"), F.col("least").alias("_was"))
+        far = new.select(F.col("a").alias("least"), F.col("least").alias("_far"))
+        new = written(new.join(far, "least", "left").select("a", F.coalesce("_far", "least").alias("least"), "_was"))
+        now = new.drop("_was")
+        if new.where("least <> _was").isEmpty():
+            return now.withColumnRenamed("a", "id")
+
+
+def beside_each_other(layer: DataFrame, by: str) -> DataFrame:
+    """layer (by, geom, _id) with _group, the least _id of those that it is linked with by boxes that meet, and _alone. Boxes are dealt to the
+    grid cells that they lie in, twice as wide as a box is on average; a pair is made in the least cell that both have."""
+    boxes = layer.select(by, "_id", bounds(F.col("geom")).alias("b")).select(by, "_id", "b.*")
+    size = boxes.agg(F.avg(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).first()[0] or 1.0
+    cell = lambda c: F.floor(c / (2 * size)).cast("long")
+    low = {"_x": cell(F.col("xmin")), "_y": cell(F.col("ymin"))}
+    dealt = boxes.withColumns(low).withColumn("cx", F.explode(F.sequence(F.col("_x"), cell(F.col("xmax"))))).withColumn("cy", F.explode(F.sequence(F.col("_y"), cell(F.col("ymax")))))
+    a, b = dealt.alias("a"), dealt.alias("b")
+    least = (F.col("a.cx") == F.greatest("a._x", "b._x")) & (F.col("a.cy") == F.greatest("a._y", "b._y"))
+    meet = (F.col("a.xmin") <= F.col("b.xmax")) & (F.col("b.xmin") <= F.col("a.xmax")) & (F.col("a.ymin") <= F.col("b.ymax")) & (F.col("b.ymin") <= F.col("a.ymax"))
+    same = F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
+    pairs = a.join(b, same).where((F.col("a._id") < F.col("b._id")) & least & meet).select(F.col("a._id").alias("a"), F.col("b._id").alias("b"))
+    groups = linked(pairs).select(F.col("id").alias("_id"), F.col("least").alias("_group"))
+    return layer.join(groups, "_id", "left").withColumns({"_alone": F.col("_group").isNull(), "_group": F.coalesce("_group", "_id")})
+
+
 def dissolved(layer: DataFrame, by: str = "city") -> DataFrame:
-    """by, geom: the union of each group's polygons, which must not cross themselves. Sides that two polygons share in opposite
-    directions cancel out in Spark. What is left of a group, its outline and the sides where polygons overlap, is cut at its
-    crossings and chained in one task; groups are a city's districts, not its buildings."""
-    rings = layer.select(by, F.explode("geom").alias("_p")).select(by, F.posexplode("_p").alias("_k", "_r"))
+    """by, geom: the union of each group's polygons, which must not cross themselves; null and empty geometries count nothing.
+
+    Polygons whose boxes are linked make one piece of work; one whose box meets no other's stays as it is. Within a piece, sides that two polygons share in opposite directions cancel out in Spark; what is left, its outline
+    and the sides where polygons overlap, is cut at its crossings and chained. The parts of all pieces are the group's geometry.
+    """
+    apart = beside_each_other(cut(layer.where(F.size(F.flatten(F.flatten("geom"))) > 0).select(by, "geom").withColumn("_id", F.monotonically_increasing_id())), by)
+    apart = cut(apart)
+    key = [by, "_group"]
+    rings = apart.where("not _alone").select(*key, F.explode("geom").alias("_p")).select(*key, F.posexplode("_p").alias("_k", "_r"))
     signed = ring_turn(F.col("_r"))
     # shells anticlockwise, holes clockwise
     turned = F.when((F.col("_k") == 0) == (signed > 0), F.col("_r")).otherwise(F.reverse("_r"))
-    sides = rings.select(by, F.explode(edges(turned)).alias("e")).select(by, "e.*").where("x1 <> x2 or y1 <> y2")
-    forth = sides.groupBy(by, "x1", "y1", "x2", "y2").agg(F.count("*").alias("n"))
-    back = forth.select(by, F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"), F.col("n").alias("m"))
-    left = forth.join(back, [by, "x1", "y1", "x2", "y2"], "left").withColumn("n", F.col("n") - F.coalesce("m", F.lit(0))).where("n > 0").drop("m")
+    sides = rings.select(*key, F.explode(edges(turned)).alias("e")).select(*key, "e.*").where("x1 <> x2 or y1 <> y2")
+    # a side and its reverse have one form, so that one sum cancels them
+    forth = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
+    ends = {"a1": ("x1", "x2"), "b1": ("y1", "y2"), "a2": ("x2", "x1"), "b2": ("y2", "y1")}
+    formed = sides.select(*key, *[F.when(forth, F.col(p)).otherwise(F.col(q)).alias(n) for n, (p, q) in ends.items()], F.when(forth, 1).otherwise(-1).alias("way"))
+    left = formed.groupBy(*key, "a1", "b1", "a2", "b2").agg(F.sum("way").alias("n")).where("n <> 0")
+    ahead = F.col("n") > 0
+    left = left.select(*key, *[F.when(ahead, F.col(p)).otherwise(F.col(q)).alias(n) for n, p, q in (("x1", "a1", "a2"), ("y1", "b1", "b2"), ("x2", "a2", "a1"), ("y2", "b2", "b1"))], F.abs("n").alias("n"))
 
     def chained(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
@@ -105,4 +147,6 @@ def dissolved(layer: DataFrame, by: str = "city") -> DataFrame:
         geom = points_of(assemble(overlay.outline(found, turns)))
         yield pa.RecordBatch.from_pylist([{by: key[0].as_py(), "geom": geom}], schema=pa.schema([(by, key[0].type), ("geom", KIND)]))
 
-    return left.groupBy(by).applyInArrow(chained, f"`{by}` {dict(layer.dtypes)[by]}, geom {GEOMETRY}")
+    pieces = left.groupBy(*key).applyInArrow(chained, f"`{by}` {dict(layer.dtypes)[by]}, geom {GEOMETRY}")
+    alone = apart.where("_alone").select(by, F.col("geom").cast(GEOMETRY).alias("geom"))
+    return pieces.unionByName(alone).groupBy(by).agg(F.array_sort(F.flatten(F.collect_list("geom"))).alias("geom"))

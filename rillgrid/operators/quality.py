@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillgrid.operators.numbering import running
+
 #: The points of a summary, with linear interpolation.
 QUANTILES = (0.01, 0.05, 0.10, 0.50, 0.90, 0.95, 0.99)
 
@@ -30,15 +32,35 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("count")).orderBy(F.desc("count"), F.col(column).asc_nulls_last())
 
 
-def describe(df: DataFrame, columns: list[str], by: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """by..., column, n, mean, std, min, p01 ... p99, max: a row a column. Quantiles are exact with linear interpolation, or, for very
-    large tables, approximate."""
+def quantiles(values: DataFrame, key: str, at: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """key, q (array): exact quantiles of ``value`` for each key, with linear interpolation between the two neighbours in rank.
+
+    Equal values are counted first, so what is sorted is the different values, by ranges; running counts tell which values hold the
+    ranks asked for. No task holds a column, and a value that many rows share is one row.
+    """
+    counts = values.where("value is not null").groupBy(key, "value").agg(F.count("*").alias("_n"))
+    counts = running(counts, [F.col("value")], "_n", (key,), "_before")
+    sizes = counts.groupBy(key).agg(F.sum("_n").alias("_size"))
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(*[f((F.col("_size") - 1) * q).cast("long") for f in (F.floor, F.ceil)]) for q in at])))
+    held = counts.join(sizes, key).withColumn("_r", F.explode(F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))))
+    found = held.groupBy(key).agg(F.first("_size").alias("_size"), F.map_from_entries(F.collect_list(F.struct("_r", "value"))).alias("_at"))
+
+    def between(q: float) -> Column:
+        place = (F.col("_size") - 1) * q
+        low, high = F.element_at("_at", F.floor(place).cast("long")), F.element_at("_at", F.ceil(place).cast("long"))
+        return low + (high - low) * (place - F.floor(place))
+
+    return found.select(key, F.array(*map(between, at)).alias("q"))
+
+
+def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """by..., column, n, mean, std, min, p01 ... p99, max: a row a column; quantiles are exact (see ``quantiles``), null without a value."""
     by = by or []
-    quantile = (lambda c: F.percentile(c, F.array(*map(F.lit, QUANTILES)))) if exact else (lambda c: F.percentile_approx(c, list(QUANTILES), 100_000))
-    stats = lambda c: F.struct(F.lit(c).alias("column"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), quantile(F.col(c)).alias("q"), F.max(c).alias("max"))
-    doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    rows = doubles.groupBy(*by).agg(*[stats(c).alias(f"_{k}") for k, c in enumerate(columns)]).select(*by, F.explode(F.array(*[f"_{k}" for k in range(len(columns))])).alias("s"))
-    return rows.select(*by, "s.column", "s.n", "s.mean", "s.std", "s.min", *[F.get("s.q", F.lit(k)).alias(f"p{round(100 * q):02d}") for k, q in enumerate(QUANTILES)], "s.max")
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    values = df.select(*by, F.inline(each)).select(F.struct(*by, "column").alias("_key"), "value")
+    stats = values.groupBy("_key").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    rows = stats.join(quantiles(values, "_key"), "_key", "left")
+    return rows.select("_key.*", "n", "mean", "std", "min", *[F.get("q", F.lit(k)).alias(f"p{round(100 * q):02d}") for k, q in enumerate(QUANTILES)], "max")
 
 
 def share(condition: Column) -> Column:

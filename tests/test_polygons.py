@@ -189,3 +189,35 @@ def test_many_sides_in_seconds():
     i, j = overlay._boxes_that_meet(low, high)
     every = np.argwhere((low[:, None] <= high[None]).all(axis=2) & (high[:, None] >= low[None]).all(axis=2))
     assert {tuple(v) for v in zip(i, j, strict=True)} == {tuple(v) for v in every if v[0] < v[1]}
+
+
+def _square(x, y, w):
+    ring = [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+    return [[[{"x": float(a), "y": float(b)} for a, b in ring]]]
+
+
+def test_separate_polygons_dissolve_apart(spark):
+    """Thousands of footprints that are apart are as many pieces of work; what lies within another or links with others is one."""
+    from rillgrid.operators import dissolve
+
+    rows = [("A", _square(x * 10, y * 10, 6)) for x in range(60) for y in range(60)]
+    rows += [("B", _square(0, 0, 100)), ("B", _square(20, 20, 5)), ("B", _square(300, 0, 10)), *[("B", _square(400 + 8 * k, 0, 10)) for k in range(40)], ("C", None)]
+    frame = [[_square(0, 0, 50)[0][0], _square(10, 10, 30)[0][0][::-1]]]
+    rows += [("D", frame), ("D", _square(20, 20, 5))]
+    df = spark.createDataFrame(rows, f"city string, geom {PATH}").repartition(4)
+    groups = dissolve.beside_each_other(dissolve.cut(df.where("geom is not null").withColumn("_id", F.monotonically_increasing_id())), "city")
+    most = {r.city: (r.n, r.most) for r in groups.groupBy("city", "_group").count().groupBy("city").agg(F.count("*").alias("n"), F.max("count").alias("most")).collect()}
+    assert most == {"A": (3600, 1), "B": (3, 40), "D": (1, 2)}
+    got = {r.city: r for r in dissolve.dissolved(df).withColumn("a", area(F.col("geom"))).collect()}
+    assert len(got["A"].geom) == 3600 and got["A"].a == 3600 * 36
+    assert len(got["B"].geom) == 3 and got["B"].a == 100 * 100 + 100 + (39 * 8 + 10) * 10
+    assert len(got["D"].geom) == 2 and got["D"].a == 2500 - 900 + 25 and set(got) == {"A", "B", "D"}
+
+
+def test_least_of_linked(spark):
+    from rillgrid.operators.dissolve import linked
+
+    links = [(k, k + 1) for k in range(40)] + [(100, 90), (90, 95), (200, 201)]
+    got = {r.id: r.least for r in linked(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, 90: 90, 95: 90, 100: 90, 200: 200, 201: 200}
+    assert linked(spark.createDataFrame([], "a long, b long")).collect() == []

@@ -105,3 +105,24 @@ def test_ids_do_not_depend_on_partitions(spark):
 def test_category_counts_hold_the_missing(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,)], "c string")
     assert [tuple(r) for r in quality.category_counts(df, "c").collect()] == [("a", 2), (None, 1)]
+
+
+def test_exact_quantiles(spark):
+    """Against numpy: shared values, nulls, groups of one row, a group and a column without values."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(6)
+    rows = [("a", rnd.choice([1.5, 2.5, None]), rnd.gauss(0, 5)) for _ in range(900)] + [("b", 7.0, None), (None, 1.0, 2.0), (None, 3.0, 2.0), ("c", None, -1.0)]
+    df = spark.createDataFrame(rows, "city string, v double, w double").repartition(3)
+    got = {(r.city, r.column): r for r in quality.describe(df, ["v", "w"], ["city"]).collect()}
+    assert len(got) == 8 and got["b", "w"].n == 0 and got["b", "w"].p50 is None and got["c", "v"].max is None
+    for city in ("a", "b", "c", None):
+        for k, column in enumerate(("v", "w"), 1):
+            values = [r[k] for r in rows if r[0] == city and r[k] is not None]
+            if values:
+                r = got[city, column]
+                assert np.allclose([r[f"p{round(100 * q):02d}"] for q in quality.QUANTILES], np.quantile(values, quality.QUANTILES), rtol=1e-12)
+                assert (r.n, r.min, r.max) == (len(values), min(values), max(values))
+    assert quality.describe(df.limit(0), ["v"]).collect() == []
