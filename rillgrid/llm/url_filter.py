@@ -28,18 +28,20 @@ BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Words of the labelled table, as block lists of these topics have them: gambling, medicines, adult, advertising, fraud; and neutral ones.
+#: Words of the labelled table, by the topics of public block lists: gambling, medicines, sex, advertising, fraud; and neutral ones, some
+#: of which hold a word of the first kind.
 BLOCK_WORDS = (
-    "casino", "poker", "roulette", "jackpot", "slots", "betting", "bets", "wager", "lottery", "bingo",
-    "pills", "pharma", "viagra", "cialis", "meds", "steroids",
-    "porn", "xxx", "sex", "adult", "nude", "escort", "webcam",
-    "ads", "adserver", "tracker", "popunder", "clickbait", "affiliate",
-    "spam", "phish", "malware", "warez", "keygen", "payday", "scam",
+    "poker", "roulette", "jackpot", "slots", "wager", "lottery", "bingo", "blackjack", "baccarat", "gambling", "sportsbook",
+    "pharmacy", "viagra", "cialis", "steroids", "slimming", "painkillers", "levitra", "tramadol",
+    "porn", "sex", "nude", "escort", "webcam", "erotic", "hentai", "fetish", "naked",
+    "popunder", "clickbait", "affiliate", "banners", "doubleclick", "retarget", "telemetry", "sponsored",
+    "phish", "malware", "warez", "keygen", "payday", "scam", "crackz", "counterfeit", "forex", "ponzi",
 )
 NEUTRAL_WORDS = (
     "news", "library", "museum", "garden", "recipes", "weather", "history", "science", "forum", "docs", "travel", "music", "school",
     "city", "books", "sports", "blog", "shop", "mail", "cloud", "health", "market", "river", "photo", "data", "wiki", "help", "about",
-    "press", "radio", "video", "bank", "farm", "win", "free", "cheap", "track", "bonus", "deal", "link", "best", "top", "online", "club",
+    "press", "radio", "video", "bank", "bonus", "deal", "link", "best", "top", "online", "club", "store", "guide", "daily", "world",
+    "essex", "sussex", "scampi", "nutcracker", "banner", "bookmaker", "pharaoh", "escorial", "telemeter", "webcomic", "click", "double",
 )
 
 
