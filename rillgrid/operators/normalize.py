@@ -73,17 +73,19 @@ def ranked(df: DataFrame, order: list, bucket: tuple[str, float], by: list[str]
     return placed.withColumn("_k", F.row_number().over(inside)).join(before, [*by, "_bucket"]).withColumn("rank", F.col("_k") + F.col("_before")).drop("_bucket", "_k", "_before")
 
 
-def building_ids(buildings: DataFrame, source_id: str, width: float = 500.0) -> DataFrame:
-    """buildings with bldg_id from 1: by centroid x, centroid y and area, missing last; ties by the source's id."""
+def building_ids(buildings: DataFrame, source_id: str | None, width: float = 500.0) -> DataFrame:
+    """buildings with bldg_id from 1: by centroid x, centroid y and area, missing last; ties by the source's id, or, where the source
+    has none, by a hash of the geometry."""
     c = buildings.withColumns({"_c": centroid(F.col("geom")), "_area": area(F.col("geom"))}).withColumns({"_cx": F.col("_c.x"), "_cy": F.col("_c.y")}).drop("_c")
-    order = [F.col(v).asc_nulls_last() for v in ("_cx", "_cy", "_area", source_id)]
+    last = F.col(f"`{source_id}`") if source_id else F.xxhash64("geom")
+    order = [v.asc_nulls_last() for v in (F.col("_cx"), F.col("_cy"), F.col("_area"), last)]
     return ranked(c, order, ("_cx", width)).withColumnRenamed("rank", "bldg_id").drop("_cx", "_cy", "_area")
 
 
 def normalised_buildings(layer: DataFrame, config: CityConfig) -> DataFrame:
-    """The kept columns, geom and bldg_id."""
-    source = first_present(layer, config.building_ids, "building id")
-    kept = keep_present(layer, *dict.fromkeys((source, *config.building_columns, "geom", "geom_type", "city")))
+    """The source's id if it has one, the kept columns, geom and bldg_id."""
+    source = next((c for c in config.building_ids if c in layer.columns), None)
+    kept = keep_present(layer, *dict.fromkeys((*([source] if source else []), *config.building_columns, "geom", "geom_type", "city")))
     if config.clean_buildings:
         kept = without_empty(of_types(kept, POLYGONS))
     return building_ids(kept, source)

@@ -397,6 +397,87 @@ def dissolved_cells(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out.select("city", "area", "b.*"), area=6)
 
 
+_TOUCH_SQL = "sqrt(power(greatest(0,x0-(cx0+cw),cx0-(x0+w)),2)+power(greatest(0,y0-(cy0+ch),cy0-(y0+h)),2))"
+_BEACH_SQL = (
+    "beach as (select 'C'||(c_nationkey%3) as city, cast((c_custkey*4049)%20011 as double) as cx0, cast((c_custkey*2953)%20021 as double) as cy0, "
+    "cast(20+c_custkey%90 as double) as cw, cast(30+c_custkey%70 as double) as ch from customer)"
+)
+_EDGES_SQL = (
+    "select city, cx0+(case when k in (1,2) then cw else 0 end) as x1, cy0+(case when k in (2,3) then ch else 0 end) as y1, "
+    "cx0+(case when k in (0,1) then cw else 0 end) as x2, cy0+(case when k in (1,2) then ch else 0 end) as y2 from beach cross join (values (0),(1),(2),(3)) s(k)"
+)
+_PAIRS_SQL = (
+    "select city, bldg_id, x0,y0,w,h, x1,y1,x2,y2, case when x2=x1 then 0.0 else x2-x1 end as dx, y2-y1 as dy, "
+    "case when (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)=0 then 1.0 else (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) end as a0 from bldg join seg using (city)"
+)
+_CITY_DISC_SQL = (
+    f"select city, bldg_id, r, {DISC} as len from (select city, bldg_id, r, a, fx*dx+fy*dy as fd, (fx*dx+fy*dy)*(fx*dx+fy*dy)-a*(fx*fx+fy*fy-r*r) as dd "
+    "from (select city, bldg_id, r, px-x1 as fx, py-y1 as fy, x2-x1 as dx, y2-y1 as dy, (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) as a "
+    "from pts join water using (city) cross join (values (250.0),(500.0),(1000.0)) radii(r)))"
+)
+
+
+def _beaches(spark: SparkSession, d: str) -> DataFrame:
+    """city, geom: a box for each customer."""
+    k, x, y = F.col("c_custkey"), F.col("c_custkey") * 4049 % 20011, F.col("c_custkey") * 2953 % 20021
+    box = _rectangle(x, y, x + 20 + k % 90, y + 30 + k % 70)
+    return spark.read.parquet(f"{d}/customer.parquet").select(F.concat(F.lit("C"), F.col("c_nationkey") % 3).alias("city"), box.alias("geom"))
+
+
+def _lines_of(segments: DataFrame) -> DataFrame:
+    p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return segments.withColumns({"geom": F.array(F.array(F.array(p("x1", "y1"), p("x2", "y2")))), "geom_type": F.lit("LineString")})
+
+
+@query(
+    f"{duck('bldg', 'pts', 'seg')}, {_BEACH_SQL}, water as (select city,x1,y1,x2,y2 from seg union all {_EDGES_SQL}), pairs as ({_PAIRS_SQL}), "
+    f"hyd as (select city, bldg_id, min(case when {HIT_SQL} then 0.0 else {RECT_SQL} end) as a from pairs group by 1,2), "
+    f"cst as (select city, bldg_id, min({_TOUCH_SQL}) as b from bldg join beach using (city) group by 1,2), "
+    f"dens as (select city, bldg_id, {DENSITY_SQL} from ({_CITY_DISC_SQL}) group by 1,2) "
+    "select city, bldg_id, round(a,4) as dist_to_hydrography_m, round(b,4) as dist_to_coast_m, round(least(a,b),4) as dist_to_water_m, dens.* exclude (city, bldg_id) "
+    "from hyd join cst using (city, bldg_id) join dens using (city, bldg_id)"
+)
+def coast_exposure_job(spark: SparkSession, d: str) -> DataFrame:
+    """The whole second job: footprint distances, 0 in a coastal area, and densities of all water from centroids (K5)."""
+    out = jobs.proximity_with_coast(_footprints(spark, d), _lines_of(fixture(spark, d, "seg")), _beaches(spark, d))
+    return rounded(out.select("city", "bldg_id", "dist_to_hydrography_m", "dist_to_coast_m", "dist_to_water_m", *DENSE), dist_to_hydrography_m=4, dist_to_coast_m=4, dist_to_water_m=4, **DENSE)
+
+
+@query(
+    f"{duck('bldg', 'seg')}, {_TOWN_SQL}, met as (select city, greatest(x0,bx0) as xmin, greatest(y0,by0) as ymin, least(x0+w,bx1) as xmax, least(y0+h,by1) as ymax from bldg join town using (city)), "
+    "kept as (select city, count(*) as n_after, round(sum((xmax-xmin)*(ymax-ymin)),3) as area from met where xmin<xmax and ymin<ymax group by 1), "
+    f"cuts as (select city, sqrt(power(x2-x1,2)+power(y2-y1,2)) as size, greatest(0.0,{_T0[0]},{_T0[1]}) as a, least(1.0,{_T1[0]},{_T1[1]}) as b from seg join town using (city)), "
+    "water as (select city, round(sum((b-a)*size),3) as water_m from cuts where a<b group by 1), before as (select city, count(*) as n_before from bldg group by 1) "
+    "select city, n_before, n_after, area, water_m from before join kept using (city) join water using (city)"
+)
+def clipped_city_job(spark: SparkSession, d: str) -> DataFrame:
+    """Buildings and water of all cities cut to their boundaries, with the counts before and after (K2)."""
+    made = jobs.clipped_city(_footprints(spark, d), _lines_of(fixture(spark, d, "seg")), _towns(spark))
+    area = made["buildings"].groupBy("city").agg(F.round(F.sum(C.area(F.col("geom"))), 3).alias("area"))
+    size = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    water = made["water"].groupBy("city").agg(F.round(F.sum(size), 3).alias("water_m"))
+    return made["counts"].join(area, "city").join(water, "city").select("city", "n_before", "n_after", "area", "water_m")
+
+
+@query(
+    f"{duck('bldg', 'seg')}, ids as (select bldg_id as osm_id, w*h as area, row_number() over (order by x0+w/2, y0+h/2, w*h, bldg_id) as bldg_id from bldg) "
+    "select osm_id, bldg_id, area, (select count(*) from seg where fclass is not null) as n_water, 9000000.0 as boundary_area from ids"
+)
+def normalised_city_job(spark: SparkSession, d: str) -> DataFrame:
+    """A city's raw layers normalised: repaired buildings with ids, its district's two halves dissolved, water lines that are there (K1)."""
+    from dataclasses import replace
+
+    halves = spark.range(3).select(F.when(F.col("id") < 2, " Town ").otherwise("Other").alias("district"), _rectangle(F.col("id") * 1500, F.lit(0), F.col("id") * 1500 + 1500, F.lit(3000)).alias("geom"))
+    config = replace(CITIES["RTM"], city="T", boundary_column="district", boundary_value="Town")
+    b = _footprints(spark, d).drop("city").withColumnRenamed("bldg_id", "osm_id").withColumn("geom_type", F.lit("Polygon"))
+    water = _lines_of(fixture(spark, d, "seg").drop("city"))
+    water = water.withColumn("geom", F.when(F.col("fclass").isNotNull(), F.col("geom"))).select("water_id", "seg", "geom", "geom_type")
+    made = jobs.normalised_city(b, halves, water, config)
+    around = made["boundary"].select("city", C.area(F.col("geom")).alias("boundary_area")).join(made["water"].groupBy("city").agg(F.count("*").alias("n_water")), "city")
+    out = made["buildings"].select("city", "osm_id", "bldg_id", C.area(F.col("geom")).alias("area")).join(F.broadcast(around), "city")
+    return out.select("osm_id", "bldg_id", "area", "n_water", "boundary_area")
+
+
 _NATURAL_SQL = "areas as (select city, bldg_id, x0, 4000+(cast(y0 as bigint)%5000) as y0, w, h from bldg)"
 
 
@@ -428,12 +509,12 @@ def interior_points(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out, px=6, py=6)
 
 
-@query(f"{duck('bldg')}, parts as (select bldg_id, part from bldg cross join (values (0),(1)) p(part)) select bldg_id, part, seg from parts cross join (values (0),(1),(2),(3)) s(seg)")
+@query(f"{duck('bldg')}, parts as (select bldg_id, part from bldg cross join (values (0),(1)) p(part)) select bldg_id, part, seg, x0+50*part+(case when seg in (1,2) then w else 0 end) as x1, y0+(case when seg in (2,3) then h else 0 end) as y1, x0+50*part+(case when seg in (0,1) then w else 0 end) as x2, y0+(case when seg in (1,2) then h else 0 end) as y2 from parts join bldg using (bldg_id) cross join (values (0),(1),(2),(3)) s(seg)")
 def multi_part_segments(spark: SparkSession, d: str) -> DataFrame:
     """Sides of geometries of two parts, numbered within each (C7)."""
     g = F.col("geom")
     two = _footprints(spark, d).withColumn("geom", F.concat(g, F.transform(g, lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 50).alias("x"), p["y"].alias("y")))))))
-    return spatial.to_segments(two, "bldg_id").select("bldg_id", F.col("part").cast("int"), F.col("seg").cast("int"))
+    return spatial.to_segments(two, "bldg_id").select("bldg_id", F.col("part").cast("int"), F.col("seg").cast("int"), "x1", "y1", "x2", "y2")
 
 
 @query(f"{duck('bldg')}, typed as (select bldg_id, case bldg_id%5 when 0 then 'Point' when 1 then 'LineString' when 2 then 'MultiPolygon' else 'Polygon' end as geom_type, bldg_id%7=0 as missing, bldg_id%7=1 as empty from bldg) select bldg_id, geom_type from typed where geom_type in ('Polygon','MultiPolygon') and not missing and not empty")

@@ -109,11 +109,17 @@ def write_summary(df: DataFrame, path: str, kind: str = "json") -> None:
     out.json(path) if kind == "json" else out.option("header", True).csv(path)
 
 
-def write_layer(df: DataFrame, path: str, geom: str = "geom") -> bool:
-    """A geometry layer with its bounds as columns, for pruning; an empty one is not written."""
+def write_layer(df: DataFrame, path: str, geom: str = "geom", files: int | None = None) -> bool:
+    """A geometry layer with its bounds as columns; an empty one is not written. Rows lie in the files, and in each file, in the order
+    of a plane-filling curve through their middles, so that the files and row groups that a small box can meet are few. files: how
+    many there are, else as many as the data's size asks for."""
     from rillgrid.functions.columns import bounds
+    from rillgrid.operators.numbering import curve_place
 
     if df.isEmpty():
         return False
-    df.withColumn("_b", bounds(F.col(geom))).select("*", "_b.*").drop("_b").write.mode("overwrite").parquet(path)
+    bounded = df.withColumn("_b", bounds(F.col(geom))).select("*", "_b.*").drop("_b")
+    placed = bounded.withColumn("_z", curve_place((F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2))
+    dealt = placed.repartitionByRange(files, "_z") if files else placed.repartitionByRange("_z")
+    dealt.sortWithinPartitions("_z").drop("_z").write.mode("overwrite").parquet(path)
     return True

@@ -3,6 +3,7 @@ import math
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from rillgrid.sources import files
 
@@ -81,3 +82,29 @@ def test_attributes_by_city_and_summary(spark, tmp_path):
     files.write_summary(df, str(tmp_path / "s"))
     (part,) = (tmp_path / "s").glob("*.json")
     assert [json.loads(text)["bldg_id"] for text in part.read_text().splitlines()] == [1, 2]
+
+
+def test_layers_are_clustered(spark, tmp_path):
+    """A small box meets few files by their statistics, and the rows are all there."""
+    import random
+
+    import pyarrow.parquet as pq
+
+    rnd = random.Random(4)
+    rows = [(k, rnd.uniform(0, 50_000), rnd.uniform(0, 50_000)) for k in range(4000)]
+    p = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    layer = spark.createDataFrame(rows, "id long, x double, y double").withColumn("geom", F.array(F.array(F.array(p(0, 0), p(9, 0), p(9, 9), p(0, 0)))))
+    assert files.write_layer(layer, str(tmp_path / "layer"), files=32)
+    found = sorted((tmp_path / "layer").glob("*.parquet"))
+    met = 0
+    for f in found:
+        meta = pq.ParquetFile(f).metadata
+        low = {}
+        for c in range(meta.num_columns):
+            column = meta.row_group(0).column(c)
+            if column.path_in_schema in ("xmin", "xmax", "ymin", "ymax"):
+                low[column.path_in_schema] = column.statistics
+        met += low["xmin"].min <= 21_000 and low["xmax"].max >= 20_000 and low["ymin"].min <= 21_000 and low["ymax"].max >= 20_000
+    assert len(found) == 32 and met <= 4
+    assert spark.read.parquet(str(tmp_path / "layer")).count() == 4000 and "_z" not in spark.read.parquet(str(tmp_path / "layer")).columns
+    assert not files.write_layer(layer.limit(0), str(tmp_path / "none"))
