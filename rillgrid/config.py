@@ -43,9 +43,19 @@ CITIES = {
 }
 
 
+#: Sites that have no agreed system yet, (site, authority, code, units, status).
+OTHER_SITES = (
+    ("san_francisco", "EPSG", 32610, "metre", "proposed"),
+    ("concordia_station", "EPSG", 3031, "metre", "proposed"),
+    ("shackleton_crater", "IAU", None, "metre", "conceptual"),
+    ("mars_reference", "IAU", None, "metre", "conceptual"),
+)
+
+
 def crs_registry(spark: SparkSession) -> DataFrame:
-    """The cities' projected systems; a site whose status is not ``locked`` has no agreed one."""
+    """The cities' projected systems, and the sites whose status is not ``locked``, which have no agreed one (nor a box)."""
     rows = [(c.city, "EPSG", c.crs, "metre", "locked", [c.rain_bbox[1], c.rain_bbox[2], c.rain_bbox[3], c.rain_bbox[0]]) for c in CITIES.values()]
+    rows += [(*site, None) for site in OTHER_SITES]
     return spark.createDataFrame(rows, "city string, authority string, code int, units string, status string, bbox_wsen array<double>")
 
 

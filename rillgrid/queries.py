@@ -335,6 +335,19 @@ def site_registry(spark: SparkSession, d: str) -> DataFrame:
     return with_registry(rows).select("c_custkey", "city", "code", "crs_locked")
 
 
+@query(
+    "select c_custkey, site, code, coalesce(status='locked', false) as crs_locked from (select c_custkey, case c_nationkey%6 when 0 then 'DON' when 1 then 'san_francisco' "
+    "when 2 then 'concordia_station' when 3 then 'shackleton_crater' when 4 then 'mars_reference' else 'atlantis' end as site from customer) left join "
+    "(values ('DON',25830,'locked'),('san_francisco',32610,'proposed'),('concordia_station',3031,'proposed'),('shackleton_crater',null,'conceptual'),('mars_reference',null,'conceptual')) t(site,code,status) using (site)"
+)
+def sites_without_agreed_system(spark: SparkSession, d: str) -> DataFrame:
+    """Sites whose system is proposed, conceptual or not known at all are not locked (F13)."""
+    names = ("DON", "san_francisco", "concordia_station", "shackleton_crater", "mars_reference", "atlantis")
+    site = F.element_at(F.array(*map(F.lit, names)), (F.col("c_nationkey") % 6 + 1).cast("int"))
+    rows = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", site.alias("city"))
+    return with_registry(rows).select("c_custkey", F.col("city").alias("site"), "code", "crs_locked")
+
+
 @query("with v as (select l_orderkey, l_linenumber, case when l_linenumber%4=0 then null else l_quantity end as a, l_tax*100 as b from lineitem) select l_orderkey, l_linenumber, round(case when a is null or b is null then null else least(a,b) end,6) as least_value, round(case when a>30 then 30.0 else a end,6) as capped from v")
 def combined_and_capped(spark: SparkSession, d: str) -> DataFrame:
     """Row minimum and cap that let missing values through."""
@@ -478,6 +491,36 @@ def normalised_city_job(spark: SparkSession, d: str) -> DataFrame:
     return out.select("osm_id", "bldg_id", "area", "n_water", "boundary_area")
 
 
+_EXTENT_SQL = "town as (select city, min(x0)+2000.5 as bx0, min(y0)+2000.5 as by0, max(x0+w)-2000.5 as bx1, max(y0+h)-2000.5 as by1 from bldg group by 1)"
+_CUT_SQL = (
+    "select city, x1+(x2-x1)*a as x1, y1+(y2-y1)*a as y1, x1+(x2-x1)*b as x2, y1+(y2-y1)*b as y2 from "
+    f"(select city, x1,y1,x2,y2, greatest(0.0,{_T0[0]},{_T0[1]}) as a, least(1.0,{_T1[0]},{_T1[1]}) as b from {{rows}} join town using (city)) where a<b"
+)
+_REFINED = ("hydrography", "coast", "osm_waterways", "osm_water_polygons")
+
+
+@query(
+    f"{duck('bldg', 'seg', 'coast')}, {_BEACH_SQL.replace('from customer)', 'from customer where c_custkey%3<>2)')}, {_EXTENT_SQL}, edge as ({_EDGES_SQL}), "
+    "ways as (select * from seg where fclass in ('river','canal')), "
+    "water as (select 'hydrography' as src, city,x1,y1,x2,y2 from seg union all select 'coast', 'C'||(water_id%3),x1,y1,x2,y2 from coast "
+    f"union all select 'osm_waterways', * from ({_CUT_SQL.format(rows='ways')}) union all select 'osm_water_polygons', * from ({_CUT_SQL.format(rows='edge')})), "
+    f"pairs as ({_PAIRS_SQL.replace('select city', 'select src, city').replace('join seg', 'join water')}), "
+    f"dist as (select city, bldg_id, src, min(case when {HIT_SQL} then 0.0 else {RECT_SQL} end) as d from pairs group by 1,2,3) "
+    "select city, bldg_id, " + ", ".join(f"round(max(case when src='{n}' then d end),4) as dist_to_{n}_m" for n in _REFINED) + ", round(min(d),4) as dist_to_water_m from dist group by 1,2"
+)
+def refined_exposure_job(spark: SparkSession, d: str) -> DataFrame:
+    """The whole refined third job: also rivers, canals and the edges of water areas, cut to the buildings' extent (here made smaller
+    by 2000.5 m, so that it cuts) (K7)."""
+    seg = _lines_of(fixture(spark, d, "seg"))
+    coast = _lines_of(fixture(spark, d, "coast")).withColumn("city", F.concat(F.lit("C"), F.col("water_id") % 3))
+    k, x, y = F.col("c_custkey"), F.col("c_custkey") * 4049 % 20011, F.col("c_custkey") * 2953 % 20021
+    kind = F.when(k % 3 == 0, "water").when(k % 3 == 1, "reservoir").otherwise("wood")
+    areas = spark.read.parquet(f"{d}/customer.parquet").select(F.concat(F.lit("C"), F.col("c_nationkey") % 3).alias("city"), kind.alias("fclass"), _rectangle(x, y, x + 20 + k % 90, y + 30 + k % 70).alias("geom"))
+    out = jobs.proximity_refined(_footprints(spark, d), seg, coast, seg, areas, extent_m=-2000.5)
+    names = [f"dist_to_{n}_m" for n in (*_REFINED, "water")]
+    return rounded(out.select("city", "bldg_id", *names), **{n: 4 for n in names})
+
+
 _NATURAL_SQL = "areas as (select city, bldg_id, x0, 4000+(cast(y0 as bigint)%5000) as y0, w, h from bldg)"
 
 
@@ -527,11 +570,12 @@ def polygons_that_are_there(spark: SparkSession, d: str) -> DataFrame:
     return normalize.without_empty(normalize.of_types(layer, normalize.POLYGONS)).select("bldg_id", "geom_type")
 
 
-@query(f"{duck('bldg', 'seg')}, pairs as (select city, bldg_id, x0,y0,w,h, x1,y1,x2,y2, case when x2=x1 then 0.0 else x2-x1 end as dx, y2-y1 as dy, case when (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)=0 then 1.0 else (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) end as a0 from bldg join seg using (city)) select city, bldg_id, round(min(case when {HIT_SQL} then 0.0 else {RECT_SQL} end),4) as dist_to_water_m from pairs group by 1,2")
+@query(f"{duck('bldg', 'seg')}, pairs as ({_PAIRS_SQL.replace('select city', "select coalesce(fclass in ('river','canal'),false) as main, city")}) select city, bldg_id, round(min(case when main then d end),4) as dist_to_main_m, round(min(case when not main then d end),4) as dist_to_other_m, round(min(d),4) as dist_to_water_m from (select *, case when {HIT_SQL} then 0.0 else {RECT_SQL} end as d from pairs) group by 1,2")
 def proximity_job(spark: SparkSession, d: str) -> DataFrame:
     """The whole third job on two layers, rivers and canals as one and the others as the second; the least of both (K6)."""
     p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     water = fixture(spark, d, "seg").withColumn("geom", F.array(F.array(F.array(p("x1", "y1"), p("x2", "y2")))))
     main = F.coalesce(F.col("fclass").isin("river", "canal"), F.lit(False))
     out = jobs.proximity(_footprints(spark, d), {"main": water.where(main), "other": water.where(~main)})
-    return rounded(out.select("city", "bldg_id", F.least("dist_to_main_m", "dist_to_other_m").alias("dist_to_water_m")), dist_to_water_m=4)
+    names = ("dist_to_main_m", "dist_to_other_m", "dist_to_water_m")
+    return rounded(out.select("city", "bldg_id", *names), **{n: 4 for n in names})
