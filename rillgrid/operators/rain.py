@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillgrid.functions.columns import expected_hours
+from rillgrid.operators.nearest import candidates, leaf_pairs, nearest_of_points, segment_tree, target_tree
+from rillgrid.plans.cache import cut
 
 CELL = ["latitude", "longitude"]
 
@@ -51,16 +53,41 @@ def climatology(maxima: DataFrame, years: tuple[int, ...]) -> DataFrame:
     return maxima.where(F.col("year").isin(*years)).groupBy("city", *CELL).agg(F.avg("tp_amax_mm").alias("H_pluvial_v1_mm"))
 
 
+FEW_PAIRS = 2_000_000  # of empty and filled cells, that are compared one by one
+FEW_CELLS = 100_000  # that may be broadcast: a few MB
+UNITS = 1e5  # of a degree, for the trees, which tell quarters of a unit apart
+
+
 def filled(grid: DataFrame, value: str = "H_pluvial_v1_mm") -> DataFrame:
     """grid with its empty cells filled from the nearest cell that has a value, in plain degrees; ties go to the lower latitude, then
-    the lower longitude. A city without any value stays empty (``check_filled`` raises). Grids are a few dozen cells a city; the
-    filled side is joined by city, not collected."""
+    the lower longitude. A city without any value stays empty (``check_filled`` raises).
+
+    The empty cells of a few dozen are compared with all that have a value. Beyond FEW_PAIRS such pairs, the cells nearest to each
+    are looked for by trees of boxes (see ``nearest``), so the work goes with the cells.
+    """
     have = grid.where(F.col(value).isNotNull()).select("city", F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col(value).alias("_v"))
+    empty = grid.where(F.col(value).isNull()).select("city", *CELL)
+    sizes = grid.groupBy("city").agg(F.count(value).alias("n"), F.count("*").alias("all"))
+    pairs = sizes.agg(F.sum(F.col("n").cast("double") * (F.col("all") - F.col("n")))).first()[0] or 0
     lat, lon = F.col("latitude") - F.col("_lat"), F.col("longitude") - F.col("_lon")
-    near = grid.where(F.col(value).isNull()).join(have, "city").groupBy("city", *CELL).agg(F.min_by("_v", F.struct(F.round(lat * lat + lon * lon, 12), F.col("_lat"), F.col("_lon"))).alias("_fill"))
+    met = empty.join(have, "city") if pairs <= FEW_PAIRS else _nearest_cells(empty, have)
+    near = met.groupBy("city", *CELL).agg(F.min_by("_v", F.struct(F.round(lat * lat + lon * lon, 12), F.col("_lat"), F.col("_lon"))).alias("_fill"))
     return grid.join(near, ["city", *CELL], "left").withColumn("was_filled", F.col(value).isNull() & F.col("_fill").isNotNull()).withColumn(value, F.coalesce(value, "_fill")).drop("_fill")
 
 
+def _nearest_cells(empty: DataFrame, have: DataFrame) -> DataFrame:
+    """Each empty cell with the cells that are nearest to it, or but a rounding farther."""
+    cells = cut(empty.distinct().withColumn("cell", F.monotonically_increasing_id()))
+    targets = target_tree(cells.select("city", "cell", (F.col("longitude") * UNITS).alias("px"), (F.col("latitude") * UNITS).alias("py"), F.lit(0.5).alias("reach")), ("city",), "cell")
+    points = have.withColumns({"x1": F.col("_lon") * UNITS, "y1": F.col("_lat") * UNITS}).withColumns({"x2": F.col("x1"), "y2": F.col("y1")})
+    sources = segment_tree(points, ("city",))
+    pairs = leaf_pairs(targets, sources)
+    least = cut(nearest_of_points(targets, sources, pairs, "cell"))
+    close = candidates(targets, sources, pairs, least).where(F.hypot(F.col("x1") - F.col("px"), F.col("y1") - F.col("py")) <= F.col("u") + 0.5)
+    found = close.select("city", "cell", "x1", "y1").join(points, ["city", "x1", "y1"]).select("city", "cell", "_lat", "_lon", "_v")
+    return found.join(cells, ["city", "cell"])
+
+
 def check_filled(grid: DataFrame, value: str = "H_pluvial_v1_mm") -> None:
     empty = grid.groupBy("city").agg(F.count(value).alias("n")).where("n = 0").orderBy("city").limit(5).collect()
     if empty:
@@ -75,31 +102,35 @@ def axes(grid: DataFrame) -> DataFrame:
 def interpolated(points: DataFrame, grid: DataFrame, value: str = "H_pluvial_v1_mm") -> DataFrame:
     """points (city, lon, lat, ...) with value: bilinear between the four cells round each point, clamped to the grid; the nearest
     cell's where a corner is missing. Points on the last axis value use the last interval; a one-row or one-column grid uses its
-    nearest; of two nearest the lower axis value counts. Axes are broadcast (a row a city), cells are joined by number."""
+    nearest; of two nearest the lower axis value counts. Every square of four cells is a row, which points are joined with by number;
+    axes and squares are broadcast if there are FEW_CELLS at most."""
+    few = F.broadcast if grid.count() <= FEW_CELLS else (lambda df: df)
     ax = axes(grid)
-    numbered = grid.join(F.broadcast(ax), "city").select("city", (F.array_position("lats", F.col("latitude")) - 1).cast("int").alias("i"), (F.array_position("lons", F.col("longitude")) - 1).cast("int").alias("j"), F.col(value).alias("v"))
+    cells = grid.join(few(ax), "city").select("city", (F.array_position("lats", F.col("latitude")) - 1).cast("int").alias("i"), (F.array_position("lons", F.col("longitude")) - 1).cast("int").alias("j"), F.col(value).alias("v"))
+    corners = [(di, dj) for di in (0, 1) for dj in (0, 1)]
+    as_corner = F.array(*[F.struct((F.col("i") - di).alias("_i"), (F.col("j") - dj).alias("_j"), F.lit(f"{di}{dj}").alias("c")) for di, dj in corners])
+    squares = cells.where("v is not null").select("city", "v", F.inline(as_corner))
+    squares = squares.groupBy("city", "_i", "_j").agg(*[F.max(F.when(F.col("c") == f"{di}{dj}", F.col("v"))).alias(f"_c{di}{dj}") for di, dj in corners])
 
     def place(v: str, axis: str) -> tuple:
         clamped = F.greatest(F.element_at(axis, 1), F.least(F.element_at(axis, -1), F.col(v)))
         low = F.greatest(F.lit(0), F.least(F.size(axis) - 2, F.size(F.filter(axis, lambda a: a <= clamped)) - 1))
         return clamped, low
 
-    p = points.join(F.broadcast(ax), "city", "left")
+    p = points.join(few(ax), "city", "left")
     p = p.withColumns({"_y": place("lat", "lats")[0], "_i": place("lat", "lats")[1], "_x": place("lon", "lons")[0], "_j": place("lon", "lons")[1]})
     share = lambda v, axis, k: F.when(F.size(axis) > 1, (F.col(v) - F.get(axis, F.col(k))) / (F.get(axis, F.col(k) + 1) - F.get(axis, F.col(k)))).otherwise(0.0)
     p = p.withColumns({"_ty": share("_y", "lats", "_i"), "_tx": share("_x", "lons", "_j")}).drop("lats", "lons")
-    # one map of cells a city: a grid is a few dozen cells
-    cells = numbered.where("v is not null").groupBy("city").agg(F.map_from_entries(F.collect_list(F.struct(F.struct("i", "j"), "v"))).alias("_cells"))
-    p = p.join(F.broadcast(cells), "city", "left")
-    at = lambda di, dj: F.try_element_at("_cells", F.struct((F.col("_i") + di).alias("i"), (F.col("_j") + dj).alias("j")))
-    near = at(F.when(F.col("_ty") > 0.5, 1).otherwise(0), F.when(F.col("_tx") > 0.5, 1).otherwise(0))
-    # a corner without weight may be missing
-    c00, c10 = at(0, 0), F.when(F.col("_ty") == 0, at(0, 0)).otherwise(at(1, 0))
-    c01 = F.when(F.col("_tx") == 0, at(0, 0)).otherwise(at(0, 1))
-    c11 = F.when((F.col("_tx") == 0) & (F.col("_ty") == 0), at(0, 0)).when(F.col("_tx") == 0, at(1, 0)).when(F.col("_ty") == 0, at(0, 1)).otherwise(at(1, 1))
+    p = p.join(few(squares), ["city", "_i", "_j"], "left")
+    c00, c01, c10, c11 = (F.col(f"_c{di}{dj}") for di, dj in corners)
     tx, ty = F.col("_tx"), F.col("_ty")
-    linear = c00 * (1 - tx) * (1 - ty) + c01 * tx * (1 - ty) + c10 * (1 - tx) * ty + c11 * tx * ty
-    return p.withColumn(value, F.coalesce(linear, near)).drop("_y", "_i", "_x", "_j", "_ty", "_tx", "_cells")
+    near = F.when(ty > 0.5, F.when(tx > 0.5, c11).otherwise(c10)).otherwise(F.when(tx > 0.5, c01).otherwise(c00))
+    # a corner without weight may be missing
+    at10, at01 = F.when(ty == 0, c00).otherwise(c10), F.when(tx == 0, c00).otherwise(c01)
+    at11 = F.when((tx == 0) & (ty == 0), c00).when(tx == 0, c10).when(ty == 0, c01).otherwise(c11)
+    linear = c00 * (1 - tx) * (1 - ty) + at01 * tx * (1 - ty) + at10 * (1 - tx) * ty + at11 * tx * ty
+    out = p.withColumn("_value", F.coalesce(linear, near))
+    return out.select(*points.columns, F.col("_value").alias(value)) if value not in points.columns else out.withColumn(value, F.col("_value")).select(*points.columns)
 
 
 def profile(hourly: DataFrame, value: str = "tp") -> DataFrame:

@@ -126,3 +126,36 @@ def test_exact_quantiles(spark):
                 assert np.allclose([r[f"p{round(100 * q):02d}"] for q in quality.QUANTILES], np.quantile(values, quality.QUANTILES), rtol=1e-12)
                 assert (r.n, r.min, r.max) == (len(values), min(values), max(values))
     assert quality.describe(df.limit(0), ["v"]).collect() == []
+
+
+def test_large_grids(spark, monkeypatch):
+    """A grid of 120 x 90 cells with gaps is filled by trees and interpolated by joins, as numpy does; the ways for few cells agree."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(12)
+    gap = {(i, j) for i in range(120) for j in range(90) if (i - 40) ** 2 + (j - 30) ** 2 < 150 or rnd.random() < 0.1}
+    lat, lon = lambda i: 50 + i / 10, lambda j: 4 + j / 10
+    value = {(i, j): None if (i, j) in gap else rnd.random() for i in range(120) for j in range(90)}
+    grid = spark.createDataFrame([("A", lat(i), lon(j), v) for (i, j), v in value.items()], "city string, latitude double, longitude double, H_pluvial_v1_mm double")
+    points = [(k, "A", 4 + rnd.uniform(-0.5, 9.5), 50 + rnd.uniform(-0.5, 12.5)) for k in range(400)]
+    p = spark.createDataFrame(points, "bldg_id long, city string, lon double, lat double")
+    monkeypatch.setattr(rain, "FEW_PAIRS", 10)
+    monkeypatch.setattr(rain, "FEW_CELLS", 10)
+    full = rain.cut(rain.filled(grid))
+    got = {(round(r.latitude * 10 - 500), round(r.longitude * 10 - 40)): r.H_pluvial_v1_mm for r in full.collect()}
+    have = np.array([k for k, v in value.items() if v is not None])
+    for i, j in gap:
+        d = (have[:, 0] - i) ** 2 + (have[:, 1] - j) ** 2
+        best = min(map(tuple, have[d == d.min()].tolist()))
+        assert got[i, j] == value[best]
+    out = {r.bldg_id: r.H_pluvial_v1_mm for r in rain.interpolated(p, full).collect()}
+    for k, _, x, y in points:
+        gx, gy = min(max((x - 4) * 10, 0), 89), min(max((y - 50) * 10, 0), 119)
+        j, i = min(int(gx), 88), min(int(gy), 118)
+        tx, ty = gx - j, gy - i
+        want = (got[i, j] * (1 - tx) + got[i, j + 1] * tx) * (1 - ty) + (got[i + 1, j] * (1 - tx) + got[i + 1, j + 1] * tx) * ty
+        assert abs(out[k] - want) < 1e-9
+    monkeypatch.undo()
+    assert {r.bldg_id: r.H_pluvial_v1_mm for r in rain.interpolated(p, full).collect()} == out
