@@ -570,7 +570,7 @@ def polygons_that_are_there(spark: SparkSession, d: str) -> DataFrame:
     return normalize.without_empty(normalize.of_types(layer, normalize.POLYGONS)).select("bldg_id", "geom_type")
 
 
-@query(f"{duck('bldg', 'seg')}, pairs as ({_PAIRS_SQL.replace('select city', "select coalesce(fclass in ('river','canal'),false) as main, city")}) select city, bldg_id, round(min(case when main then d end),4) as dist_to_main_m, round(min(case when not main then d end),4) as dist_to_other_m, round(min(d),4) as dist_to_water_m from (select *, case when {HIT_SQL} then 0.0 else {RECT_SQL} end as d from pairs) group by 1,2")
+@query(f"{duck('bldg', 'seg')}, pairs as ({_PAIRS_SQL.replace('select city', "select coalesce(fclass in ('river','canal'),false) as main, city")}) select city, bldg_id, round(min(case when main then d end),4) as dist_to_main_m, round(min(case when not main then d end),4) as dist_to_other_m, case when count(distinct main)=2 then round(min(d),4) end as dist_to_water_m from (select *, case when {HIT_SQL} then 0.0 else {RECT_SQL} end as d from pairs) group by 1,2")
 def proximity_job(spark: SparkSession, d: str) -> DataFrame:
     """The whole third job on two layers, rivers and canals as one and the others as the second; the least of both (K6)."""
     p = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
