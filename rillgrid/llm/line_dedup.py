@@ -228,7 +228,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", tex
     joined = docs.join(lists, F.col(f"`{id_col}`").cast("long") == F.col(doc), "left")
     text = F.col(f"`{text_col}`")
     parts = F.split(empty_if_null(text), "\n", -1)
-    kept = F.filter(parts, lambda _, k: ~F.array_contains(places, k))
+    # places that stay, by a hash set; the lines are bound once, so that a text takes time in proportion to its lines
+    staying = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places))
+    kept = F.transform(F.array(parts), lambda lines: F.array_join(F.transform(staying(lines), lambda k: F.get(lines, k)), "\n"))
     named = {c: F.col(f"`{c}`") for c in docs.columns if c not in (lines_col, dropped_col)}
-    named[text_col] = F.when(F.col(places).isNull(), text).otherwise(F.array_join(kept, "\n")).alias(text_col)
+    named[text_col] = F.when(F.col(places).isNull(), text).otherwise(F.get(kept, F.lit(0))).alias(text_col)
     return joined.select(*named.values(), F.size(parts).cast("long").alias(lines_col), F.coalesce(F.size(places), F.lit(0)).cast("long").alias(dropped_col))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -247,6 +248,16 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch, large):
     assert sorted((r.doc_id or 0, r.text, r.n_lines, r.n_dropped, r.doc, r.places) for r in dedup_lines(clash).collect()) == [(0, "a b c d e", 1, 0, 1, 2), (1, "a b c d e", 1, 0, 1, 2), (2, "f", 2, 1, 1, 2)]
 
 
+def test_a_text_of_many_equal_lines_takes_time_in_proportion(spark):
+    line = "one two three four five six"
+    docs = spark.createDataFrame([(1, "\n".join([line, ""] * 40_000)), (2, f"head\n{line}\ntail")], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in dedup_lines(docs).collect()}
+    assert time.time() - began < 40
+    assert got[1].text == line + "\n" + "\n" * 39_999 and got[1].n_dropped == 39_999
+    assert got[2].text == "head\ntail"
+
+
 def test_leaks_find_new_numbers_but_not_the_frame(spark):
     bench = spark.createDataFrame([(1, "A train leaves at 9 and travels 120 km in 2 hours before Anna meets Ben at the old station gate"), (2, "short one"), (3, None)], "item_id long, text string")
     twin = "Intro words here. A train leaves at 7 and travels 340 km in 5 hours before Eva meets Tom at the old station gate. More."
