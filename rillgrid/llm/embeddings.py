@@ -7,11 +7,12 @@ that its projection exceeds ``alpha`` on; they are list-decoded block by block,
 soon as the best codes of the other blocks cannot reach alpha any more. Vectors of one label that share a filter are
 candidates and are verified in double precision.
 
-Recall depends on alpha: of a pair at cosine c, a filter that one vector passes is passed by the other with the chance of
-a normal variable; ``tables`` independent rotations are used so that a pair at the threshold is missed with a chance far
-below 1 in 1,000 (tests measure it against brute force). A random direction's projection has a spread of one by the root of
-the width, so alpha goes by the width: a vector passes about PASSED filters of a table at any width. The number of codes grows
-with the root of the largest label's rows, so a bucket of vectors that are not alike stays at about BLOCK of them.
+Recall depends on alpha. The share of all directions that a vector passes, and the chance that another one at the threshold's
+cosine passes such a direction too, are areas of caps of the sphere; alpha is where a pair at the threshold shares SHARED
+filters of each table on average, whatever the width and the number of codes. More codes mean a higher alpha, at which fewer
+filters are shared, so a vector passes more of them. ``tables`` independent rotations are used (tests measure the pairs missed
+against brute force, up to 2,048 codes). The number of codes grows with the rows of the largest label, so a bucket of vectors
+that are not alike stays at about BLOCK of them.
 
 Links must be counted, so pairs within a bucket are counted, never written: a vector belongs to many buckets, and its
 links must not be counted again in each: a pair counts in the first filter that both pass, which the vectors' lists of
@@ -27,20 +28,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgrid.llm.common import stored
+from rillgrid.llm.common import discard, stored
 from rillgrid.llm.components import components
 
 BLOCK = 1024  # vectors of a bucket, about, that are held against as many others at once
 PARTS, CODES = 2, 16  # blocks of a product code, and codes of each at least
 TABLES = 8  # independent rotations
-PASSED = 3.2  # filters of a table that a vector passes, about; its best one it passes anyway
+THRESHOLD = 0.93  # cosine
+SHARED = 1.25  # filters of a table that a pair at the threshold shares on average; its best one each passes anyway
 AT_ONCE = 1 << 23  # projections that a task holds
 
 
@@ -57,27 +58,50 @@ def codebook(width: int, table: int, part: int, codes: int) -> np.ndarray:
     return c / np.linalg.norm(c, axis=1, keepdims=True)
 
 
-def limit(dim: int, parts: int = PARTS, codes: int = CODES) -> float:
-    """alpha: the projection from which on a vector of this width passes a filter."""
-    return NormalDist().inv_cdf(1 - PASSED / codes**parts) / np.sqrt(dim)
+@lru_cache(maxsize=64)
+def cap_shares(dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Heights from 0 to 1, and the share of the sphere beyond each: how many directions have a projection above it."""
+    height = np.linspace(0, 1, 1 << 16)
+    density = np.exp((dim - 3) / 2 * np.log(np.maximum(1 - height**2, 1e-300)))
+    beyond = np.cumsum(density[::-1])[::-1]
+    return height, beyond / beyond[0] / 2
 
 
-def codes_for(rows: int, parts: int = PARTS) -> int:
+@lru_cache(maxsize=64)
+def limit(dim: int, parts: int = PARTS, codes: int = CODES, threshold: float = THRESHOLD) -> tuple[float, float]:
+    """alpha, the projection from which on a vector of this width passes a filter, and how many filters of a table it passes."""
+    if dim < 4:
+        return 0.0, codes**parts / 2
+    height, beyond = cap_shares(dim)
+    c = min(max(threshold, 0.0), 1 - 1e-9)
+    # of a vector at height h, the least height at which the other one is, less what they have in common, must be passed
+    rest = height * (1 - c) / np.sqrt(1 - c * c) / np.sqrt(np.maximum(1 - height**2, 1e-12))
+    both = np.interp(rest, *cap_shares(dim - 1), right=0.0)
+    shared = codes**parts * beyond * both
+    k = max(0, int(np.searchsorted(-shared, -SHARED)) - 1)
+    return float(height[k]), float(codes**parts * beyond[k])
+
+
+def codes_for(rows: int, dim: int, parts: int = PARTS, threshold: float = THRESHOLD) -> int:
     """Codes of a block, so that a filter is passed by about BLOCK of so many rows; a power of two."""
-    need = (rows * PASSED / BLOCK) ** (1 / parts)
-    return max(CODES, 1 << int(np.ceil(np.log2(max(1.0, need)))))
+    codes = CODES
+    while rows * limit(dim, parts, codes, threshold)[1] > BLOCK * codes**parts:
+        codes *= 2
+        if dim < 4:
+            break
+    return codes
 
 
-def decode(x: np.ndarray, table: int, parts: int = PARTS, codes: int = CODES) -> tuple[np.ndarray, np.ndarray]:
+def decode(x: np.ndarray, table: int, parts: int = PARTS, codes: int = CODES, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of all filters of one table that unit vectors pass: list decoding, block by block with pruning."""
     step = max(16, AT_ONCE // codes**parts)
-    found = [_decode(x[at : at + step], table, parts, codes) for at in range(0, max(1, len(x)), step)]
+    found = [_decode(x[at : at + step], table, parts, codes, threshold) for at in range(0, max(1, len(x)), step)]
     return np.concatenate([row + k * step for k, (row, _) in enumerate(found)]), np.concatenate([code for _, code in found])
 
 
-def _decode(x: np.ndarray, table: int, parts: int, codes: int) -> tuple[np.ndarray, np.ndarray]:
+def _decode(x: np.ndarray, table: int, parts: int, codes: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     n, dim = x.shape
-    alpha = limit(dim, parts, codes)
+    alpha = limit(dim, parts, codes, threshold)[0]
     y = x @ rotation(dim, table).T
     bounds = np.linspace(0, dim, parts + 1).astype(int)
     shares = [y[:, a:b] @ codebook(b - a, table, k, codes).T / np.sqrt(parts) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))]
@@ -107,14 +131,15 @@ def _unit(values: pa.Array, rows: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABLES, parts: int = PARTS, codes: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, parts: int = PARTS, codes: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """id, n_links, component_id (least id of its component), kept. ``codes`` goes by the rows of the largest label if none is given."""
     rows = _clean(vectors, id_col, vec_col, label_col)
     each = stored(rows.withColumn("class", F.when(F.col("v").isNotNull(), F.xxhash64("label", "v"))))
     classes = each.where("class is not null").groupBy("class").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("v").alias("v"))
     classes = stored(classes)
     if codes is None:
-        codes = codes_for(classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0, parts)
+        largest, width = classes.groupBy("label").agg(F.count("*").alias("n"), F.min(F.size("v")).alias("width")).agg(F.max("n"), F.min("width")).first()
+        codes = codes_for(largest or 0, width or 4, parts, threshold)
     n_filters = tables * codes**parts
 
     def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +150,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABL
             for dim in np.unique(sizes):  # vectors of different widths have no cosine
                 part = batch.take(pa.array(np.flatnonzero(sizes == dim)))
                 x = _unit(part.column(2), part.num_rows)
-                found = [decode(x, t, parts, codes) for t in range(tables)]
+                found = [decode(x, t, parts, codes, threshold) for t in range(tables)]
                 row = np.concatenate([r for r, _ in found])
                 code = np.concatenate([t * codes**parts + c for t, (_, c) in enumerate(found)])
                 order = np.lexsort((code, row))
@@ -165,6 +190,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABL
         yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.nulls(len(some), pa.int64()), pa.array(links[some])], names=["a", "b", "links"])
 
     met = stored(sides.groupBy("label", "filter", "p", "q").applyInArrow(meet, "a long, b long, links long"))
+    discard(passed)
     linked = met.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("others"))
     grouped = components(met.where("b is not null").select("a", "b"))
     final = classes.select("class", "rep", "copies").join(linked, "rep", "left").join(grouped.withColumnRenamed("id", "rep"), "rep", "left")
