@@ -23,14 +23,51 @@ def xy(spark, lon, lat, code):
 def test_projection_control_points(spark):
     p = xy(spark, 9.0, 45.0, 25832)
     assert math.isclose(p.x, 500000, abs_tol=1e-6) and math.isclose(p.y, 4984944.378 * 0.9996, abs_tol=0.01)
-    p = xy(spark, 5.38720621, 52.15517440, 28992)
-    assert (p.x, p.y) == (155000, 463000)
     p = xy(spark, 4.88352559, 52.37453253, 28992)
     assert abs(p.x - 120700.723) < 0.5 and abs(p.y - 487525.501) < 0.5
 
 
+def test_dutch_control_points(spark):
+    # published ETRS89 and RD coordinates; what is left is the correction grid, which goes up to 0.25 m
+    points = [
+        (53.160753042, 4.824761912, 117380.1200, 575040.3400),
+        (53.419482050, 6.776726674, 247380.5600, 604580.7800),
+        (52.155172897, 5.387203657, 155000.0000, 463000.0000),
+        (51.368607152, 3.397588595, 16460.9100, 377380.2300),
+        (50.792584916, 5.773795548, 182260.4500, 311480.6700),
+        (51.947393898, 4.072887101, 64640.8900, 440700.0101),
+    ]
+    rows = spark.createDataFrame(points, "lat double, lon double, x double, y double")
+    there = rows.withColumn("p", crs.from_lonlat(F.col("lon"), F.col("lat"), 28992))
+    for r in there.withColumn("q", crs.to_lonlat(F.col("p.x"), F.col("p.y"), 28992)).collect():
+        assert math.hypot(r.p.x - r.x, r.p.y - r.y) < 0.25
+        assert abs(r.q.lon - r.lon) < 1e-9 and abs(r.q.lat - r.lat) < 1e-9
+
+
+def test_dutch_projection_without_the_shift_of_datum(spark):
+    # the origin by definition, a step along each axis at the scale of the origin, and there and back far from it
+    lat0, lon0 = math.radians(52 + 9 / 60 + 22.178 / 3600), math.radians(5 + 23 / 60 + 15.5 / 3600)
+    a, f = 6377397.155, 1 / 299.1528128
+    e2 = f * (2 - f)
+    w = math.sqrt(1 - e2 * math.sin(lat0) ** 2)
+    rows = spark.createDataFrame([(0, lat0, lon0), (1, lat0 + 1e-6, lon0), (2, lat0, lon0 + 1e-6), (3, lat0 - 0.02, lon0 + 0.03)], "k int, lat double, lon double")
+    got = {r.k: r for r in rows.withColumn("p", crs._rd_plane(F.col("lat"), F.col("lon"))).withColumn("q", crs._rd_unplane(F.col("p.x"), F.col("p.y"))).collect()}
+    assert math.hypot(got[0].p.x - 155000, got[0].p.y - 463000) < 1e-6
+    assert math.isclose(got[1].p.y - 463000, 0.9999079 * a * (1 - e2) / w**3 * 1e-6, rel_tol=1e-6) and abs(got[1].p.x - 155000) < 1e-6
+    assert math.isclose(got[2].p.x - 155000, 0.9999079 * a / w * math.cos(lat0) * 1e-6, rel_tol=1e-6)
+    assert all(abs(r.q.lat - r.lat) < 1e-13 and abs(r.q.lon - r.lon) < 1e-13 for r in got.values())
+
+
+def test_dutch_system_in_a_geometry_and_where_coordinates_are_missing(spark):
+    path = [[ring((4.48, 51.92), (4.49, 51.92), (4.49, 51.93), (4.48, 51.92))]]
+    rows = spark.createDataFrame([(1, path, 4.48, 51.92), (2, None, None, None)], f"id int, geom {PATH}, lon double, lat double")
+    got = rows.select("id", crs.reproject(F.col("geom"), 28992).alias("g"), crs.from_lonlat(F.col("lon"), F.col("lat"), 28992).alias("p"), crs.to_lonlat(F.col("lon"), F.col("lat"), 28992).alias("q")).orderBy("id").collect()
+    assert (got[0].g[0][0][0].x, got[0].g[0][0][0].y) == (got[0].p.x, got[0].p.y)
+    assert got[1].g is None and got[1].p.x is None and got[1].p.y is None and got[1].q.lon is None and got[1].q.lat is None
+
+
 def test_projection_round_trips(spark):
-    for code, lon, lat, tol in ((25832, 10.1, 53.6, 1e-8), (25830, -1.98, 43.31, 1e-8), (28992, 4.48, 51.92, 3e-6)):
+    for code, lon, lat, tol in ((25832, 10.1, 53.6, 1e-8), (25830, -1.98, 43.31, 1e-8), (28992, 4.48, 51.92, 1e-9)):
         row = spark.range(1).select(crs.from_lonlat(F.lit(lon), F.lit(lat), code).alias("p")).select(crs.to_lonlat(F.col("p.x"), F.col("p.y"), code).alias("q")).first().q
         assert abs(row.lon - lon) < tol and abs(row.lat - lat) < tol
 
