@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rillgrid.config import CITIES, with_registry
 from rillgrid.functions import columns as C
+from rillgrid.functions.crs import from_lonlat, to_lonlat
 from rillgrid.functions.interior import with_interior_point
 from rillgrid.operators import assets, clip, normalize, quality, rain, spatial
 from rillgrid.operators.dissolve import dissolved
@@ -184,6 +185,35 @@ def rain_on_buildings(spark: SparkSession, d: str) -> DataFrame:
     return out.select("bldg_id", F.round("H_pluvial_v1_mm", 9).alias("H_pluvial_v1_mm"))
 
 
+#: The Dutch system as the survey's own text has it, step by step: geocentric, shifted, geodetic by iteration, conformal sphere by
+#: ratios, plane.
+DUTCH_SQL = (
+    "c as (select *, 6377397.155 as a, 2/299.1528128-power(1/299.1528128,2) as e2, radians(52+9/60.0+22.178/3600.0) as p0, radians(5+23/60.0+15.5/3600.0) as l0,"
+    " 2/298.257222101-power(1/298.257222101,2) as g2 from lonlat),"
+    " k as (select *, sqrt(e2) as e, sqrt(1+e2*power(cos(p0),4)/(1-e2)) as n, a*sqrt(1-e2)/(1-e2*power(sin(p0),2)) as r, 6378137.0/sqrt(1-g2*power(sin(radians(lat)),2)) as nu from c),"
+    " g as (select *, (nu+43)*cos(radians(lat))*cos(radians(lon)) as gx, (nu+43)*cos(radians(lat))*sin(radians(lon)) as gy, (nu*(1-g2)+43)*sin(radians(lat)) as gz from k),"
+    " b as (select *, -565.7346+(1-4.07242e-6)*(gx-9.09546e-6*gy-1.60365e-6*gz) as sx, -50.4058+(1-4.07242e-6)*(9.09546e-6*gx+gy-1.91514e-6*gz) as sy,"
+    " -465.2895+(1-4.07242e-6)*(1.60365e-6*gx+1.91514e-6*gy+gz) as sz from g),"
+    " f0 as (select *, sqrt(sx*sx+sy*sy) as q, atan2(sz, sqrt(sx*sx+sy*sy)*(1-e2)) as f from b)"
+    + "".join(f", f{i} as (select * exclude (f), atan2(sz+e2*a*sin(f)/sqrt(1-e2*power(sin(f),2)), q) as f from f{i - 1})" for i in range(1, 8))
+    + ", w as (select *, power((1+sin(f))/(1-sin(f))*power((1-e*sin(f))/(1+e*sin(f)),e),n) as w1, power((1+sin(p0))/(1-sin(p0))*power((1-e*sin(p0))/(1+e*sin(p0)),e),n) as w0 from f7),"
+    " s as (select *, (n+sin(p0))*(1-(w0-1)/(w0+1))/((n-sin(p0))*(1+(w0-1)/(w0+1))) as cc, n*(atan2(sy,sx)-l0) as dl from w),"
+    " t as (select *, asin((cc*w1-1)/(cc*w1+1)) as x1, asin((cc*w0-1)/(cc*w0+1)) as x0 from s)"
+)
+
+
+@query(
+    f"{duck('lonlat')}, {DUTCH_SQL} select bldg_id, round(155000+2*r*0.9999079*cos(x1)*sin(dl)/(1+sin(x1)*sin(x0)+cos(x1)*cos(x0)*cos(dl)),2) as x,"
+    " round(463000+2*r*0.9999079*(sin(x1)*cos(x0)-cos(x1)*sin(x0)*cos(dl))/(1+sin(x1)*sin(x0)+cos(x1)*cos(x0)*cos(dl)),2) as y,"
+    " round(lon,7) as lon, round(lat,7) as lat from t"
+)
+def dutch_coordinates(spark: SparkSession, d: str) -> DataFrame:
+    """Longitude and latitude to the Dutch system and back (C1)."""
+    there = fixture(spark, d, "lonlat").select("bldg_id", from_lonlat(F.col("lon"), F.col("lat"), 28992).alias("p"))
+    out = there.select("bldg_id", "p.*", to_lonlat(F.col("p.x"), F.col("p.y"), 28992).alias("q"))
+    return rounded(out.select("bldg_id", "x", "y", "q.*"), x=2, y=2, lon=7, lat=7)
+
+
 @query(f"{duck('hourly')} select city, count(*) as n, count(*) filter (where tp is null) as n_missing, round(avg(case when tp is not null then 1.0 else 0.0 end),9) as finite_fraction, max(tp) as max, round(avg(tp),9) as mean from hourly group by 1")
 def rain_profile(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rain.profile(_rain(spark, d, "hourly")), finite_fraction=9, mean=9)
