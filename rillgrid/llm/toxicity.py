@@ -1,8 +1,9 @@
 """Toxicity by subword-bag embeddings, averaged into a linear softmax and trained jointly.
 
 A word is the bag of its hashed character n-grams, 4 and 5 long, with marks at both ends. A document is the mean of its
-distinct words, a word the mean of its n-grams' embeddings; a linear softmax on it gives the two classes. Embeddings and softmax
-are trained together in numpy on a bounded, documented sample of labelled rows (``teaching_rows``). A word never met shares
+distinct words, times the root of their number (so that a few words of many still show), a word the mean of its n-grams'
+embeddings; a linear softmax on it gives the two classes. Embeddings and softmax are trained together in numpy on a bounded,
+documented sample of labelled rows (``teaching_rows``), in which a row of the rarer class weighs as the root of how much rarer it is. A word never met shares
 n-grams with those that were, so misspellings score like the words they come from.
 
 As everything is linear up to the softmax, a document's score needs one number an n-gram.
@@ -26,9 +27,9 @@ from rillgrid.llm.common import byte_offsets, coded_words, empty_if_null, slices
 from rillgrid.llm.labelled import held_out, teaching_rows
 
 SAMPLE = 6000  # labelled rows, at most, that it is trained on
-BUCKETS = 1 << 15  # of n-gram hashes
+BUCKETS = 1 << 17  # of n-gram hashes
 DIM = 2
-BATCH, EPOCHS, RATE, FLOOR, DECAY = 200, 10, 0.2, 0.9998, 1e-4
+BATCH, EPOCHS, RATE, FLOOR, DECAY = 200, 20, 0.1, 0.9998, 1e-4
 BLANK = 30  # words without a meaning that each mean takes in, so that a few words alone decide nothing
 SLICE_BYTES = 3_000_000  # text that a task holds as words at once
 ROWS = 1000  # documents that are filtered at once
@@ -79,7 +80,7 @@ def _bag_batches(rows: list[tuple[str, int]], seed: int) -> list[tuple[np.ndarra
         size = each[codes]
         upto = np.cumsum(size)
         grams = by_word[np.repeat(first[codes] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)]
-        weight = np.repeat(1 / np.maximum(size, 1) / (np.diff(ends) + BLANK)[doc], size)
+        weight = np.repeat(1 / np.maximum(size, 1) / np.sqrt(np.diff(ends) + BLANK)[doc], size)
         key, at_key = np.unique(np.repeat(doc, size) * BUCKETS + grams, return_inverse=True)
         out.append(((key // BUCKETS).astype(np.int32), (key % BUCKETS).astype(np.int32), np.bincount(at_key, weight, len(key)).astype(np.float32), np.array([y for _, y in chosen])))
     return out
@@ -91,6 +92,7 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> tuple[np.ndarray, floa
     if len({y for _, y in rows}) < 2:
         return np.zeros(BUCKETS), float(np.log(share / (1 - share)))
     batches = _bag_batches(rows, seed)
+    weights = np.sqrt(np.maximum(1.0, np.array([share, 1 - share]) / np.array([1 - share, share])))
     # how far an n-gram's share in a document usually goes, with a floor: those met in a few documents must not weigh as those met in many
     square = sum(np.bincount(bucket, weight**2, BUCKETS) for _, bucket, weight, _ in batches) / len(rows)
     scale = 1 / (np.sqrt(square) + np.quantile(np.sqrt(square[square > 0]), FLOOR))
@@ -107,7 +109,7 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> tuple[np.ndarray, floa
             p = np.exp(logit - logit.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(n), y] -= 1
-            p /= n
+            p *= weights[y][:, None] / n
             to_doc = p @ out.T
             grads = [np.stack([np.bincount(bucket, x * to_doc[doc, d], BUCKETS) for d in range(DIM)], axis=1) + DECAY * embed, of_doc.T @ p + DECAY * out, p.sum(axis=0)]
             for k, g in enumerate(grads):
@@ -118,14 +120,14 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> tuple[np.ndarray, floa
 
 
 def logits(texts: pa.Array, values: np.ndarray, bias: float) -> np.ndarray:
-    """The logit of each text: the mean of its words, each the mean of its n-grams' values."""
+    """The logit of each text: the sum of its words, each the mean of its n-grams' values, by the root of their number."""
     out = [np.zeros(0)]
     for _, part in slices(texts, SLICE_BYTES):
         words, codes, ends = bags(part)
         row, gram = ngrams(words)
         word = np.bincount(row, values[gram], len(words)) / np.maximum(np.bincount(row, minlength=len(words)), 1)
         scan = np.concatenate([[0.0], np.cumsum(word[codes])])
-        out.append((scan[ends[1:]] - scan[ends[:-1]]) / (np.diff(ends) + BLANK) + bias)
+        out.append((scan[ends[1:]] - scan[ends[:-1]]) / np.sqrt(np.diff(ends) + BLANK) + bias)
     return np.concatenate(out)
 
 
