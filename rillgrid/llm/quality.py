@@ -8,7 +8,7 @@ linear hinge-loss model is fitted to the scaled indicators by dual coordinate de
 of rows that a first fit did not see turns margins into scores.
 
 The model is fitted in numpy on a bounded, documented sample of labelled rows (``teaching_rows``); scoring covers whole
-texts. Null texts count as empty; an empty text has the score of no features. Repeated rows give repeated results; other
+texts. White space at an end of a text parts an empty word from it. Null texts count as empty; an empty text is one empty word. Repeated rows give repeated results; other
 columns are ignored; an empty table gives no rows. If one class has no labelled row, every score is that class's share.
 """
 
