@@ -1,11 +1,15 @@
 """The corpus pipeline, each stage on its own input against a brute-force version."""
 
 import random
+import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from rillgrid.llm.common import tokenizer_path
 from rillgrid.llm.decontamination import leaks
 from rillgrid.llm.line_dedup import near_words
 from rillgrid.llm.toxicity import score_toxicity
@@ -89,7 +93,14 @@ def test_each_stage_equals_brute_force(spark, folder):
     packed = stages["best-fit packing"](spark, fresh, folder)
     tokens = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("upto"))
     assert tokens.where("n > 4096 or n <> upto").isEmpty()
-    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in fresh.collect()}
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    pieces = []
+    for r in fresh.collect():
+        ids = [*tok.encode(r.text or "", add_special_tokens=False).ids, 1]
+        for piece, at in enumerate(range(0, len(ids), 4096)):
+            own = ids[at : at + 4096]
+            pieces.append((-1 if r.doc_id is None else r.doc_id, piece, at, len(own), zlib.crc32(struct.pack(f"<{len(own)}I", *own))))
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packed.collect()) == sorted(pieces)
     total = packed.agg(F.sum("length")).first()[0]
     assert tokens.count() <= total / 4096 * 1.5 + 1
 
