@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from rillgrid.operators.spatial import to_segments
 from rillgrid.plans.cache import cut
 
 STRIP = 500.0
+WELL_INSIDE = 1e-3  # crossings farther than that from the ends of sides need no care
 FEW_SIDES = 64  # sides that are held against each other in columns
 #: Where a polygon's box is tested: by its lower left corner, off it by an odd bit, so that no side goes through the point.
 OFF_X, OFF_Y = 0.00137, 0.00091
@@ -82,6 +84,74 @@ def _repaired(row: dict) -> list | None:
     return points_of(assemble(overlay.outline(own, overlay.even_odd(own))))
 
 
+def _bow_ties(geoms: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(which, halves): the polygons of one ring of four sides of which two opposite ones cross well inside, and the halves of each (two
+    rings of four points, as ``assemble`` gives them). All of a batch at once; the others are for the helper."""
+    n_parts = pc.fill_null(pc.list_value_length(geoms), 0).to_numpy(zero_copy_only=False)
+    parts = pc.list_flatten(geoms)
+    n_rings = pc.fill_null(pc.list_value_length(parts), 0).to_numpy(zero_copy_only=False)
+    rings = pc.list_flatten(parts)
+    n_points = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False)
+    points = pc.list_flatten(rings)
+    xy = np.stack([pc.struct_field(points, c).to_numpy(zero_copy_only=False).astype(float, copy=False) for c in "xy"], axis=1)
+    part, ring = np.cumsum(n_parts) - n_parts, np.cumsum(n_rings) - n_rings
+    which = np.flatnonzero(n_parts == 1)
+    which = which[n_rings[part[which]] == 1]
+    which = which[n_points[ring[part[which]]] == 5]
+    first = (np.cumsum(n_points) - n_points)[ring[part[which]]]
+    p = xy[first[:, None] + np.arange(5)]
+    closed = (p[:, 0] == p[:, 4]).all(axis=1) & np.isfinite(p).all(axis=(1, 2))
+    which, p = which[closed], p[closed, :4]
+    found, halves = [np.zeros(0, np.int64)], [np.zeros((0, 2, 4, 2))]
+    for k in (0, 1):  # the first side crosses the third, or the second the fourth
+        a, b, c, d = (p[:, (k + j) % 4] for j in range(4))
+        v, w, g = b - a, d - c, c - a
+        turn = lambda m, n: m[:, 0] * n[:, 1] - m[:, 1] * n[:, 0]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            det = turn(v, w)
+            s, u = turn(g, w) / det, turn(g, v) / det
+            long = np.hypot(*v.T), np.hypot(*w.T)
+            ends = [np.minimum(q, 1 - q) * size > WELL_INSIDE for q, size in ((s, long[0]), (u, long[1]))]
+            # and no thin halves, where points that are almost one would count
+            ok = ends[0] & ends[1] & (np.abs(det) > WELL_INSIDE * long[0] * long[1]) & (np.hypot(*g.T) > WELL_INSIDE) & (np.hypot(*(b - c).T) > WELL_INSIDE) & (np.hypot(*(d - a).T) > WELL_INSIDE)
+        a, b, c, d, x = a[ok], b[ok], c[ok], d[ok], a[ok] + s[ok, None] * v[ok]
+        halves.append(np.stack([_triangles(x, b, c), _triangles(x, d, a)], axis=1))
+        found.append(which[ok])
+    at, both = np.concatenate(found), np.concatenate(halves)
+    swap = (both[:, 0, 0, 0] > both[:, 1, 0, 0]) | ((both[:, 0, 0, 0] == both[:, 1, 0, 0]) & ((both[:, 0, 0, 1] > both[:, 1, 0, 1]) | ((both[:, 0, 0] == both[:, 1, 0]).all(axis=1) & (_later(both)))))
+    both[swap] = both[swap][:, ::-1]
+    order = np.argsort(at)
+    return at[order], both[order]
+
+
+def _later(both: np.ndarray) -> np.ndarray:
+    """Whether the first half's second point comes after the second's."""
+    p, q = both[:, 0, 1], both[:, 1, 1]
+    return (p[:, 0] > q[:, 0]) | ((p[:, 0] == q[:, 0]) & (p[:, 1] > q[:, 1]))
+
+
+def _triangles(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Closed rings, anticlockwise, from their least point on."""
+    v, w = b - a, c - a
+    back = (v[:, 0] * w[:, 1] - v[:, 1] * w[:, 0] < 0)[:, None]
+    ring = np.stack([a, np.where(back, c, b), np.where(back, b, c)], axis=1)
+    least = np.lexsort((ring[:, :, 1], ring[:, :, 0]), axis=1)[:, :1]
+    return ring[np.arange(len(ring))[:, None], (least + np.arange(4)) % 3]
+
+
+def _mended(geoms: pa.Array) -> pa.Array:
+    at, both = _bow_ties(geoms)
+    n = len(at)
+    flat = both.reshape(-1, 2)
+    points = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["x", "y"])
+    rings = pa.ListArray.from_arrays(pa.array(np.arange(2 * n + 1, dtype=np.int32) * 4), points)
+    parts = pa.ListArray.from_arrays(pa.array(np.arange(2 * n + 1, dtype=np.int32)), rings)
+    simple = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 2), parts).cast(KIND)
+    rest = np.setdiff1d(np.arange(len(geoms)), at)
+    others = pa.array([_repaired({"geom": g}) for g in geoms.take(pa.array(rest)).to_pylist()], KIND)
+    return pa.concat_arrays([simple, others]).take(pa.array(np.argsort(np.concatenate([at, rest]), kind="stable")))
+
+
 def repaired(layer: DataFrame) -> DataFrame:
     """Polygons whose sides cross are made of simple rings: what an odd number of turns goes round is inside (both halves of a bow
     tie). Those of at most FEW_SIDES sides that do not cross stay as they are; polygons without any area go, null geometries stay."""
@@ -91,7 +161,15 @@ def repaired(layer: DataFrame) -> DataFrame:
     crossed = F.exists("_own", lambda e: F.exists("_own", lambda f: segments_cross(of(e), of(f))))
     tried = tried.withColumn("_bad", F.coalesce(F.when(F.size("_own") > FEW_SIDES, F.lit(True)).otherwise(crossed), F.lit(False))).drop("_own")
     fine = tried.where("not _bad").drop("_bad")
-    return fine.unionByName(_rebuilt(tried.where("_bad"), _repaired, "_bad"))
+    schema = layer.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = _mended(batch.column("geom"))
+            some = pc.greater(pc.fill_null(pc.list_value_length(made), 0), 0)
+            yield pa.RecordBatch.from_arrays([made if n == "geom" else batch.column(n) for n in schema.names], names=schema.names).filter(some)
+
+    return fine.unionByName(tried.where("_bad").drop("_bad").mapInArrow(run, schema))
 
 
 def _ring(points: list[dict], anticlockwise: bool) -> np.ndarray:
