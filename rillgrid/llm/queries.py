@@ -68,7 +68,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 100-byte strings that stand earlier too: how many and in how many runs they go, and a hash of what is left."""
-    kept = remove_repeats(read(spark, sf_dir, "documents"), min_bytes=100)
+    kept = remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"), min_bytes=100)
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
     return kept.select("doc_id", (F.length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from rillgrid.llm import repeats
+from rillgrid.llm import common, repeats
 
 
 def brute(rows: list[tuple[int | None, str | None]], size: int) -> dict[tuple, tuple[bytes, list[tuple[int, int]]]]:
@@ -96,3 +96,32 @@ def test_common_prefixes_by_increasing_value():
         shared = [next(i for i in range(401) if a[i] != b[i]) for a, b in zip(rotated, rotated[1:], strict=False)]
         got = repeats.borders(symbols[order - 1].astype(np.uint16), depth)
         assert got.tolist() == [True] + [s < depth for s in shared]
+
+
+def test_pieces_are_shuffled_once(spark, monkeypatch):
+    """Beyond what was broadcast, anchors, pieces, kinds and marks used to be shuffled one after another."""
+    monkeypatch.setattr(common, "FEW_GROUPS", 100)
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 12))) for _ in range(4000)]
+    texts = [" ".join(rng.choices(words, k=350)) for _ in range(700)]
+    rows = [(k, texts[k % 700] if k % 3 else texts[(k * 7) % 700][:1200] + texts[k % 700][900:]) for k in range(1400)]
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written() -> int:
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8).cache()
+    docs.count()
+    before = written()
+    assert repeats.remove_repeats(docs, 100).where("size(removed) > 0").count() > 600
+    docs.unpersist()
+    assert written() - before < 2.8 * sum(len(t) for _, t in rows)
+
+
+def test_earliest_of_a_batch():
+    doc, at = np.array([5, 5, 2, 7, 7, 7, 7]), np.array([0, 40, 9, 0, 60, 300, 300])
+    size, whole = np.array([140, 120, 140, 140, 120, 110, 110]), np.array([1, 2, 1, 1, 2, 3, 3])
+    stay, late = repeats.earliest(doc, at, size, whole)
+    assert whole[stay].tolist() in ([2, 1, 3], [2, 1, 3]) and doc[stay].tolist() == [5, 2, 7]
+    assert [x.tolist() for x in late] == [[5, 7], [0, 0], [140, 180]]
