@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,17 +16,36 @@ from rillgrid.llm.packing import pack
 from rillgrid.llm.toxicity import drop_toxic
 
 
+BATCH_BYTES = 2_000_000  # texts that a Python task gets at once
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_small_batches(stage: Stage) -> Stage:
+    """stage with Arrow batches of BATCH_BYTES. Spark's 64 MB hold a whole partition's texts, which then stand in the JVM, in
+    Python's input and in what is made of it, in each task of an executor."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs less those with these ids; the ids are broadcast if they are few."""
     ids = stored(ids.select("doc_id").distinct())
     return docs.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "doc_id", "left_anti").select(*docs.columns)
 
 
+@_in_small_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more go."""
     return drop_toxic(docs, read(spark, sf_dir, "labels"), threshold=0.3)
 
 
+@_in_small_batches
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier in the corpus, or stand there but for one word, go; so do documents of which no word is left."""
     n_lines, n_dropped = fresh("n_lines", docs), fresh("n_dropped", docs)
@@ -33,16 +55,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", changed).select(*docs.columns)
 
 
+@_in_small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies (five-word shingles, 0.8) the document with the least id stays."""
     return _without(docs, near_duplicates(docs, words=5, percent=80).where("not kept"))
 
 
+@_in_small_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return _without(docs, leaks(docs, read(spark, sf_dir, "benchmark")))
 
 
+@_in_small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of what is left, with its sequence and offset."""
     return pack(docs)

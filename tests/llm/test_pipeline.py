@@ -4,6 +4,7 @@ import random
 import struct
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -106,3 +107,16 @@ def test_each_stage_equals_brute_force(spark, folder):
 
     whole = corpus_pipeline.run(spark, folder)
     assert sorted((r.doc_id or -1, r.piece, r.ids_crc32) for r in whole.collect()) == sorted((r.doc_id or -1, r.piece, r.ids_crc32) for r in packed.collect())
+
+
+def test_texts_go_to_python_a_few_at_a_time(spark, folder, monkeypatch):
+    """A partition's texts used to be one Arrow batch, up to 64 MB."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    monkeypatch.setattr(corpus_pipeline, "drop_toxic", lambda docs, labels, threshold: docs.mapInArrow(sizes, "n long"))
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("river "), 700).alias("text"))
+    seen = [r.n for r in dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, folder).collect()]
+    assert sum(seen) > 12_000_000 and max(seen) < 2 * corpus_pipeline.BATCH_BYTES
