@@ -9,6 +9,7 @@ many as the word; its root is where the forms lead.
 2. Of two near words one gives its two disjoint chunks of half its length, the other all its positional grams of that size: an
    edit touches one chunk at most, so the other stands in both words, at places one apart at most. The join is on chunk, length
    and place, the grams' places moved by one at most, and pairs are verified by their edit distance.
+   Both sides are shuffled; only the crowded chunks of step 3, at most two for each CROWDED words, may be broadcast.
 3. A chunk of over CROWDED words would make many pairs that are not near. There what an edit leaves of the chunk's word is cut in
    two chunks again, and so on: the edit lies in what is between a common beginning and a common end, and half of that is
    common too. It ends where one code point is left, which the alphabet bounds.
@@ -159,7 +160,8 @@ def _pairs(words: DataFrame, min_length: int) -> DataFrame:
     on = ["L", "at", "gram"]
     chunks, grams = _chunks(words), _grams(words, min_length)
     crowds = cut(chunks.groupBy(*on).agg(F.count("*").alias("_k")).where(F.col("_k") > CROWDED).drop("_k"))
-    found = chunks.join(crowds, on, "left_anti").join(grams, on).where(verified).select("word", "n", "near", "near_n")
+    # the planner takes a row's grams for no more than the row and would broadcast them all
+    found = grams.join(chunks.join(crowds, on, "left_anti").hint("merge"), on).where(verified).select("word", "n", "near", "near_n")
     if crowds.isEmpty():
         return found.distinct()
     # an edit after the first chunk leaves it a beginning, one before the last leaves it an end
@@ -179,7 +181,7 @@ def _pairs(words: DataFrame, min_length: int) -> DataFrame:
         last = F.col("L") - F.col("a") - F.col("b") <= 1
         crowds = cut(own.where(~last).groupBy(*on).agg(F.count("*").alias("_k")).where(F.col("_k") > CROWDED).drop("_k"))
         near = other.select(*on, F.col("word").alias("near"), F.col("n").alias("near_n"))
-        found = found.unionByName(own.join(crowds, on, "left_anti").join(near, on).where(verified).select("word", "n", "near", "near_n"))
+        found = found.unionByName(near.join(own.join(crowds, on, "left_anti").hint("merge"), on).where(verified).select("word", "n", "near", "near_n"))
         if crowds.isEmpty():
             return found.distinct()
         own, other = own.join(crowds, on, "left_semi"), other.join(crowds, on, "left_semi")
@@ -190,7 +192,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     now = cut(forms.select("word", F.col("form").alias("to")))
     while True:
         further = now.select(F.col("word").alias("to"), F.col("to").alias("_next"))
-        moved = cut(now.join(further, "to", "left").select("word", F.coalesce("_next", "to").alias("to"), F.col("_next").isNotNull().alias("_moved")))
+        moved = cut(now.join(further.hint("merge"), "to", "left").select("word", F.coalesce("_next", "to").alias("to"), F.col("_next").isNotNull().alias("_moved")))
         now = moved.drop("_moved")
         if moved.where("_moved").isEmpty():
             return now.withColumnRenamed("to", "root")
@@ -207,7 +209,7 @@ def spelling_variants(docs: DataFrame, min_length: int = 6, min_count: int = 5,
     enough = -F.col("_best.m") >= times * F.col("n")
     judged = cut(most.select("word", "n_near", F.when(enough, F.col("_best.near")).alias("form"), F.when(enough, -F.col("_best.m")).alias("form_n")))
     roots = _roots(judged.where("form is not null"))
-    out = words.join(judged, "word", "left").join(roots, "word", "left")
+    out = words.join(judged.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left")
     out = cut(out.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form", "form_n", F.coalesce("root", "word").alias("root")))
     discard(words, near)
     return out
