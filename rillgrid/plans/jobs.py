@@ -13,7 +13,7 @@ from rillgrid.operators import normalize, quality, rain, spatial
 from rillgrid.operators.clip import clip_lines, clip_lines_grown, clip_to_box
 from rillgrid.operators.dissolve import dissolved
 from rillgrid.operators.polygons import clip_polygons, grown, repaired
-from rillgrid.plans.cache import cut
+from rillgrid.plans.cache import cut, written
 
 RADII = (250.0, 500.0, 1000.0)
 WATERWAYS = ("river", "canal")
@@ -46,10 +46,11 @@ def water_exposure(buildings: DataFrame, water: DataFrame, lines_only: bool = Fa
 def proximity_with_coast(buildings: DataFrame, hydrography: DataFrame, coast: DataFrame) -> DataFrame:
     """Version 2: footprint distances (0 inside a coastal area) and, from centroids, densities of all water with the coast's edges."""
     buildings = quality.first_of_each(buildings, ["city", "bldg_id"], [F.xxhash64("geom")])
-    stacked = cut(spatial.stack_sources({"hydrography": spatial.to_segments(hydrography, "city"), "coast": spatial.to_segments(coast, "city")}))
+    stacked = spatial.stack_sources({"hydrography": spatial.to_segments(hydrography, "city"), "coast": spatial.to_segments(coast, "city")})
+    stacked = written(stacked.select("city", "water_source", "x1", "y1", "x2", "y2"))
     areas = coast.select("city", F.lit("coast").alias("water_source"), "geom")
     near = spatial.nearest_from_footprints(buildings, stacked, ["hydrography", "coast"], areas=areas)
-    dense = spatial.water_length_density(_points(buildings, "centroid"), stacked, RADII)
+    dense = spatial.water_length_density(written(_points(buildings, "centroid")), stacked, RADII)
     return near.join(dense, ["city", "bldg_id"])
 
 
